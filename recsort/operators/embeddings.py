@@ -43,7 +43,7 @@ def centroid_classify(vectors: DataFrame, key: str = "vec_id", vec: str = "embed
     if not is_bounded(c, MAX_CLASSES):
         raise ValueError("too many classes to ship the centroids to every task")
     rows = c.collect()  # bounded: one row per class
-    table = F.array(*[F.struct(F.lit(r[label]).alias("label"),
+    table = F.array(*[F.struct(F.lit(r[label]).cast(vectors.schema[label].dataType).alias("label"),
                                F.array(*[F.lit(float(x)) for x in r["centroid"]]).alias("centroid"))
                       for r in rows])
     x = as_double_array(F.col(vec))

@@ -13,7 +13,7 @@ import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, SQLTransformer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,21 +70,42 @@ def seeded_sample(df: DataFrame, n: int = 5, seed: int = SAMPLE_SEED, key: str =
 # ---------------------------------------------------------------------------
 # Model
 
+# Overlapping character n-grams in one regex pass (lookahead capture):
+# works for any script without a word splitter, and avoids building
+# per-character token arrays.
+def _ngram_sql(n: int) -> str:
+    return ("SELECT *, regexp_extract_all(lower(coalesce(text, '')), "
+            f"'(?s)(?=(.{{{n}}}))', 1) AS grams FROM __THIS__")
+
+
 def triage_pipeline(num_features: int = 1 << 18, ngram: int = 2, reg: float = 0.01,
                     max_iter: int = 50) -> Pipeline:
-    # Characters as tokens: works for any script without a word splitter.
-    tok = RegexTokenizer(inputCol="text", outputCol="chars", pattern="", gaps=True,
-                         toLowercase=True, minTokenLength=1)
-    grams = NGram(n=ngram, inputCol="chars", outputCol="grams")
+    grams = SQLTransformer(statement=_ngram_sql(ngram))
     tf = HashingTF(inputCol="grams", outputCol="tf", numFeatures=num_features)
     idf = IDF(inputCol="tf", outputCol="features", minDocFreq=2)
     lr = LogisticRegression(featuresCol="features", labelCol="label_d", maxIter=max_iter, regParam=reg)
-    return Pipeline(stages=[tok, grams, tf, idf, lr])
+    return Pipeline(stages=[grams, tf, idf, lr])
 
 
 def fit_triage(clean: DataFrame, **kw) -> PipelineModel:
+    """Fit n-grams -> hashed TF -> IDF -> logistic regression.
+
+    The hashed features are cached once and shared by the IDF pass and
+    every LR iteration (a plain ``Pipeline.fit`` would featurise twice).
+    """
+    grams, tf, idf, lr = triage_pipeline(**kw).getStages()
     train = clean.select("text", F.col("label").cast("double").alias("label_d"))
-    return triage_pipeline(**kw).fit(train)
+    feats = tf.transform(grams.transform(train)).select("tf", "label_d").cache()
+    try:
+        idf_model = idf.fit(feats)
+        weighted = idf_model.transform(feats).select("features", "label_d").cache()
+        try:
+            lr_model = lr.fit(weighted)
+        finally:
+            weighted.unpersist()
+    finally:
+        feats.unpersist()
+    return PipelineModel(stages=[grams, tf, idf_model, lr_model])
 
 
 def score(model: PipelineModel, records: DataFrame, text_col: str = "text_combined",

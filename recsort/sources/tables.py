@@ -10,9 +10,26 @@ TABLES = (
 )
 
 
+# Tables whose rows carry long text or vectors: per-row work dominates.
+TEXT_TABLES = frozenset({"documents", "pages", "conversations", "embeddings", "benchmark"})
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the cluster has cores.
+
+    A big data set has far more splits than cores and is left alone (no
+    shuffle); a small file with one row group would otherwise put all
+    per-row text work into a single task. The check is plan-time only.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one table; selecting columns here lets the scan prune the rest."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}; known: {TABLES}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread(df) if name in TEXT_TABLES else df

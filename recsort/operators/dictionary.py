@@ -83,7 +83,10 @@ def _automaton_fn(rows: list[tuple[str, str]], key: str, text: str):
                         keys.append(kv)
                         kws.append(k)
                         cats.append(c)
-            yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "keyword": kws, "category": cats})
+            if keys:
+                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype),
+                                    "keyword": pd.Series(kws, dtype=object),
+                                    "category": pd.Series(cats, dtype=object)})
 
     return scan
 

@@ -160,8 +160,8 @@ def contrastive_pairs(clean: DataFrame, k: int = 2, rows_per_bucket: int = 4096,
     anchors = ranked.join(sizes, ["label", "bucket"]) \
         .select("vc_id", "label", "bucket", "rank", "cell_size",
                 F.explode(F.sequence(F.lit(1), F.lit(k))).alias("j"))
-    # positives: same cell, skip self (cells of one row have no positive)
-    pos = anchors.filter(F.col("cell_size") > 1).select(
+    # positives: same cell, never self (a cell of m rows gives min(k, m - 1))
+    pos = anchors.filter(F.col("j") < F.col("cell_size")).select(
         F.col("vc_id").alias("anchor_id"), "label", "bucket", "j",
         F.pmod(F.col("rank") + F.col("j"), F.col("cell_size")).alias("p_rank"),
         F.col("label").alias("p_label"))
@@ -169,6 +169,7 @@ def contrastive_pairs(clean: DataFrame, k: int = 2, rows_per_bucket: int = 4096,
     neg = anchors.withColumn("p_label", 1 - F.col("label")) \
         .join(sizes.select(F.col("label").alias("p_label"), "bucket", F.col("cell_size").alias("other_size")),
               ["p_label", "bucket"]) \
+        .filter(F.col("j") <= F.col("other_size")) \
         .select(F.col("vc_id").alias("anchor_id"), "label", "bucket", "j",
                 F.pmod(F.col("rank") + F.col("j") - 1, F.col("other_size")).alias("p_rank"), "p_label")
     partners = ranked.select(F.col("vc_id").alias("partner_id"), F.col("label").alias("p_label"),

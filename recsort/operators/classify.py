@@ -29,7 +29,7 @@ from recsort.constants import (
 from recsort.functions.prompts import HINT_TEMPLATE, PLAIN_TEMPLATE, build_prompt, build_request
 from recsort.functions.replies import with_extracted_reply, with_parsed_reply
 from recsort.functions.text import clean_rule_categories
-from recsort.operators.dictionary import _keyword_rows, _matches_inline, sorted_categories
+from recsort.operators.dictionary import _keyword_rows, match_keywords, sorted_categories
 from recsort.operators.state import resume_pending, retry_failed
 from recsort.session import checkpoint_root
 
@@ -81,7 +81,7 @@ class RuleResponder:
 
     def __call__(self, requests: DataFrame, key: str) -> DataFrame:
         prompt = F.get_json_object(F.col("request"), "$.messages[1].content")
-        m = requests.select(key, _matches_inline(F.coalesce(prompt, F.lit("")), self.rows).alias("_m"))
+        m = requests.select(key, match_keywords(F.coalesce(prompt, F.lit("")), self.rows).alias("_m"))
         return m.select(key, chat_body(self.reply(F.col("_m"))).alias("body"),
                         F.lit(None).cast("string").alias("error"))
 

@@ -54,31 +54,75 @@ def _matches_inline(text: Column, rows: list[tuple[str, str]]) -> Column:
     return F.filter(arr, lambda s: F.instr(text, s["keyword"]) > 0)
 
 
+MATCH_TYPE = "array<struct<keyword:string,category:string>>"
+
+
+def _build_automaton(rows: list[tuple[str, str]]):
+    """(automaton or None, keyword -> categories) for a keyword list."""
+    try:
+        import ahocorasick  # baked-in C extension
+    except ImportError:  # pragma: no cover - plain Python fallback
+        ahocorasick = None
+    by_kw: dict[str, list[str]] = {}
+    for k, c in rows:
+        by_kw.setdefault(k, []).append(c)
+    auto = None
+    if ahocorasick is not None and by_kw:
+        auto = ahocorasick.Automaton()
+        for k in by_kw:
+            auto.add_word(k, k)
+        auto.make_automaton()
+    return auto, by_kw
+
+
+def _found(auto, by_kw, t: str) -> list[str]:
+    if auto is not None:
+        return sorted({k for _, k in auto.iter(t)})
+    return sorted(k for k in by_kw if k in t)
+
+
+def _matches_automaton(text: Column, rows: list[tuple[str, str]]) -> Column:
+    """Per-row matches with one Aho-Corasick pass per text (Arrow batches)."""
+    state: dict = {}
+
+    @F.pandas_udf(MATCH_TYPE)
+    def matches(texts: pd.Series) -> pd.Series:
+        if "auto" not in state:  # built once per Python worker
+            state["auto"], state["by_kw"] = _build_automaton(rows)
+        auto, by_kw = state["auto"], state["by_kw"]
+        out = []
+        for t in texts:
+            if t is None or not by_kw:
+                out.append([])
+                continue
+            out.append([{"keyword": k, "category": c} for k in _found(auto, by_kw, t) for c in by_kw[k]])
+        return pd.Series(out)
+
+    return matches(text)
+
+
+def match_keywords(text: Column, rows: list[tuple[str, str]]) -> Column:
+    """array<struct<keyword, category>> of the keywords contained in ``text``.
+
+    A short list is a literal array filtered with ``instr`` (JVM-side);
+    a long one goes through one Aho-Corasick pass per text instead of one
+    scan per keyword. Both give the same array order (keyword, category).
+    """
+    rows = sorted(rows)
+    if len(rows) <= CONTAINS_MAX_KEYWORDS:
+        return _matches_inline(text, rows)
+    return _matches_automaton(text, rows)
+
+
 def _automaton_fn(rows: list[tuple[str, str]], key: str, text: str):
     def scan(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        try:
-            import ahocorasick  # baked-in C extension
-        except ImportError:  # pragma: no cover - plain Python fallback
-            ahocorasick = None
-        by_kw: dict[str, list[str]] = {}
-        for k, c in rows:
-            by_kw.setdefault(k, []).append(c)
-        auto = None
-        if ahocorasick is not None and by_kw:
-            auto = ahocorasick.Automaton()
-            for k in by_kw:
-                auto.add_word(k, k)
-            auto.make_automaton()
+        auto, by_kw = _build_automaton(rows)
         for pdf in batches:
             keys, kws, cats = [], [], []
             for kv, t in zip(pdf[key], pdf[text]):
                 if t is None or not by_kw:
                     continue
-                if auto is not None:
-                    found = {k for _, k in auto.iter(t)}
-                else:
-                    found = {k for k in by_kw if k in t}
-                for k in sorted(found):
+                for k in _found(auto, by_kw, t):
                     for c in by_kw[k]:
                         keys.append(kv)
                         kws.append(k)
@@ -128,7 +172,7 @@ def rule_classify(records: DataFrame, keywords: DataFrame, key: str = "vc_id",
     the catch-all category.
     """
     rows = _keyword_rows(keywords)
-    staged = records.select(key, _matches_inline(F.coalesce(F.col(text), F.lit("")), rows).alias("_m"))
+    staged = records.select(key, match_keywords(F.coalesce(F.col(text), F.lit("")), rows).alias("_m"))
     m = F.col("_m")
     cats = sorted_categories(F.transform(m, lambda s: s["category"]))
     return staged.select(
@@ -171,7 +215,7 @@ def article_entries(lines: DataFrame, keywords: DataFrame, rules, passes: int) -
     """(doc_id, article, category) from cited lines: normalise, clean edges, match."""
     art = lines.select("doc_id", clean_edges(normalise_article(F.col("line")), rules, passes).alias("article"))
     rows = _keyword_rows(keywords)
-    m = _matches_inline(F.col("article"), rows)
+    m = match_keywords(F.col("article"), rows)
     return art.select("doc_id", "article", F.explode(F.array_distinct(F.transform(m, lambda s: s["category"])))
                       .alias("category"))
 

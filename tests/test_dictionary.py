@@ -96,3 +96,19 @@ def test_groups_and_terms(spark):
     assert got == [("ECONOMY", "BUDGET"), ("LARGE", "LARGE"), ("SMALL", "BUDGET")]
     names = spark.createDataFrame([("old hot red old bolt",)], "p_name string")
     assert names.select(D.remove_terms(F.col("p_name"), FX.STOP_TERMS)).first()[0] == "red||bolt"
+
+
+def test_per_row_matchers_agree_on_long_lists(spark):
+    docs = table(spark, SF_SMALL, "documents", "doc_id", "text")
+    words = docs.select(F.explode(F.split("text", r"[^\p{L}]+")).alias("keyword")) \
+        .filter(F.length("keyword") >= 7).distinct().limit(200)
+    rows = sorted([(r.keyword, r.keyword[:1]) for r in words.collect()] + [("MIT License", "permissive")])
+    assert len(rows) > D.CONTAINS_MAX_KEYWORDS
+    t = F.coalesce(F.col("text"), F.lit(""))
+    out = docs.select("doc_id", D._matches_inline(t, rows).alias("a"), D._matches_automaton(t, rows).alias("b"))
+    diff = out.filter(F.to_json("a") != F.to_json("b"))
+    assert diff.count() == 0
+    assert out.filter(F.size("a") > 0).count() > 0
+    rec = docs.withColumnRenamed("doc_id", "vc_id").withColumnRenamed("text", "text_combined")
+    kw = spark.createDataFrame(rows, "keyword string, category string")
+    assert D.rule_classify(rec, kw).filter("n_keywords > 0").count() == out.filter(F.size("a") > 0).count()

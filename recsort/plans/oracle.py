@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from recsort.constants import (
     CATCH_ALL_CATEGORY,
+    PANDAS_NULL_TOKENS,
     RAW_REPLY_MAX_CHARS,
     SELF_MADE_MARKER,
     STATUS_OK,
@@ -450,3 +451,34 @@ SELECT e.vec_id, e.label, round(list_cosine_similarity(e.v, c.centroid), 6) AS c
 SQL["centroid_classify"] = f"""WITH {_CENTROIDS},
 s AS (SELECT e.vec_id, e.label, c.label AS cl, list_cosine_similarity(e.v, c.centroid) AS cs FROM e, c)
 SELECT vec_id, label, arg_max(cl, cs) AS predicted, round(max(cs), 6) AS cosine FROM s GROUP BY vec_id, label"""
+
+# The streamed results table equals one batch run over all routed records
+# (no prior results), with every string column flattened at the sink.
+SQL["stream_incremental"] = f"""
+WITH f2 AS ({F2}),
+todo AS (SELECT * FROM f2 WHERE TRY_CAST(CAST(need_ai AS VARCHAR) AS DOUBLE) = 1),
+resp AS (SELECT doc_id, vc_id, text_combined, source, need_ai, violation_categories, CAST(NULL AS VARCHAR) AS error,
+                {rule_reply(prompt('text_combined', clean_rule_categories('violation_categories')))} AS reply FROM todo),
+{parsed('resp')}
+SELECT doc_id, {flat('vc_id')} AS vc_id, {flat('text_combined')} AS text_combined, {flat('source')} AS source,
+  need_ai, {flat('violation_categories')} AS violation_categories,
+  {flat('ai_violation_categories')} AS ai_violation_categories, {flat('ai_reason')} AS ai_reason,
+  {flat('ai_raw_response')} AS ai_raw_response, {flat('process_status')} AS process_status
+FROM parsed"""
+
+
+# CSV round trip: the records written in three charsets and read back with
+# the charset chosen per file are the F2 records as text.
+_TOKENS = ", ".join(lit(t) for t in PANDAS_NULL_TOKENS)
+
+
+def null_token(x: str) -> str:
+    return f"(CASE WHEN {x} IN ({_TOKENS}) THEN NULL ELSE {x} END)"
+
+
+SQL["src_csv_encodings"] = f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, vc_id, text_combined, source,
+  CAST(need_ai AS VARCHAR) AS need_ai, violation_categories FROM ({F2}) f2"""
+SQL["src_csv_pruned"] = f"""SELECT {null_token('vc_id')} AS vc_id, {null_token('text_combined')} AS text_combined,
+  {null_token('CAST(need_ai AS VARCHAR)')} AS need_ai FROM ({F2}) f2"""
+SQL["src_null_tokens"] = f"""SELECT {null_token('vc_id')} AS vc_id, {null_token('violation_categories')} AS violation_categories,
+  {null_token('text_combined')} AS text_combined FROM ({F2}) f2"""

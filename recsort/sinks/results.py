@@ -25,8 +25,9 @@ def result_column_names(suffix: str = "") -> list[str]:
 
 
 def write_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header (a folder of part files; no BOM)."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header (a folder of part files; no BOM); cells kept verbatim."""
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_events(events: DataFrame, path: str) -> None:

@@ -25,5 +25,6 @@ def export_encoded_records(spark: SparkSession, records: DataFrame, root: str |
             first = part.columns[0]
             part = part.withColumnRenamed(first, BOM + first)
         (part.write.mode("overwrite").option("header", True).option("escape", '"')
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
              .option("encoding", charset).csv(f"{root}/{name}"))
     return root

@@ -62,4 +62,5 @@ def run_incremental_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_available(spark, src, records.schema, results, ckpt, responder)
     records.filter(~first).write.mode("append").parquet(f"{src}/arrival=2")
     run_available(spark, src, records.schema, results, ckpt, responder)
-    return results.read()
+    from recsort.sinks.results import result_column_names
+    return results.read().select(*records.columns, *result_column_names())

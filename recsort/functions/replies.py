@@ -162,7 +162,3 @@ def with_extracted_reply(df: DataFrame, body: str, text_out: str = "reply_text",
                    "_k_top", "_k_choices", "_k_first", "_k_message", "_k_content", "_k_response",
                    "_k_alt", "_j_choices")
 
-
-def sections_count(text) -> Column:
-    t = F.col(text) if isinstance(text, str) else text
-    return F.size(F.regexp_extract_all(t, F.lit(java_regex(SECTION_PATTERN)), F.lit(1)))

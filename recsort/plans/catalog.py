@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsort.constants import STATUS_OK
 from recsort.functions import text as T
 from recsort.functions.prompts import build_prompt, build_request
 from recsort.functions.replies import with_extracted_reply, with_parsed_reply
@@ -465,5 +464,3 @@ def q_stream_incremental(spark, sf):
     from recsort.streaming.incremental import run_incremental_demo
     return run_incremental_demo(spark, sf)
 
-
-_ = STATUS_OK

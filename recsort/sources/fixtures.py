@@ -152,7 +152,9 @@ def f6_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def f8_article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", "doc_id", "text")
-    return d.select("doc_id", F.explode(F.split("text", "\n")).alias("line")) \
+    # only documents that mention a licence at all are split into lines
+    return d.filter(F.col("text").contains("icense")) \
+        .select("doc_id", F.explode(F.split("text", "\n")).alias("line")) \
         .filter(F.col("line").like("%icense%"))
 
 

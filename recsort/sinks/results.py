@@ -1,10 +1,9 @@
-"""Sinks: CSV records, JSON event log, and the versioned results table.
+"""Sinks: CSV records, JSON event log, and the keyed results table.
 
-A results table is a folder of Parquet versions plus a one-row pointer
-naming the current one. A writer never overwrites the version it reads
-(Spark cannot overwrite a path it is scanning); it writes a new version
-and then moves the pointer. Readers follow the pointer, so a half-written
-version is never visible.
+A writer never overwrites files it reads (Spark cannot overwrite a path it
+is scanning): every commit writes new files and then appends a row to the
+table's log. Readers follow the newest log row, so a half-written version
+is never visible.
 """
 
 from __future__ import annotations
@@ -13,12 +12,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from recsort.constants import RESULT_COLUMNS
 from recsort.functions.text import flatten_string_columns
 
 
+SEQ_COL = "_seq"
+_LOG_SCHEMA = StructType([
+    StructField("seq", LongType()), StructField("key", StringType()),
+    StructField("base", StringType()), StructField("deltas", ArrayType(StringType())),
+])
+
+
 def result_column_names(suffix: str = "") -> list[str]:
     """Plain names, or the second-strategy names with a suffix such as '_v2'."""
     return [c + suffix for c in RESULT_COLUMNS]
@@ -41,33 +53,81 @@ def empty_results(spark: SparkSession, columns: list[str]) -> DataFrame:
 
 
 class ResultsTable:
-    """Versioned Parquet table under ``root`` with a pointer file."""
-
-    def __init__(self, spark: SparkSession, root: str):
+    """Keyed results table: a Parquet base plus appended deltas.
+
+    Layout under ``root``: ``base-*`` and ``delta-*`` Parquet folders and
+    ``_log``, an append-only JSON log with one row per commit
+    ``(seq, key, base, deltas)``; the row with the highest ``seq`` is the
+    current state. Every commit writes new files and then appends one log
+    row, so a failed write leaves the previous state intact, and a reader
+    never sees a half-written version.
+
+    * ``commit(df)`` replaces the table (a new base, no deltas);
+    * ``append(rows, key)`` writes only the new rows as a delta tagged with
+      its sequence number - the cost of a micro-batch is the batch, not the
+      table; every ``compact_every`` deltas the table is compacted;
+    * ``read()`` resolves the latest row per key (partial ``max_by``);
+      ``latest(key, cols)`` does the same for a few columns only.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.pointer = f"{self.root}/_current"
+        self.log = f"{self.root}/_log"
+        self.compact_every = compact_every
 
-    def current_path(self) -> str | None:
+    # -- state -----------------------------------------------------------
+    def state(self):
         try:
-            row = self.spark.read.json(self.pointer).first()
-        except Exception as e:  # no pointer yet
+            log = self.spark.read.schema(_LOG_SCHEMA).json(self.log)
+            return log.orderBy(F.desc("seq")).first()
+        except Exception as e:  # no log yet
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
                 return None
             raise
-        return row["path"] if row else None
 
-    def read(self, schema: StructType | None = None) -> DataFrame | None:
-        """Current version, or None when nothing was committed yet.
+    def version(self) -> int:
+        st = self.state()
+        return -1 if st is None else st["seq"]
+
+    def _write_log(self, seq: int, key: str | None, base: str | None, deltas: list[str]) -> None:
+        self.spark.createDataFrame([(seq, key, base, deltas)], _LOG_SCHEMA).coalesce(1) \
+            .write.mode("append").json(self.log)
+
+    # -- reads -----------------------------------------------------------
+    def _parts(self, st, cols: list[str] | None):
+        def pick(df):
+            return df if cols is None else df.select(*[c for c in cols if c in df.columns])
+        base = pick(self.spark.read.parquet(st["base"])) if st["base"] else None
+        deltas = [pick(self.spark.read.parquet(p)) for p in (st["deltas"] or [])]
+        return base, deltas
+
+    def latest(self, cols: list[str] | None = None) -> DataFrame | None:
+        """Current rows (optionally only ``cols``), or None when empty.
 
         An unreadable version raises: silently starting over would redo
         every paid call.
         """
-        p = self.current_path()
-        if p is None:
-            return None if schema is None else self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(p)
+        st = self.state()
+        if st is None:
+            return None
+        base, deltas = self._parts(st, None if cols is None else list(cols) + [SEQ_COL])
+        if not deltas:
+            return base
+        from recsort.operators.state import last_write_wins
+        parts = ([base.withColumn(SEQ_COL, F.lit(0).cast("long"))] if base is not None else []) + deltas
+        allrows = parts[0]
+        for d in parts[1:]:
+            allrows = allrows.unionByName(d, allowMissingColumns=True)
+        return last_write_wins(allrows, st["key"], [SEQ_COL]).drop(SEQ_COL)
 
+    def read(self, schema: StructType | None = None) -> DataFrame | None:
+        df = self.latest()
+        if df is None and schema is not None:
+            return self.spark.createDataFrame([], schema)
+        return df
+
+    # -- writes ----------------------------------------------------------
     def init(self, columns: list[str]) -> DataFrame:
         """Create an empty table with these columns unless one exists."""
         cur = self.read()
@@ -75,13 +135,33 @@ class ResultsTable:
             return cur
         return self.commit(empty_results(self.spark, columns))
 
-    def commit(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/v-{uuid.uuid4().hex}"
+    def commit(self, df: DataFrame, key: str | None = None) -> DataFrame:
+        """Replace the whole table."""
+        st = self.state()
+        seq = 1 if st is None else st["seq"] + 1
+        path = f"{self.root}/base-{seq:06d}-{uuid.uuid4().hex[:8]}"
         df.write.mode("errorifexists").parquet(path)
-        self.spark.createDataFrame([(path,)], "path string").coalesce(1) \
-            .write.mode("overwrite").json(self.pointer)
+        self._write_log(seq, key or (st["key"] if st else None), path, [])
         return self.spark.read.parquet(path)
 
+    def append(self, rows: DataFrame, key: str) -> None:
+        """Add or replace rows by ``key`` without rewriting the table."""
+        st = self.state()
+        seq = 1 if st is None else st["seq"] + 1
+        path = f"{self.root}/delta-{seq:06d}-{uuid.uuid4().hex[:8]}"
+        rows.withColumn(SEQ_COL, F.lit(seq).cast("long")).write.mode("errorifexists").parquet(path)
+        deltas = ([] if st is None else list(st["deltas"] or [])) + [path]
+        self._write_log(seq, key, None if st is None else st["base"], deltas)
+        if len(deltas) >= self.compact_every:
+            self.compact()
+
+    def compact(self) -> None:
+        """Fold the deltas into a new base."""
+        st = self.state()
+        if st is None or not st["deltas"]:
+            return
+        self.commit(self.latest(), st["key"])
+
 
 def sink_rows(df: DataFrame) -> DataFrame:
     """What the writer stores for new rows: line breaks and tabs flattened."""

@@ -14,18 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from recsort.operators.classify import classify
-from recsort.operators.state import upsert
 from recsort.sinks.results import ResultsTable, sink_rows
 from recsort.session import checkpoint_root, scratch_path
 
 
 def batch_writer(results: ResultsTable, responder, key: str = "vc_id", suffix: str = ""):
+    """Per micro-batch: skip finished ids, classify the rest, append them.
+
+    Only the key and status columns of the table are read for the resume
+    check, and only the batch's rows are written (a delta); the table
+    compacts itself every few deltas.
+    """
+    status_col = "process_status" + suffix
+
     def write(batch: DataFrame, epoch_id: int) -> None:
-        prior = results.read()
+        prior = results.latest([key, status_col])
         rows = classify(batch, prior, responder, mode="new", key=key, suffix=suffix)
-        new = sink_rows(rows)
-        merged = new if prior is None else upsert(prior, new, key)
-        results.commit(merged)
+        results.append(sink_rows(rows), key)
 
     return write
 

@@ -90,3 +90,22 @@ def test_results_table_versions(spark, tmp_dir):
     cur = t.read()
     t.commit(S.upsert(cur, spark.createDataFrame([("b", "成功")], "vc_id string, process_status string")))
     assert _rows(t.read(), "vc_id") == [("a",), ("b",)]
+
+
+def test_results_table_append_resolves_latest_and_compacts(spark, tmp_dir):
+    t = ResultsTable(spark, f"{tmp_dir}/res", compact_every=3)
+    schema = "vc_id string, process_status string, note string"
+    t.commit(spark.createDataFrame([("a", "请求失败", "v0"), ("b", "成功", "v0")], schema), key="vc_id")
+    t.append(spark.createDataFrame([("a", "成功", "v1"), ("c", "解析失败", "v1")], schema), "vc_id")
+    t.append(spark.createDataFrame([("c", "成功", "v2")], schema), "vc_id")
+    st = t.state()
+    assert len(st["deltas"]) == 2
+    expect = [("a", "成功", "v1"), ("b", "成功", "v0"), ("c", "成功", "v2")]
+    assert _rows(t.read(), "vc_id", "process_status", "note") == expect
+    assert _rows(t.latest(["vc_id", "process_status"]), "vc_id", "process_status") == [r[:2] for r in expect]
+    # replaying a batch is harmless
+    t.append(spark.createDataFrame([("c", "成功", "v2")], schema), "vc_id")
+    st = t.state()
+    assert not st["deltas"]  # third delta triggered compaction
+    assert _rows(t.read(), "vc_id", "process_status", "note") == expect
+    assert "_seq" not in t.read().columns

@@ -187,3 +187,30 @@ def merge_results(base: DataFrame, ai: DataFrame, dictionary: DataFrame, rules:
         .when(rule_real, F.lit("rule"))
         .otherwise(F.lit("fallback")).alias("source"),
     )
+
+
+def event_log(rows: DataFrame, mode: str = "batch", key: str = "vc_id") -> DataFrame:
+    """Request / response / error events of classified rows, in one pass.
+
+    ``rows`` carries the record (``text_combined``, ``violation_categories``),
+    the transport ``error``, the raw ``reply`` and the parsed result columns.
+    Every row emits a request event and then either a response or an error
+    event; ``inline`` expands them without a union (no second scan).
+    """
+    null = F.lit(None).cast("string")
+    rc = clean_rule_categories(F.col("violation_categories"))
+
+    def event(kind, **cols):
+        names = ["rule_categories", "text_len", "prompt", "status", "ai_category", "ai_reason",
+                 "raw_response", "error"]
+        return F.struct(F.lit(kind).alias("event"), F.col(key).alias(key),
+                        *[cols.get(n, null).alias(n) for n in names], F.lit(mode).alias("mode"))
+
+    request = event("request", rule_categories=rc,
+                    text_len=F.length(F.coalesce("text_combined", F.lit(""))).cast("string"),
+                    prompt=build_prompt(F.col("text_combined"), rc))
+    response = event("response", status=F.col("process_status"), ai_category=F.col("ai_violation_categories"),
+                     ai_reason=F.col("ai_reason"), raw_response=F.col("reply"))
+    error = event("error", error=F.col("error"))
+    second = F.when(F.col("error").isNull(), response).otherwise(error)
+    return rows.select(F.inline(F.array(request, second)))

@@ -185,25 +185,7 @@ def q_status_summary(spark, sf):
 def q_event_log(spark, sf):
     p = _parsed(spark, sf)
     f2 = FX.f2_records(spark, sf).select("doc_id", "text_combined", "violation_categories")
-    j = p.join(f2, "doc_id")
-    rc = T.clean_rule_categories("violation_categories")
-    null = F.lit(None).cast("string")
-    req = j.select(F.lit("request").alias("event"), "vc_id", rc.alias("rule_categories"),
-                   F.length(F.coalesce("text_combined", F.lit(""))).cast("string").alias("text_len"),
-                   build_prompt(F.col("text_combined"), rc).alias("prompt"),
-                   null.alias("status"), null.alias("ai_category"), null.alias("ai_reason"),
-                   null.alias("raw_response"), null.alias("error"), F.lit("batch").alias("mode"))
-    resp = j.filter(F.col("error").isNull()).select(
-        F.lit("response").alias("event"), "vc_id", null.alias("rule_categories"),
-        null.alias("text_len"), null.alias("prompt"),
-        F.col("process_status").alias("status"), F.col("ai_violation_categories").alias("ai_category"),
-        "ai_reason", F.col("reply").alias("raw_response"), null.alias("error"), F.lit("batch").alias("mode"))
-    err = j.filter(F.col("error").isNotNull()).select(
-        F.lit("error").alias("event"), "vc_id", null.alias("rule_categories"),
-        null.alias("text_len"), null.alias("prompt"), null.alias("status"),
-        null.alias("ai_category"), null.alias("ai_reason"), null.alias("raw_response"),
-        "error", F.lit("batch").alias("mode"))
-    return req.unionByName(resp).unionByName(err)
+    return C.event_log(p.join(f2, "doc_id"))
 
 
 # --------------------------------------------------------------------- F6

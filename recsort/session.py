@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Responder calls are paid side effects: never race two copies of a task.
     "spark.speculation": "false",
+    # Checkpoint files of DataFrames that are no longer referenced are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # GBK / GB18030 CSV input needs the JVM's full charset table.
     "spark.sql.legacy.javaCharsets": "true",
 }

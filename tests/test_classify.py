@@ -87,3 +87,17 @@ def test_stream_restart_equals_one_batch(spark, tmp_dir):
     once = sorted(tuple(r) for r in batch.select("vc_id", "process_status", "ai_violation_categories").collect())
     assert 0 < n1 < len(once)
     assert streamed == once
+
+
+def test_event_log_one_pass_shape(spark):
+    rows = spark.createDataFrame(
+        [("a", "txt", "permissive", None, "R", "A", "r", "成功"),
+         ("b", None, None, "timeout", None, "请求失败", "请求失败", "请求失败")],
+        "vc_id string, text_combined string, violation_categories string, error string, reply string, "
+        "ai_violation_categories string, ai_reason string, process_status string")
+    ev = {(r.vc_id, r.event): r for r in C.event_log(rows).collect()}
+    assert sorted(ev) == [("a", "request"), ("a", "response"), ("b", "error"), ("b", "request")]
+    assert ev[("a", "request")].prompt == "Known: permissive. Classify: txt. Recheck: permissive"
+    assert ev[("a", "request")].text_len == "3" and ev[("b", "request")].text_len == "0"
+    assert ev[("a", "response")].status == "成功" and ev[("a", "response")].raw_response == "R"
+    assert ev[("b", "error")].error == "timeout" and ev[("b", "error")].status is None

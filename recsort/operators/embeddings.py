@@ -8,6 +8,7 @@ explode), then cosine against the centroids.
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -52,3 +53,19 @@ def centroid_classify(vectors: DataFrame, key: str = "vec_id", vec: str = "embed
     staged = vectors.select(key, label, F.array_max(scored).alias("_best"))
     return staged.select(key, label, F.col("_best.label").alias("predicted"),
                          F.round(F.col("_best.cos"), digits).alias("cosine"))
+
+
+def fit_vector_head(vectors: DataFrame, vec: str = "embedding", label: str = "label",
+                    max_iter: int = 50, reg: float = 0.01) -> LogisticRegressionModel:
+    """Classifier head on given vectors (multinomial logistic regression)."""
+    train = vectors.select(array_to_vector(as_double_array(F.col(vec))).alias("features"),
+                           F.col(label).cast("double").alias("label_d"))
+    lr = LogisticRegression(featuresCol="features", labelCol="label_d", maxIter=max_iter, regParam=reg,
+                            family="multinomial")
+    return lr.fit(train)
+
+
+def apply_vector_head(model: LogisticRegressionModel, vectors: DataFrame, key: str = "vec_id",
+                      vec: str = "embedding", label: str = "label") -> DataFrame:
+    x = vectors.select(key, label, array_to_vector(as_double_array(F.col(vec))).alias("features"))
+    return model.transform(x).select(key, label, F.col("prediction").cast("long").alias("predicted"))

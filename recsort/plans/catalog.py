@@ -394,6 +394,12 @@ def q_centroid_classify(spark, sf):
 
 # ------------------------------------------------------- rows-only checks
 
+@query("embedding_head")
+def q_embedding_head(spark, sf):
+    v = _vectors(spark, sf)
+    return E.apply_vector_head(E.fit_vector_head(v), v)
+
+
 @query("contrastive_pairs")
 def q_contrastive_pairs(spark, sf):
     return TR.contrastive_pairs(_clean(spark, sf), k=2)

@@ -73,3 +73,13 @@ def test_confusion_matrix_counts_holdout(spark):
     assert fit.join(test, "vc_id").count() == 0
     cm = TR.confusion_matrix(TR.fit_triage(fit, max_iter=5), test)
     assert sum(r.n for r in cm.collect()) == test.count()
+
+
+def test_vector_head_beats_chance(spark):
+    from recsort.operators import embeddings as EM
+    from recsort.sources.tables import table
+    v = table(spark, SF_SMALL, "embeddings", "vec_id", "embedding", "label")
+    pred = EM.apply_vector_head(EM.fit_vector_head(v), v)
+    n = pred.count()
+    hits = pred.filter("predicted = label").count()
+    assert n == v.count() and hits / n > 0.2

@@ -202,7 +202,8 @@ def q_retry_failed(spark, sf):
 
 @query("upsert_results")
 def q_upsert_results(spark, sf):
-    f2 = FX.f2_records(spark, sf).withColumn("need_ai", _long(F.col("need_ai")))
+    # record fields are stored as text in the results table
+    f2 = FX.f2_records(spark, sf).withColumn("need_ai", F.col("need_ai").cast("string"))
     p = _parsed(spark, sf).filter(F.col("doc_id") % 3 == 0) \
         .select("doc_id", "ai_violation_categories", "ai_reason", "ai_raw_response", "process_status")
     batch = sink_rows(f2.join(p, "doc_id"))

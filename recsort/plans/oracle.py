@@ -357,13 +357,13 @@ SQL["retry_failed"] = f"""SELECT doc_id, vc_id FROM ({_ROUTED}) r WHERE vc_id IN
   (SELECT vc_id FROM ({F6}) f6 WHERE process_status IN ({lit(STATUS_PARSE_FAIL)}, {lit(STATUS_REQUEST_FAIL)}))"""
 SQL["upsert_results"] = f"""WITH {parsed(F5)},
 batch AS (SELECT f2.doc_id, {flat('f2.vc_id')} AS vc_id, {flat('f2.text_combined')} AS text_combined,
-            {flat('f2.source')} AS source, CAST(f2.need_ai AS BIGINT) AS need_ai,
+            {flat('f2.source')} AS source, CAST(f2.need_ai AS VARCHAR) AS need_ai,
             {flat('f2.violation_categories')} AS violation_categories,
             {flat('p.ai_violation_categories')} AS ai_violation_categories, {flat('p.ai_reason')} AS ai_reason,
             {flat('p.ai_raw_response')} AS ai_raw_response, {flat('p.process_status')} AS process_status
           FROM ({F2}) f2 JOIN parsed p ON f2.doc_id = p.doc_id WHERE f2.doc_id % 3 = 0)
 SELECT doc_id, vc_id, CAST(NULL AS VARCHAR) AS text_combined, CAST(NULL AS VARCHAR) AS source,
-  CAST(NULL AS BIGINT) AS need_ai, CAST(NULL AS VARCHAR) AS violation_categories,
+  CAST(NULL AS VARCHAR) AS need_ai, CAST(NULL AS VARCHAR) AS violation_categories,
   ai_violation_categories, CAST(NULL AS VARCHAR) AS ai_reason, CAST(NULL AS VARCHAR) AS ai_raw_response, process_status
 FROM ({F6}) f6 WHERE vc_id NOT IN (SELECT vc_id FROM batch)
 UNION ALL SELECT * FROM batch"""

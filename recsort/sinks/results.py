@@ -102,16 +102,24 @@ class ResultsTable:
         deltas = [pick(self.spark.read.parquet(p)) for p in (st["deltas"] or [])]
         return base, deltas
 
-    def latest(self, cols: list[str] | None = None) -> DataFrame | None:
+    def latest(self, cols: list[str] | None = None, keys: DataFrame | None = None) -> DataFrame | None:
         """Current rows (optionally only ``cols``), or None when empty.
 
-        An unreadable version raises: silently starting over would redo
-        every paid call.
+        ``keys`` (one column, the table key) restricts every part to those
+        keys before rows are resolved, so a micro-batch's lookup costs a scan
+        of the needed columns plus work of the batch's size, not a shuffle of
+        the table. An unreadable version raises: silently starting over would
+        redo every paid call.
         """
         st = self.state()
         if st is None:
             return None
         base, deltas = self._parts(st, None if cols is None else list(cols) + [SEQ_COL])
+        if keys is not None:
+            from recsort.operators.joins import broadcast_if_bounded
+            k = broadcast_if_bounded(keys.select(st["key"]).distinct())
+            base = base.join(k, st["key"], "left_semi") if base is not None else None
+            deltas = [d.join(k, st["key"], "left_semi") for d in deltas]
         if not deltas:
             return base
         from recsort.operators.state import last_write_wins

@@ -28,7 +28,7 @@ def batch_writer(results: ResultsTable, responder, key: str = "vc_id", suffix: s
     status_col = "process_status" + suffix
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        prior = results.latest([key, status_col])
+        prior = results.latest([key, status_col], keys=batch.select(key))
         rows = classify(batch, prior, responder, mode="new", key=key, suffix=suffix)
         results.append(sink_rows(rows), key)
 

@@ -109,3 +109,12 @@ def test_results_table_append_resolves_latest_and_compacts(spark, tmp_dir):
     assert not st["deltas"]  # third delta triggered compaction
     assert _rows(t.read(), "vc_id", "process_status", "note") == expect
     assert "_seq" not in t.read().columns
+
+
+def test_results_table_latest_for_keys(spark, tmp_dir):
+    t = ResultsTable(spark, f"{tmp_dir}/res2")
+    schema = "vc_id string, process_status string"
+    t.commit(spark.createDataFrame([("a", "请求失败"), ("b", "成功")], schema), key="vc_id")
+    t.append(spark.createDataFrame([("a", "成功"), ("c", "成功")], schema), "vc_id")
+    keys = spark.createDataFrame([("a",), ("z",)], "vc_id string")
+    assert _rows(t.latest(["vc_id", "process_status"], keys=keys), "vc_id", "process_status") == [("a", "成功")]

@@ -166,21 +166,27 @@ def status_summary(results: DataFrame, transport_error: str = "error",
     return results.groupBy(status_col).agg(*agg)
 
 
-def merge_results(base: DataFrame, ai: DataFrame, dictionary: DataFrame, rules: DataFrame,
+def merge_results(base: DataFrame, ai: DataFrame, dictionary: DataFrame, rules: DataFrame | None = None,
                   key: str = "doc_id", catch_all: str = CATCH_ALL_CATEGORY) -> DataFrame:
     """One labelled row per record, priority: expert success > dictionary > rule > fallback.
 
     ``ai`` (key, ai_violation_categories, process_status), ``dictionary``
-    (key, categories), ``rules`` (key, rule_categories). All are keyed on the
-    same column so the joins can reuse one hash partitioning.
+    (key, categories); the rule branch is either a ``rule_categories``
+    column of ``base`` (map-side, no join) or a ``rules`` DataFrame
+    (key, rule_categories). All joins are on the same key, so they can
+    reuse one hash partitioning.
     """
     a = ai.filter(F.col("process_status") == STATUS_OK).select(key, F.col("ai_violation_categories").alias("_ai"))
     d = dictionary.filter(F.col("categories") != "").select(key, F.col("categories").alias("_dict"))
-    r = rules.select(key, F.col("rule_categories").alias("_rule"))
-    j = base.join(a, key, "left").join(d, key, "left").join(r, key, "left")
+    out_cols = [c for c in base.columns if c != "rule_categories"]
+    if rules is None:
+        j = base.withColumnRenamed("rule_categories", "_rule")
+    else:
+        j = base.join(rules.select(key, F.col("rule_categories").alias("_rule")), key, "left")
+    j = j.join(a, key, "left").join(d, key, "left")
     rule_real = F.col("_rule").isNotNull() & (F.col("_rule") != catch_all)
     return j.select(
-        *base.columns,
+        *out_cols,
         F.coalesce("_ai", "_dict", F.when(rule_real, F.col("_rule")), F.lit(catch_all)).alias("final_categories"),
         F.when(F.col("_ai").isNotNull(), F.lit("expert"))
         .when(F.col("_dict").isNotNull(), F.lit("dictionary"))

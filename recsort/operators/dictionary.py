@@ -165,18 +165,19 @@ def sorted_categories(cats: Column) -> Column:
 
 
 def rule_classify(records: DataFrame, keywords: DataFrame, key: str = "vc_id",
-                  text: str = "text_combined", catch_all: str = CATCH_ALL_CATEGORY) -> DataFrame:
+                  text: str = "text_combined", catch_all: str = CATCH_ALL_CATEGORY,
+                  keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Strong-rule classifier, one output row per record, map-side only.
 
     Categories of every contained keyword (distinct, sorted); no match ->
-    the catch-all category.
+    the catch-all category. ``keep`` carries more record columns along.
     """
     rows = _keyword_rows(keywords)
-    staged = records.select(key, match_keywords(F.coalesce(F.col(text), F.lit("")), rows).alias("_m"))
+    staged = records.select(key, *keep, match_keywords(F.coalesce(F.col(text), F.lit("")), rows).alias("_m"))
     m = F.col("_m")
     cats = sorted_categories(F.transform(m, lambda s: s["category"]))
     return staged.select(
-        key,
+        key, *keep,
         F.when(F.size(m) > 0, cats).otherwise(F.lit(catch_all)).alias("rule_categories"),
         F.size(F.array_distinct(F.transform(m, lambda s: s["keyword"]))).alias("n_keywords"),
     )

@@ -348,9 +348,9 @@ def q_recover_removed(spark, sf):
 @query("merge_results")
 def q_merge_results(spark, sf):
     f2 = FX.f2_records(spark, sf)
-    base = f2.select("doc_id", "vc_id")
-    rules = D.rule_classify(f2, FX.keywords_df(spark), key="doc_id")
-    return C.merge_results(base, _parsed(spark, sf), _citations(spark, sf), rules, key="doc_id")
+    # rule branch as a column of the base rows: no second pass, no join
+    base = D.rule_classify(f2, FX.keywords_df(spark), key="doc_id", keep=["vc_id"]).drop("n_keywords")
+    return C.merge_results(base, _parsed(spark, sf), _citations(spark, sf), key="doc_id")
 
 
 # --------------------------------------------------------------------- F9

@@ -10,8 +10,11 @@ TABLES = (
 )
 
 
-# Tables whose rows carry long text or vectors: per-row work dominates.
-TEXT_TABLES = frozenset({"documents", "pages", "conversations", "embeddings", "benchmark"})
+# Columns holding long text or vectors: per-row work on them dominates.
+WIDE_COLUMNS = {
+    "documents": {"text"}, "pages": {"html"}, "conversations": {"text"},
+    "embeddings": {"embedding"}, "benchmark": {"text"},
+}
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -36,4 +39,5 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df) if name in TEXT_TABLES else df
+    wide = WIDE_COLUMNS.get(name, set())
+    return spread(df) if wide & set(df.columns) else df

@@ -81,13 +81,8 @@ def q_route_need_ai(spark, sf):
 
 @query("triage_stats")
 def q_triage_stats(spark, sf):
-    r = FX.f2_records(spark, sf)
-    one = S.need_expert("need_ai")
-    agg = r.agg(F.count(F.lit(1)).alias("n_total"),
-                F.count(F.when(one, 1)).alias("n_need_ai"),
-                F.count(F.when(~one | one.isNull(), 1)).alias("n_no_ai"))
-    pct = lambda c: F.round(F.try_divide(F.col(c).cast("double") * 100, F.col("n_total")), 6)
-    return agg.select("*", pct("n_need_ai").alias("pct_need_ai"), pct("n_no_ai").alias("pct_no_ai"))
+    from recsort.plans.jobs import prediction_stats
+    return prediction_stats(FX.f2_records(spark, sf))
 
 
 @query("sort_natural_id")

@@ -126,20 +126,27 @@ def complete(records: DataFrame, responder, key: str = "vc_id", **kw) -> DataFra
     return responder(requests_for(records, key, **kw), key)
 
 
-def results_from_responses(responses: DataFrame, key: str = "vc_id", suffix: str = "") -> DataFrame:
-    """Four result columns per response; errors and unusable bodies are request failures."""
+def results_from_responses(responses: DataFrame, key: str = "vc_id", suffix: str = "",
+                           keep_reply: bool = False) -> DataFrame:
+    """Four result columns per response; errors and unusable bodies are request failures.
+
+    ``keep_reply`` also keeps the transport ``error`` and the full reply
+    text as ``reply`` (for the event log).
+    """
     df = with_extracted_reply(responses, "body", "_reply_text", "_reply_ok")
     df = with_parsed_reply(df, "_reply_text", F.col("error").isNull() & F.col("_reply_ok"), suffix)
+    extra = [F.col("error"), F.col("_reply_text").alias("reply")] if keep_reply else []
     return df.select(key, *[c + suffix for c in
-                            ("ai_violation_categories", "ai_reason", "ai_raw_response", "process_status")])
+                            ("ai_violation_categories", "ai_reason", "ai_raw_response", "process_status")],
+                     *extra)
 
 
 def classify(records: DataFrame, prior: DataFrame | None, responder, mode: str = "new",
-             key: str = "vc_id", suffix: str = "", **kw) -> DataFrame:
+             key: str = "vc_id", suffix: str = "", keep_reply: bool = False, **kw) -> DataFrame:
     """Routed records still to do ('new') or failed before ('retry') -> result rows.
 
     Returns the input columns plus the four result columns, ready for
-    ``upsert``.
+    ``upsert`` (with ``keep_reply``, also ``error`` and ``reply``).
     """
     status_col = "process_status" + suffix
     if prior is None:
@@ -153,7 +160,7 @@ def classify(records: DataFrame, prior: DataFrame | None, responder, mode: str =
         todo = retry_failed(records, prior, status_col, key)
     else:
         raise ValueError(f"mode must be 'new' or 'retry', not {mode!r}")
-    res = materialise(results_from_responses(complete(todo, responder, key, **kw), key, suffix))
+    res = materialise(results_from_responses(complete(todo, responder, key, **kw), key, suffix, keep_reply))
     return todo.join(res, key)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from recsort.operators import classify as C
 from recsort.operators import state as S
 from recsort.operators import training as TR
-from recsort.sinks.results import ResultsTable, result_column_names, sink_rows, write_records
+from recsort.sinks.results import ResultsTable, result_column_names, sink_rows, write_events, write_records
 from recsort.sources.csv import SCORING_ENCODINGS, TRAINING_ENCODINGS, read_records, require_columns
 
 ROW_ORDER = "_row"
@@ -65,12 +65,15 @@ def score_job(spark: SparkSession, input_path: str, output_path: str, model_path
 
 def classify_job(spark: SparkSession, input_path: str, results_root: str, responder,
                  mode: str = "new", suffix: str = "", key: str = "vc_id",
-                 encodings: Sequence[str] = ("utf-8", "utf-8-sig")) -> DataFrame:
+                 encodings: Sequence[str] = ("utf-8", "utf-8-sig"),
+                 events_path: str | None = None) -> DataFrame:
     """Routed records still to do (``new``) or failed before (``retry``) -> results table.
 
     Duplicate ids in the input resolve to the last one in file order. New
     and changed rows are appended to the results table (whole rows replaced
-    by key); returns the per-status summary of this run.
+    by key); with ``events_path`` the request / response / error events of
+    this run are appended there as JSON lines. Returns the per-status
+    summary of this run.
     """
     records = read_records(spark, input_path, encodings).withColumn(ROW_ORDER, F.monotonically_increasing_id())
     table = ResultsTable(spark, results_root)
@@ -80,7 +83,13 @@ def classify_job(spark: SparkSession, input_path: str, results_root: str, respon
     prior = table.latest([key, status_col])
     if mode == "retry" and prior is None:
         raise ValueError("retry mode needs an existing results table")
-    rows = C.classify(records, prior, responder, mode=mode, key=key, suffix=suffix)
+    rows = C.classify(records, prior, responder, mode=mode, key=key, suffix=suffix,
+                      keep_reply=events_path is not None)
+    if events_path is not None:
+        results = rows.withColumnsRenamed({c + suffix: c for c in
+                                           ("ai_violation_categories", "ai_reason", "process_status")})
+        write_events(C.event_log(results, key=key), events_path)
+        rows = rows.drop("error", "reply")
     rows = S.last_write_wins(rows, key, [ROW_ORDER]).drop(ROW_ORDER)
     new = sink_rows(S.widen_schema(rows, result_column_names(suffix)))
     if table.state() is None:

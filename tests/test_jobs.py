@@ -54,8 +54,12 @@ def test_train_score_classify_retry(spark, tmp_dir):
 
     # retry mode: only the failures are sent again, now they succeed
     retry = {r.process_status: r.n_rows for r in J.classify_job(
-        spark, scored, results, C.PandasResponder(_responder(0)), mode="retry").collect()}
+        spark, scored, results, C.PandasResponder(_responder(0)), mode="retry",
+        events_path=f"{tmp_dir}/events").collect()}
     assert retry == {STATUS_OK: first[STATUS_REQUEST_FAIL]}
+    events = spark.read.json(f"{tmp_dir}/events")
+    kinds = {r.event: r["count"] for r in events.groupBy("event").count().collect()}
+    assert kinds == {"request": first[STATUS_REQUEST_FAIL], "response": first[STATUS_REQUEST_FAIL]}
     table = ResultsTable(spark, results).read()
     assert table.count() == routed
     assert table.filter(F.col("process_status") != STATUS_OK).count() == 0

@@ -18,18 +18,21 @@ WIDE_COLUMNS = {
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than the cluster has cores.
+    """Round-robin a scan that has far fewer splits than the cluster has cores.
 
-    A big data set has far more splits than cores and is left alone (no
-    shuffle); a small file with one row group would otherwise put all
-    per-row text work into a single task. The check is plan-time only.
+    Only small inputs qualify (at most a quarter of the cores, and the
+    fan-out is capped at 8x the splits): for them a shuffle is cheap and
+    per-row text work would otherwise sit in a handful of tasks. A large
+    data set has more splits than cores and is left alone. Plan-time check.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access: leave the scan as is
         return df
-    return df.repartition(want) if have < want else df
+    if have * 4 > want:
+        return df
+    return df.repartition(min(want, have * 8))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

@@ -17,20 +17,24 @@ WIDE_COLUMNS = {
 }
 
 
+SMALL_SCAN_SPLITS = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has far fewer splits than the cluster has cores.
+    """Round-robin a small scan that has fewer splits than the cluster has cores.
 
-    Only small inputs qualify (at most a quarter of the cores, and the
-    fan-out is capped at 8x the splits): for them a shuffle is cheap and
-    per-row text work would otherwise sit in a handful of tasks. A large
-    data set has more splits than cores and is left alone. Plan-time check.
+    Only small inputs qualify (at most ``SMALL_SCAN_SPLITS`` splits, about
+    8 GB at 128 MB per split; the fan-out is capped at 8x the splits): for
+    them a shuffle is cheap, and per-row text work would otherwise sit in a
+    handful of tasks (a file with one row group is one non-empty split).
+    Larger inputs are left alone. Plan-time check.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access: leave the scan as is
         return df
-    if have * 4 > want:
+    if have >= want or have > SMALL_SCAN_SPLITS:
         return df
     return df.repartition(min(want, have * 8))
 

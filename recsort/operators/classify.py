@@ -80,7 +80,10 @@ class RuleResponder:
                                      F.lit(NO_RULE_REASON)))
 
     def __call__(self, requests: DataFrame, key: str) -> DataFrame:
-        prompt = F.get_json_object(F.col("request"), "$.messages[1].content")
+        # use the prompt column when the caller kept it (then the request JSON
+        # is never built: column pruning drops it), else read the body
+        prompt = F.col("prompt") if "prompt" in requests.columns else \
+            F.get_json_object(F.col("request"), "$.messages[1].content")
         m = requests.select(key, match_keywords(F.coalesce(prompt, F.lit("")), self.rows).alias("_m"))
         return m.select(key, chat_body(self.reply(F.col("_m"))).alias("body"),
                         F.lit(None).cast("string").alias("error"))
@@ -116,9 +119,10 @@ def requests_for(records: DataFrame, key: str = "vc_id", text: str = "text_combi
                  rule_col: str = "violation_categories",
                  plain_template: str = PLAIN_TEMPLATE, hint_template: str = HINT_TEMPLATE,
                  **request_kw) -> DataFrame:
+    """(key, prompt, request) per record; ``request`` is the JSON body."""
     rc = clean_rule_categories(F.col(rule_col)) if rule_col in records.columns else F.lit("")
-    prompt = build_prompt(F.col(text), rc, plain_template, hint_template)
-    return records.select(key, build_request(prompt, **request_kw).alias("request"))
+    prompts = records.select(key, build_prompt(F.col(text), rc, plain_template, hint_template).alias("prompt"))
+    return prompts.withColumn("request", build_request(F.col("prompt"), **request_kw))
 
 
 def complete(records: DataFrame, responder, key: str = "vc_id", **kw) -> DataFrame:

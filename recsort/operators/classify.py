@@ -101,7 +101,9 @@ class PandasResponder:
 
     def __call__(self, requests: DataFrame, key: str) -> DataFrame:
         spark = requests.sparkSession
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(self.batch_rows))
+        conf_key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = spark.conf.get(conf_key, None)
+        spark.conf.set(conf_key, str(self.batch_rows))  # rows per call batch
         fn = self.fn
         key_type = requests.schema[key].dataType.simpleString()
 
@@ -112,7 +114,15 @@ class PandasResponder:
 
         out = requests.select(key, "request").repartition(self.concurrency) \
             .mapInPandas(call, f"{key} {key_type}, {RESPONSE_SCHEMA}")
-        return materialise(out) if self.materialise else out
+        if not self.materialise:
+            return out  # runs later with the session's batch size at that time
+        try:
+            return materialise(out)
+        finally:  # the checkpoint ran eagerly; give the session its setting back
+            if before is None:
+                spark.conf.unset(conf_key)
+            else:
+                spark.conf.set(conf_key, before)
 
 
 def requests_for(records: DataFrame, key: str = "vc_id", text: str = "text_combined",

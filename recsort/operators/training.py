@@ -153,15 +153,16 @@ def contrastive_pairs(clean: DataFrame, k: int = 2, rows_per_bucket: int = 4096,
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
     h = F.xxhash64(F.col("vc_id"), F.lit(seed))
     base = clean.select("vc_id", "label", F.pmod(h, F.lit(n_buckets)).alias("bucket"), h.alias("h"))
-    w = Window.partitionBy("label", "bucket").orderBy("h", "vc_id")
-    ranked = base.withColumn("rank", F.row_number().over(w) - 1).drop("h")
+    cell = Window.partitionBy("label", "bucket")
+    # rank and cell size share the (label, bucket) partitioning: one shuffle
+    ranked = base.withColumn("rank", F.row_number().over(cell.orderBy("h", "vc_id")) - 1) \
+        .withColumn("cell_size", F.count(F.lit(1)).over(cell)).drop("h")
     # one row per (label, bucket): grows with n / rows_per_bucket, so no
     # broadcast hint; AQE broadcasts it at run time when it is small
-    sizes = ranked.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("cell_size"))
+    sizes = ranked.select("label", "bucket", "cell_size").distinct()
 
-    anchors = ranked.join(sizes, ["label", "bucket"]) \
-        .select("vc_id", "label", "bucket", "rank", "cell_size",
-                F.explode(F.sequence(F.lit(1), F.lit(k))).alias("j"))
+    anchors = ranked.select("vc_id", "label", "bucket", "rank", "cell_size",
+                            F.explode(F.sequence(F.lit(1), F.lit(k))).alias("j"))
     # positives: same cell, never self (a cell of m rows gives min(k, m - 1))
     pos = anchors.filter(F.col("j") < F.col("cell_size")).select(
         F.col("vc_id").alias("anchor_id"), "label", "bucket", "j",

@@ -63,7 +63,13 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 class RuleResponder:
-    """Answers with the categories of every keyword found in the prompt."""
+    """Answers with the categories of every keyword found in the prompt.
+
+    Row-wise and Spark-native, so ``classify`` runs it on the record rows
+    themselves (``respond_rows``) and needs no join back to the records.
+    """
+
+    row_wise = True
 
     def __init__(self, keywords: DataFrame, catch_all: str = CATCH_ALL_CATEGORY):
         self.rows = _keyword_rows(keywords)
@@ -88,6 +94,12 @@ class RuleResponder:
         return m.select(key, chat_body(self.reply(F.col("_m"))).alias("body"),
                         F.lit(None).cast("string").alias("error"))
 
+    def respond_rows(self, rows: DataFrame) -> DataFrame:
+        """Add ``body`` and ``error`` to rows that carry a ``prompt`` column."""
+        m = rows.withColumn("_m", match_keywords(F.coalesce(F.col("prompt"), F.lit("")), self.rows))
+        return m.withColumns({"body": chat_body(self.reply(F.col("_m"))),
+                              "error": F.lit(None).cast("string")}).drop("_m")
+
 
 class PandasResponder:
     """Runs ``fn(pdf[key, request]) -> pdf[key, body, error]`` on executors."""
@@ -125,16 +137,20 @@ class PandasResponder:
                 spark.conf.set(conf_key, before)
 
 
-def requests_for(records: DataFrame, key: str = "vc_id", text: str = "text_combined",
-                 rule_col: str = "violation_categories",
-                 plain_template: str = PLAIN_TEMPLATE, hint_template: str = HINT_TEMPLATE,
-                 **request_kw) -> DataFrame:
-    """(key, prompt, request) per record; ``request`` is the JSON body."""
+def with_requests(records: DataFrame, text: str = "text_combined", rule_col: str = "violation_categories",
+                  plain_template: str = PLAIN_TEMPLATE, hint_template: str = HINT_TEMPLATE,
+                  **request_kw) -> DataFrame:
+    """Add ``prompt`` and ``request`` (the JSON body) to every record."""
     rc = clean_rule_categories(F.col(rule_col)) if rule_col in records.columns else F.lit("")
-    prompts = records.select(key, build_prompt(F.col(text), rc, plain_template, hint_template).alias("prompt"))
+    prompts = records.withColumn("prompt", build_prompt(F.col(text), rc, plain_template, hint_template))
     return prompts.withColumn("request", build_request(F.col("prompt"), **request_kw))
 
 
+def requests_for(records: DataFrame, key: str = "vc_id", **kw) -> DataFrame:
+    """(key, prompt, request) per record."""
+    return with_requests(records, **kw).select(key, "prompt", "request")
+
+
 def complete(records: DataFrame, responder, key: str = "vc_id", **kw) -> DataFrame:
     """Responses for the records: (key, body, error)."""
     return responder(requests_for(records, key, **kw), key)
@@ -147,14 +163,27 @@ def results_from_responses(responses: DataFrame, key: str = "vc_id", suffix: str
     ``keep_reply`` also keeps the transport ``error`` and the full reply
     text as ``reply`` (for the event log).
     """
-    df = with_extracted_reply(responses, "body", "_reply_text", "_reply_ok")
-    df = with_parsed_reply(df, "_reply_text", F.col("error").isNull() & F.col("_reply_ok"), suffix)
-    extra = [F.col("error"), F.col("_reply_text").alias("reply")] if keep_reply else []
+    df = with_results(responses, suffix, keep_reply)
+    extra = ["error", "reply"] if keep_reply else []
     return df.select(key, *[c + suffix for c in
                             ("ai_violation_categories", "ai_reason", "ai_raw_response", "process_status")],
                      *extra)
 
 
+def with_results(responses: DataFrame, suffix: str = "", keep_reply: bool = False) -> DataFrame:
+    """Add the four result columns to rows carrying ``body`` and ``error``.
+
+    Drops the prompt, request and body; ``keep_reply`` keeps ``error`` and the
+    full reply text as ``reply``.
+    """
+    df = with_extracted_reply(responses, "body", "_reply_text", "_reply_ok")
+    df = with_parsed_reply(df, "_reply_text", F.col("error").isNull() & F.col("_reply_ok"), suffix)
+    if keep_reply:
+        df = df.withColumnRenamed("_reply_text", "reply")
+    drop = ["_reply_ok", "body", "prompt", "request"] + ([] if keep_reply else ["_reply_text", "error"])
+    return df.drop(*[c for c in drop if c in df.columns])
+
+
 def classify(records: DataFrame, prior: DataFrame | None, responder, mode: str = "new",
              key: str = "vc_id", suffix: str = "", keep_reply: bool = False, **kw) -> DataFrame:
     """Routed records still to do ('new') or failed before ('retry') -> result rows.
@@ -174,6 +203,9 @@ def classify(records: DataFrame, prior: DataFrame | None, responder, mode: str =
         todo = retry_failed(records, prior, status_col, key)
     else:
         raise ValueError(f"mode must be 'new' or 'retry', not {mode!r}")
+    if getattr(responder, "row_wise", False):
+        # answer on the record rows themselves: no join back, no shuffle of text
+        return materialise(with_results(responder.respond_rows(with_requests(todo, **kw)), suffix, keep_reply))
     res = materialise(results_from_responses(complete(todo, responder, key, **kw), key, suffix, keep_reply))
     return todo.join(res, key)
 

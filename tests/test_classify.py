@@ -101,3 +101,14 @@ def test_event_log_one_pass_shape(spark):
     assert ev[("a", "request")].text_len == "3" and ev[("b", "request")].text_len == "0"
     assert ev[("a", "response")].status == "成功" and ev[("a", "response")].raw_response == "R"
     assert ev[("b", "error")].error == "timeout" and ev[("b", "error")].status is None
+
+
+def test_rule_responder_paths_agree(spark):
+    rec = S.route_need_ai(FX.f2_records(spark, SF_SMALL))
+    responder = C.RuleResponder(FX.keywords_df(spark))
+    # only the JSON body: the responder must read the prompt back out of it
+    via_json = responder(C.requests_for(rec).select("vc_id", "request"), "vc_id").select("vc_id", "body")
+    via_rows = responder.respond_rows(C.with_requests(rec)).select("vc_id", "body")
+    a = sorted(tuple(r) for r in via_json.collect())
+    b = sorted(tuple(r) for r in via_rows.collect())
+    assert a == b and len(a) == rec.count()

@@ -30,6 +30,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsort.llm.suffix_dedup import dedup_substrings
+    return dedup_substrings(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsort.llm.quality_rules import judge
     out = judge(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").select("doc_id", "lang", "source", "text"))
@@ -70,4 +75,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc, op2_simhash_dedup, op3_toxicity, op5_quality_rules, op6_packing, op7_cross_entropy, op8_license_scan, op9_decontamination, op10_line_dedup)}
+    op1_warc, op2_simhash_dedup, op3_toxicity, op4_suffix_dedup, op5_quality_rules, op6_packing, op7_cross_entropy, op8_license_scan, op9_decontamination, op10_line_dedup)}

@@ -32,6 +32,7 @@ id alone are ordered by a hash of the text; an empty table gives an empty table.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +44,7 @@ from recsort.llm.common import shuffle_partitions, staged
 
 LENGTH = 100
 GRAM = 32
-BLOCK_BYTES = 256 << 10
+BLOCK_BYTES = 1 << 20
 WIDE = 32  # rotations whose characters are counted rather than looked at
 PLACE = np.uint64((1 << 24) - 1)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -69,14 +70,14 @@ def sliding_minimum(h: np.ndarray, width: int) -> np.ndarray:
     return low
 
 
-def minimizers(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text, first window, last window) of the minimizers of texts laid end to end, in places of ``data``.
+def minimizers(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(hash, text, first window, last window, gram's place after the first window) of the minimizers of texts laid end to end.
 
     Windows that would reach from one text into the next are none.
     """
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return np.zeros(0, np.uint64), none, none, none
+        return np.zeros(0, np.uint64), none, none, none, none
     h = gram_hashes(data, gram)
     # The place in the low bits makes the leftmost gram the smallest among equal ones.
     low = sliding_minimum((h & ~PLACE) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
@@ -84,11 +85,11 @@ def minimizers(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tu
     text = np.searchsorted(ends, at, "right")
     at = at[inside := text == np.searchsorted(ends, at + length - 1, "right")]
     if not len(at):
-        return np.zeros(0, np.uint64), none, none, none
+        return np.zeros(0, np.uint64), none, none, none, none
     place, text = (low[at] & PLACE).astype(np.int64), text[inside]
     first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (text[1:] != text[:-1])])
     last = np.r_[first[1:], len(at)] - 1
-    return h[place[first]], text[first], at[first], at[last]
+    return h[place[first]], text[first], at[first], at[last], place[first] - at[first]
 
 
 def rotations(data: np.ndarray, depth: int) -> np.ndarray:
@@ -123,40 +124,40 @@ def long_prefixes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     order = rotations(data, length)
     before = data[order - 1]  # the transform: the character before each rotation
     count = np.bincount(before, minlength=256)
-    begin = np.cumsum(count) - count
-    by_character = np.argsort(before, kind="stable")
-    step = np.empty(n, np.int64)  # where the rotation that starts one earlier stands
-    step[by_character] = np.arange(n)
-    present = np.flatnonzero(count)
-    rows_of = {c: by_character[begin[c]:begin[c] + count[c]] for c in present.tolist()}
+    begin = (np.cumsum(count) - count).astype(np.int32)
+    by_character = np.argsort(before, kind="stable").astype(np.int32)
+    step = np.empty(n, np.int32)  # where the rotation that starts one earlier stands
+    step[by_character] = np.arange(n, dtype=np.int32)
+    rows_of = {c: by_character[begin[c]:begin[c] + count[c]] for c in np.flatnonzero(count).tolist()}
     drawn = np.zeros(n + 1, bool)
     drawn[0] = drawn[n] = True
-    low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
+    low, high = np.zeros(1, np.int32), np.full(1, n, np.int32)
     for _ in range(length):
-        lows, highs = [], []
         size = high - low
-        # Single rotations step back by themselves.
-        to = step[low[size == 1]]
-        lows.append(to)
-        highs.append(to + 1)
+        # A single rotation steps back by itself, and so do two that differ in the character before them.
+        two = low[size == 2]
+        alike = before[two] == before[two + 1]
+        pair, apart = step[two[alike]], two[~alike]
+        to = step[np.concatenate([low[size == 1], apart, apart + 1])]
+        lows, highs = [to, pair], [to + 1, pair + 2]
         # Few rotations: their characters are looked at.
-        if len(own := np.flatnonzero((size > 1) & (size <= WIDE))):
+        if len(own := np.flatnonzero((size > 2) & (size <= WIDE))):
             n_own = size[own]
             row = np.repeat(low[own] - (np.cumsum(n_own) - n_own), n_own) + np.arange(n_own.sum())
-            key = np.repeat(np.arange(len(own)) << 8, n_own) | before[row]
+            key = np.repeat(np.arange(len(own), dtype=np.int32) << 8, n_own) | before[row]
             by_key = np.argsort(key, kind="stable")
             first = np.flatnonzero(np.r_[True, (k := key[by_key])[1:] != k[:-1]])
             to = step[row[by_key[first]]]
             lows.append(to)
-            highs.append(to + np.diff(np.r_[first, len(key)]))
+            highs.append(to + np.diff(np.r_[first, len(key)]).astype(np.int32))
         # Many rotations: each character's rows within the interval are counted.
         wide = size > WIDE
         if wide.any():
             for c, rows in rows_of.items():
                 a, b = np.searchsorted(rows, low[wide]), np.searchsorted(rows, high[wide])
                 some = b > a
-                lows.append(begin[c] + a[some])
-                highs.append(begin[c] + b[some])
+                lows.append(begin[c] + a[some].astype(np.int32))
+                highs.append(begin[c] + b[some].astype(np.int32))
         low, high = np.concatenate(lows), np.concatenate(highs)
         new = ~drawn[high]
         low, high = low[new], high[new]
@@ -181,7 +182,7 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
 
 
-OCCURRENCES = "h bigint, did bigint, th int, first int, last int"
+OCCURRENCES = "h bigint, did bigint, th int, first int, last int, at int"
 
 
 def occurrences(keyed: DataFrame, length: int, gram: int) -> DataFrame:
@@ -192,9 +193,9 @@ def occurrences(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             did, th = batch.column("did").to_numpy(), batch.column("th").to_numpy()
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for at, first_byte, data, ends in _pieces(texts, length):
-                h, text, first, last = minimizers(data, ends, length, gram)
+                h, text, first, last, inside = minimizers(data, ends, length, gram)
                 shift = first_byte[text] - np.r_[0, ends][text]
-                yield _batch(OCCURRENCES, h.view(np.int64), did[at[text]], th[at[text]], first + shift, last + shift)
+                yield _batch(OCCURRENCES, h.view(np.int64), did[at[text]], th[at[text]], first + shift, last + shift, inside)
 
     return keyed.mapInArrow(scan, OCCURRENCES)
 
@@ -242,6 +243,7 @@ def repeated(rows: DataFrame) -> DataFrame:
 
 
 # text: the context's bytes, or null where all its windows are known to be repeats.
+# n: windows of a repeat, or the place of the minimizer in the text.
 CONTEXTS = "h bigint, did bigint, th int, first int, n int, text binary"
 HELD_BYTES = 32 << 20
 
@@ -250,14 +252,14 @@ def contexts(rows: DataFrame, length: int) -> DataFrame:
     """The contexts of (did, th, text, found) rows; those equal to an earlier one of the same task are marked as repeats."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first_of: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        first_of: dict[tuple[int, bytes, int], tuple[int, int, int]] = {}
         held = 0
         for batch in batches:
             out = []
             cols = (batch.column(c).to_pylist() for c in ("did", "th", "text", "found"))
             for did, th, text, found in zip(*cols, strict=True):
                 for f in found:
-                    key, here = (f["h"], text[f["first"]:f["last"] + length]), (did, th, f["first"])
+                    key, here = (f["h"], text[f["first"]:f["last"] + length], f["at"]), (did, th, f["first"])
                     there = first_of.setdefault(key, here)
                     if there is here:
                         held += len(key[1]) + 200
@@ -277,21 +279,20 @@ def contexts(rows: DataFrame, length: int) -> DataFrame:
 def _first_places(first_of: dict) -> Iterator[pa.RecordBatch]:
     items = iter(first_of.items())
     while part := [x for _, x in zip(range(20_000), items, strict=False)]:
-        yield _batch(CONTEXTS, [h for (h, _), _ in part], [p[0] for _, p in part], [p[1] for _, p in part], [p[2] for _, p in part],
-                     [len(t) for (_, t), _ in part], [t for (_, t), _ in part])
+        yield _batch(CONTEXTS, [k[0] for k, _ in part], [p[0] for _, p in part], [p[1] for _, p in part], [p[2] for _, p in part],
+                     [k[2] for k, _ in part], [k[1] for k, _ in part])
 
 
 REPEATS = "did bigint, th int, first int, last int"
 
 
-def repeats(rows: DataFrame, length: int, block_bytes: int) -> DataFrame:
+def repeats(rows: DataFrame, length: int, gram: int, block_bytes: int) -> DataFrame:
     """Ranges of windows that start earlier too, from all contexts, dealt by minimizer and sorted by (minimizer, text)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: list[tuple[bytes, tuple[int, int, int]]] = []  # contexts of whole minimizers
-        group: list[tuple[bytes, tuple[int, int, int]]] = []  # distinct contexts of the current one
-        size = group_size = 0
-        current, out = None, []
+        group: list[tuple[bytes, tuple[int, int, int], int]] = []  # distinct contexts of the current one
+        size, current, out = 0, None, []
         for batch in batches:
             for h, did, th, first, n, text in zip(*(batch.column(c).to_pylist() for c in ("h", "did", "th", "first", "n", "text")), strict=True):
                 here = (did, th, first)
@@ -299,10 +300,9 @@ def repeats(rows: DataFrame, length: int, block_bytes: int) -> DataFrame:
                     out.append((did, th, first, first + n - 1))
                     continue
                 if h != current:
-                    if len(group) > 1:
-                        block += group
-                        size += group_size
-                    group, group_size, current = [], 0, h
+                    block += (some := _comparable(group, length, gram))
+                    size += sum(len(t) + 1 for t, _ in some)
+                    group, current = [], h
                     if size >= block_bytes:
                         out += repeated_windows(block, length, block_bytes)
                         block, size = [], 0
@@ -311,15 +311,13 @@ def repeats(rows: DataFrame, length: int, block_bytes: int) -> DataFrame:
                     if here != there:
                         late = max(here, there)
                         out.append((*late, late[2] + len(text) - length))
-                        group[-1] = (text, min(here, there))
+                        group[-1] = (text, min(here, there), n)
                 else:
-                    group.append((text, here))
-                    group_size += len(text) + 1
+                    group.append((text, here, n))
             if out:
                 yield _batch(REPEATS, *zip(*out, strict=True))
                 out = []
-        if len(group) > 1:
-            block += group
+        block += _comparable(group, length, gram)
         if block:
             out += repeated_windows(block, length, block_bytes)
         if out:
@@ -329,6 +327,21 @@ def repeats(rows: DataFrame, length: int, block_bytes: int) -> DataFrame:
     return dealt.mapInArrow(scan, REPEATS)
 
 
+def _comparable(group: list[tuple[bytes, tuple[int, int, int], int]], length: int, gram: int) -> list[tuple[bytes, tuple[int, int, int]]]:
+    """The distinct contexts of a minimizer that can share a window with another.
+
+    A window goes at least half of ``length - gram`` bytes beyond the minimizer
+    on one side, so a context alone with the bytes on both sides has none.
+    """
+    if len(group) < 2:
+        return []
+    half = (length - gram + 1) // 2
+    left = [t[at - half:at] if at >= half else None for t, _, at in group]
+    right = [t[at + gram:at + gram + half] if len(t) >= at + gram + half else None for t, _, at in group]
+    n_left, n_right = Counter(left), Counter(right)
+    return [(t, p) for (t, p, _), a, b in zip(group, left, right, strict=True) if (a is not None and n_left[a] > 1) or (b is not None and n_right[b] > 1)]
+
+
 def repeated_windows(block: list[tuple[bytes, tuple[int, int, int]]], length: int, block_bytes: int) -> list[tuple[int, int, int, int]]:
     """Ranges of the windows of ``block``'s contexts that occur earlier in it."""
     total = sum(len(t) + 1 for t, _ in block)
@@ -407,13 +420,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     keyed = _keyed(docs, id_col, text_col)
     found = repeated(occurrences(keyed, length, gram)).groupBy(*KEYS).agg(
-        F.collect_list(F.struct("h", "first", "last")).alias("found"))
+        F.collect_list(F.struct("h", "first", "last", "at")).alias("found"))
     # The texts that have to be looked at, by document, so that they are not shuffled again.
     name = f"substring_texts_{uuid.uuid4().hex[:16]}"
     texts = keyed.select(*KEYS, F.col("text").cast("binary").alias("text")).join(found, KEYS)
     texts.write.bucketBy(shuffle_partitions(spark), *KEYS).sortBy(*KEYS).option("compression", "zstd").format("parquet").saveAsTable(name)
     try:
-        late = repeats(contexts(spark.table(name).select(*KEYS, "text", "found"), length), length, block_bytes)
+        late = repeats(contexts(spark.table(name).select(*KEYS, "text", "found"), length), length, gram, block_bytes)
         late = late.groupBy(*KEYS).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
         one = spark.table(name).select(*KEYS, "text")
         cut = _cut(one.join(late, KEYS), length).withColumn("sha", F.sha2("kept", 256))

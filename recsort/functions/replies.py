@@ -120,8 +120,10 @@ def with_extracted_reply(df: DataFrame, body: str, text_out: str = "reply_text",
 
     Non-empty ``choices`` -> first message content (missing -> '');
     else ``response``; else ``content``; else the whole body as text.
-    A null or non-text value, a body that is not a JSON object, or a
-    ``choices`` entry that is not an object gives a null text and
+    A body that is a JSON string is its own text, an array its JSON text,
+    unless one of the three names stands in it (in the string, or as an
+    element), which fails the lookup. A null or non-text value, any other
+    body, or a ``choices`` entry that is not an object gives a null text and
     ``ok_out`` false (the request-failure path). The whole-body fallback
     keeps the JSON text.
     """
@@ -148,8 +150,13 @@ def with_extracted_reply(df: DataFrame, body: str, text_out: str = "reply_text",
     def text_of(x: str) -> Column:
         return F.try_variant_get(k(x), "$", "string")
 
+    own = F.try_variant_get(v, "$", "string")
+    names = F.array(*[F.lit(x) for x in ("choices", "response", "content")])
+    named = F.coalesce(F.arrays_overlap(F.try_variant_get(v, "$", "array<string>"), names), F.lit(False))
     text = (
-        F.when(v.isNull() | ~k("_k_top").startswith("OBJECT"), F.lit(None).cast("string"))
+        F.when(k("_k_top") == "STRING", F.when(~own.rlike("choices|response|content"), own))
+        .when(k("_k_top").startswith("ARRAY"), F.when(~named, F.to_json(v)))
+        .when(v.isNull() | ~k("_k_top").startswith("OBJECT"), F.lit(None).cast("string"))
         .when(ch_nonempty & first_ok & k("_content").isNull(), F.lit(""))
         .when(ch_nonempty & first_ok & (k("_k_content") == "STRING"), text_of("_content"))
         .when(ch_nonempty | ch_other, F.lit(None).cast("string"))

@@ -254,22 +254,26 @@ def event_log(rows: DataFrame, mode: str = "batch", key: str = "vc_id") -> DataF
     ``rows`` carries the record (``text_combined``, ``violation_categories``),
     the transport ``error``, the raw ``reply`` and the parsed result columns.
     Every row emits a request event and then either a response or an error
-    event; ``inline`` expands them without a union (no second scan).
+    event; ``inline`` expands them without a union (no second scan). A reply
+    body without usable text (null ``reply``) is an error event. The HTTP
+    ``status_code`` is taken from ``rows`` if they have it.
     """
     null = F.lit(None).cast("string")
+    number = F.lit(None).cast("int")
+    code = F.col("status_code").cast("int") if "status_code" in rows.columns else number
     rc = clean_rule_categories(F.col("violation_categories"))
 
     def event(kind, **cols):
         names = ["rule_categories", "text_len", "prompt", "status", "ai_category", "ai_reason",
-                 "raw_response", "error"]
+                 "raw_response", "status_code", "error"]
         return F.struct(F.lit(kind).alias("event"), F.col(key).alias(key),
-                        *[cols.get(n, null).alias(n) for n in names], F.lit(mode).alias("mode"))
+                        *[cols.get(n, number if n in ("text_len", "status_code") else null).alias(n) for n in names], F.lit(mode).alias("mode"))
 
     request = event("request", rule_categories=rc,
-                    text_len=F.length(F.coalesce("text_combined", F.lit(""))).cast("string"),
+                    text_len=F.length(F.coalesce("text_combined", F.lit(""))),
                     prompt=build_prompt(F.col("text_combined"), rc))
     response = event("response", status=F.col("process_status"), ai_category=F.col("ai_violation_categories"),
                      ai_reason=F.col("ai_reason"), raw_response=F.col("reply"))
-    error = event("error", error=F.col("error"))
-    second = F.when(F.col("error").isNull(), response).otherwise(error)
+    error = event("error", status_code=code, error=F.coalesce("error", F.lit("unusable reply body")))
+    second = F.when(F.col("error").isNull() & F.col("reply").isNotNull(), response).otherwise(error)
     return rows.select(F.inline(F.array(request, second)))

@@ -191,12 +191,11 @@ def normalise_article(c: Column) -> Column:
     return strip_u(F.regexp_replace(fold_width(c), f"{WS_CLASS}+", " "))
 
 
-def clean_edges(c: Column, rules, passes: int) -> Column:
-    """Apply the anchored edge rules in order, ``passes`` times (to a fixed point)."""
+def clean_edges(c: Column, rules) -> Column:
+    """Apply the edge rules in order; each pattern is anchored and repeats, so one pass is the fixed point."""
     out = c
-    for _ in range(passes):
-        for _name, pattern in rules:
-            out = F.regexp_replace(out, pattern, "")
+    for _name, pattern in rules:
+        out = F.regexp_replace(out, pattern, "")
     return out
 
 
@@ -204,17 +203,17 @@ def rules_fired(c: Column, rules) -> Column:
     return F.concat_ws("+", *[F.when(c.rlike(p), F.lit(n)) for n, p in rules])
 
 
-def clean_edges_log(lines: DataFrame, rules, passes: int, text: str = "line") -> DataFrame:
+def clean_edges_log(lines: DataFrame, rules, text: str = "line") -> DataFrame:
     """Audit rows for every line the edge rules changed."""
-    after = clean_edges(F.col(text), rules, passes)
+    after = clean_edges(F.col(text), rules)
     return lines.select("doc_id", F.col(text).alias("before"), after.alias("after"),
                         rules_fired(F.col(text), rules).alias("rule")) \
         .filter(~F.col("before").eqNullSafe(F.col("after")))
 
 
-def article_entries(lines: DataFrame, keywords: DataFrame, rules, passes: int) -> DataFrame:
+def article_entries(lines: DataFrame, keywords: DataFrame, rules) -> DataFrame:
     """(doc_id, article, category) from cited lines: normalise, clean edges, match."""
-    art = lines.select("doc_id", clean_edges(normalise_article(F.col("line")), rules, passes).alias("article"))
+    art = lines.select("doc_id", clean_edges(normalise_article(F.col("line")), rules).alias("article"))
     rows = _keyword_rows(keywords)
     m = match_keywords(F.col("article"), rows)
     return art.select("doc_id", "article", F.explode(F.array_distinct(F.transform(m, lambda s: s["category"])))
@@ -254,36 +253,34 @@ def remove_categories(pairs: DataFrame, stop: Iterable[str]) -> DataFrame:
 
 
 def recover_removed(pairs: DataFrame, stop: Iterable[str], recover_contains: str) -> DataFrame:
-    """Final entries = kept + removed entries that the recovery rule puts back."""
-    kept = remove_categories(pairs, stop)
-    removed = pairs.join(kept, ["article", "category"], "left_anti")
-    back = removed.filter(F.col("article").contains(recover_contains))
-    return kept.withColumn("recovered", F.lit(False)) \
-        .unionByName(back.withColumn("recovered", F.lit(True)))
+    """Final entries = kept + removed entries that the recovery rule puts back, in one pass."""
+    removed = F.col("category").isin(list(stop))
+    return pairs.filter(~removed | F.col("article").contains(recover_contains)).withColumn("recovered", removed)
 
 
 # ---------------------------------------------------------------------------
 # Citations
 
-def wrap_citations(text: Column, marker_like: str = "icense") -> Column:
-    """Test-data helper: put 《》 around every line that mentions a licence."""
-    return F.regexp_replace(text, f"(?m)^(.*{marker_like}.*)$", "《$1》")
-
-
 def extract_citations(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("《([^》]+)》"), F.lit(1))
 
 
-def citation_lookup(docs: DataFrame, pairs: DataFrame, rules, passes: int,
+def citation_lookup(docs: DataFrame, pairs: DataFrame, rules,
                     key: str = "doc_id", text: str = "cited_text") -> DataFrame:
-    """Per record: cited laws -> dictionary categories (records without any kept)."""
-    cites = docs.select(key, F.explode_outer(extract_citations(F.col(text))).alias("citation"))
-    cites = cites.withColumn("article", clean_edges(normalise_article(F.col("citation")), rules, passes))
-    j = cites.join(pairs, "article", "left")
-    return j.groupBy(key).agg(
-        F.count("citation").alias("n_citations"),
-        sorted_categories(F.collect_set("category")).alias("categories"),
-    )
+    """Per record: number of citations and the dictionary categories they stand for.
+
+    The dictionary enters the join with one row per article, records without
+    citations stay out of it, and only cited articles that the dictionary
+    holds come back.
+    """
+    cited = docs.select(key, extract_citations(F.col(text)).alias("citations"))
+    articles = cited.select(key, F.explode("citations").alias("citation")).select(
+        key, clean_edges(normalise_article(F.col("citation")), rules).alias("article"))
+    by_article = pairs.groupBy("article").agg(F.collect_set("category").alias("own"))
+    found = articles.join(by_article, "article").groupBy(key).agg(F.array_distinct(F.flatten(F.collect_set("own"))).alias("own"))
+    counts = cited.groupBy(key).agg(F.sum(F.size("citations")).alias("n_citations"))
+    return counts.join(found, key, "left").select(
+        key, "n_citations", sorted_categories(F.coalesce("own", F.array().cast("array<string>"))).alias("categories"))
 
 
 # ---------------------------------------------------------------------------

@@ -285,7 +285,7 @@ def q_keyword_match_indexed(spark, sf):
 
 
 def _entries(spark, sf):
-    return D.article_entries(FX.f8_article_lines(spark, sf), FX.keywords_df(spark), FX.EDGE_RULES, FX.EDGE_PASSES)
+    return D.article_entries(FX.f8_article_lines(spark, sf), FX.keywords_df(spark), FX.EDGE_RULES)
 
 
 def _pairs(spark, sf):
@@ -298,8 +298,8 @@ def q_article_dictionary(spark, sf):
 
 
 def _citations(spark, sf):
-    d = _docs(spark, sf).select("doc_id", D.wrap_citations(F.col("text")).alias("cited_text"))
-    return D.citation_lookup(d, _pairs(spark, sf), FX.EDGE_RULES, FX.EDGE_PASSES)
+    d = _docs(spark, sf).select("doc_id", FX.cited_text(F.col("text")).alias("cited_text"))
+    return D.citation_lookup(d, _pairs(spark, sf), FX.EDGE_RULES)
 
 
 @query("citation_lookup")
@@ -316,13 +316,13 @@ def q_normalise_article(spark, sf):
 @query("clean_edges")
 def q_clean_edges(spark, sf):
     lines = FX.f8_article_lines(spark, sf)
-    art = D.clean_edges(D.normalise_article(F.col("line")), FX.EDGE_RULES, FX.EDGE_PASSES)
+    art = D.clean_edges(D.normalise_article(F.col("line")), FX.EDGE_RULES)
     return lines.select("doc_id", "line", art.alias("article"))
 
 
 @query("clean_edges_log")
 def q_clean_edges_log(spark, sf):
-    return D.clean_edges_log(FX.f8_article_lines(spark, sf), FX.EDGE_RULES, FX.EDGE_PASSES)
+    return D.clean_edges_log(FX.f8_article_lines(spark, sf), FX.EDGE_RULES)
 
 
 @query("correct_mapping")

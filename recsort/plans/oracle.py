@@ -27,7 +27,6 @@ from recsort.operators.classify import NO_RULE_REASON
 from recsort.operators.quality import CATCH_ALL_MAX_TEXT, MAX_CATEGORIES, QUOTE_SPAN
 from recsort.sources.fixtures import (
     CORRECTIONS,
-    EDGE_PASSES,
     EDGE_RULES,
     GROUPS,
     KEYWORDS,
@@ -113,12 +112,12 @@ F5 = f"""
 SELECT d.doc_id, {vc_id()} AS vc_id,
        CASE WHEN d.doc_id % 10 = 9 THEN 'timeout' ELSE NULL END AS error,
        CASE d.doc_id % 10
-         WHEN 0 THEN '【违规类别】：permissive||copyleft' || chr(10) || '【判断理由】：quotes ' || substr(d.text, 1, 20)
+         WHEN 0 THEN '【违规类别】：permissive||copyleft' || chr(10) || '【判断理由】：quotes ' || translate(d.text, '【】', '  ')
          WHEN 1 THEN '【违规类别】: permissive' || chr(10) || '【判断理由】: line one' || chr(10) || chr(10) || 'line two '
          WHEN 2 THEN '【判断理由】：reason first' || chr(10) || '【违规类别】：copyleft'
          WHEN 3 THEN '违规类别：permissive判断理由：plain labels'
          WHEN 4 THEN '【违规类别】：permissive'
-         WHEN 5 THEN substr(translate(d.text, '：:【】', '    '), 1, 600)
+         WHEN 5 THEN translate(d.text, '：:【】', '    ')
          WHEN 6 THEN ''
          WHEN 7 THEN '【违规类别】：permissive||permissive||copyleft【判断理由】：repeats'
          WHEN 8 THEN '【违规类别】：homemade(自创)||unknown【判断理由】：off list'
@@ -135,7 +134,6 @@ FROM ({F2}) x WHERE x.doc_id % 4 IN (0, 1)
 
 F8_LINES = """
 SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) q
-WHERE line LIKE '%icense%'
 """
 
 
@@ -203,9 +201,8 @@ def normalise_article(x: str) -> str:
 
 def clean_edges(x: str) -> str:
     out = x
-    for _ in range(EDGE_PASSES):
-        for _n, p in EDGE_RULES:
-            out = f"regexp_replace({out}, {lit(p)}, '')"
+    for _n, p in EDGE_RULES:
+        out = f"regexp_replace({out}, {lit(p)}, '')"
     return out
 
 
@@ -226,7 +223,7 @@ FROM (SELECT doc_id, {article_of('line')} AS article FROM ({F8_LINES}) l) a
 PAIRS = f"SELECT DISTINCT article, category FROM ({ENTRIES}) e"
 
 CITATIONS = f"""
-w AS (SELECT doc_id, regexp_extract_all(regexp_replace(text, '(?m)^(.*icense.*)$', '《\\1》', 'g'), '《([^》]+)》', 1) AS cites
+w AS (SELECT doc_id, regexp_extract_all(regexp_replace(text, '(?m)^([^\n]+)$', '《\\1》', 'g'), '《([^》]+)》', 1) AS cites
       FROM documents),
 e AS (SELECT doc_id, unnest(range(len(cites))) AS pos, unnest(cites) AS citation FROM w),
 e2 AS (SELECT doc_id, pos, {article_of('citation')} AS article FROM e),
@@ -302,6 +299,9 @@ SQL["build_request"] = f"""SELECT vc_id, 'offline-rules' AS model, CAST(2 AS BIG
 
 _BODIES = f"""SELECT doc_id, vc_id, error,
   CASE WHEN error IS NOT NULL THEN NULL
+       WHEN doc_id % 35 = 11 THEN to_json(reply)::VARCHAR
+       WHEN doc_id % 35 = 12 THEN json_array(reply)::VARCHAR
+       WHEN doc_id % 35 = 13 THEN '["choices"]'
        WHEN doc_id % 5 = 0 THEN json_object('choices', json_array(json_object('message', json_object('content', reply))))::VARCHAR
        WHEN doc_id % 5 = 1 THEN json_object('response', reply)::VARCHAR
        WHEN doc_id % 5 = 2 THEN json_object('content', reply)::VARCHAR
@@ -315,7 +315,12 @@ def _jt(path: str) -> str:
 
 
 _EXTRACT = f"""CASE
-  WHEN body IS NULL OR NOT json_valid(body) OR json_type(body) <> 'OBJECT' THEN NULL
+  WHEN body IS NULL OR NOT json_valid(body) THEN NULL
+  WHEN json_type(body) = 'VARCHAR' THEN
+    CASE WHEN regexp_matches(json_extract_string(body, '$'), 'choices|response|content') THEN NULL ELSE json_extract_string(body, '$') END
+  WHEN json_type(body) = 'ARRAY' THEN
+    CASE WHEN list_has_any(json_extract_string(body, '$[*]'), ['choices', 'response', 'content']) THEN NULL ELSE body END
+  WHEN json_type(body) <> 'OBJECT' THEN NULL
   WHEN {_jt('$.choices')} = 'ARRAY' AND json_array_length(body, '$.choices') > 0 THEN
     CASE WHEN {_jt('$.choices[0]')} <> 'OBJECT' THEN NULL
          WHEN {_jt('$.choices[0].message')} IS NULL THEN ''
@@ -342,15 +347,15 @@ _EV_SRC = f"""SELECT f5.doc_id, f5.vc_id, f5.error, f5.reply, f2.text_combined,
 FROM ({F5}) f5 JOIN ({F2}) f2 ON f5.doc_id = f2.doc_id"""
 SQL["event_log"] = f"""WITH {parsed(_EV_SRC)}
 SELECT 'request' AS event, vc_id, {clean_rule_categories('violation_categories')} AS rule_categories,
-  CAST(length(coalesce(text_combined, '')) AS VARCHAR) AS text_len,
+  length(coalesce(text_combined, '')) AS text_len,
   {prompt('text_combined', clean_rule_categories('violation_categories'))} AS prompt,
   CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS ai_category, CAST(NULL AS VARCHAR) AS ai_reason,
-  CAST(NULL AS VARCHAR) AS raw_response, CAST(NULL AS VARCHAR) AS error, 'batch' AS mode FROM parsed
+  CAST(NULL AS VARCHAR) AS raw_response, CAST(NULL AS INTEGER) AS status_code, CAST(NULL AS VARCHAR) AS error, 'batch' AS mode FROM parsed
 UNION ALL
-SELECT 'response', vc_id, NULL, NULL, NULL, process_status, ai_violation_categories, ai_reason, reply, NULL, 'batch'
-FROM parsed WHERE error IS NULL
+SELECT 'response', vc_id, NULL, NULL, NULL, process_status, ai_violation_categories, ai_reason, reply, NULL, NULL, 'batch'
+FROM parsed WHERE error IS NULL AND reply IS NOT NULL
 UNION ALL
-SELECT 'error', vc_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, error, 'batch' FROM parsed WHERE error IS NOT NULL"""
+SELECT 'error', vc_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, coalesce(error, 'unusable reply body'), 'batch' FROM parsed WHERE error IS NOT NULL OR reply IS NULL"""
 
 SQL["resume_pending"] = f"SELECT doc_id, vc_id FROM ({_ROUTED}) r WHERE vc_id NOT IN ({PROCESSED})"
 SQL["retry_failed"] = f"""SELECT doc_id, vc_id FROM ({_ROUTED}) r WHERE vc_id IN

@@ -23,12 +23,11 @@ KEYWORDS = (
     ("General Public License", "copyleft"),
     ("CC BY-NC", "noncommercial"),
 )
-# F8 article edge rules: (name, anchored pattern); applied in order, repeated
+# F8 article edge rules: (name, anchored pattern); each takes all repeats of its edge at once
 EDGE_RULES = (
-    ("lead", r"^(This work is licensed under the|Licensed under the|Released under the|Licensed under) "),
-    ("tail", r"(, [Vv]ersion [0-9.]+)?[.]$"),
+    ("lead", r"^(?:(?:This work is licensed under the|Licensed under the|Released under the|Licensed under) )+"),
+    ("tail", r"(?:(?:, [Vv]ersion [0-9.]+)?[.])+\z"),
 )
-EDGE_PASSES = 3
 # F8 corrections: (article, old category, new category)
 CORRECTIONS = (
     ("GNU General Public License", "copyleft", "strong copyleft"),
@@ -99,12 +98,12 @@ def f5_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     nl = "\n"
     reply = (
         F.when(m == 0, F.concat(F.lit("【违规类别】：permissive||copyleft" + nl + "【判断理由】：quotes "),
-                                F.substring(d.text, 1, 20)))
+                                F.translate(d.text, "【】", "  ")))
         .when(m == 1, F.lit("【违规类别】: permissive" + nl + "【判断理由】: line one" + nl + nl + "line two "))
         .when(m == 2, F.lit("【判断理由】：reason first" + nl + "【违规类别】：copyleft"))
         .when(m == 3, F.lit("违规类别：permissive判断理由：plain labels"))
         .when(m == 4, F.lit("【违规类别】：permissive"))
-        .when(m == 5, F.substring(F.translate(d.text, "：:【】", "    "), 1, 600))
+        .when(m == 5, F.translate(d.text, "：:【】", "    "))
         .when(m == 6, F.lit(""))
         .when(m == 7, F.lit("【违规类别】：permissive||permissive||copyleft【判断理由】：repeats"))
         .when(m == 8, F.lit("【违规类别】：homemade(自创)||unknown【判断理由】：off list"))
@@ -125,7 +124,11 @@ def f5_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     choice = F.struct(content.alias("message"))
     k = F.col("doc_id") % 5
     body = (
-        F.when(k == 0, F.to_json(F.struct(F.array(choice).alias("choices"))))
+        # a bare JSON string (its quotes taken from a one-field object), arrays, then objects
+        F.when(F.col("doc_id") % 35 == 11, F.regexp_replace(F.to_json(F.struct(F.col("reply").alias("r"))), r"(?s)^\{\"r\":|\}\z", ""))
+        .when(F.col("doc_id") % 35 == 12, F.to_json(F.array("reply")))
+        .when(F.col("doc_id") % 35 == 13, F.lit('["choices"]'))
+        .when(k == 0, F.to_json(F.struct(F.array(choice).alias("choices"))))
         .when(k == 1, F.to_json(F.struct(F.col("reply").alias("response"))))
         .when(k == 2, F.to_json(F.struct(F.col("reply").alias("content"))))
         .when(k == 3, F.to_json(F.struct(F.array().cast("array<string>").alias("choices"),
@@ -152,10 +155,12 @@ def f6_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def f8_article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", "doc_id", "text")
-    # only documents that mention a licence at all are split into lines
-    return d.filter(F.col("text").contains("icense")) \
-        .select("doc_id", F.explode(F.split("text", "\n")).alias("line")) \
-        .filter(F.col("line").like("%icense%"))
+    return d.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+
+
+def cited_text(text: Column) -> Column:
+    """Every line that is not empty as a citation in 《》."""
+    return F.regexp_replace(text, "(?md)^([^\n]+)$", "《$1》")
 
 
 def lookup(spark: SparkSession, rows, schema: str) -> DataFrame:

@@ -10,35 +10,6 @@ TABLES = (
 )
 
 
-# Columns holding long text or vectors: per-row work on them dominates.
-WIDE_COLUMNS = {
-    "documents": {"text"}, "pages": {"html"}, "conversations": {"text"},
-    "embeddings": {"embedding"}, "benchmark": {"text"},
-}
-
-
-SMALL_SCAN_SPLITS = 64
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a small scan that has fewer splits than the cluster has cores.
-
-    Only small inputs qualify (at most ``SMALL_SCAN_SPLITS`` splits, about
-    8 GB at 128 MB per split; the fan-out is capped at 8x the splits): for
-    them a shuffle is cheap, and per-row text work would otherwise sit in a
-    handful of tasks (a file with one row group is one non-empty split).
-    Larger inputs are left alone. Plan-time check.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as is
-        return df
-    if have >= want or have > SMALL_SCAN_SPLITS:
-        return df
-    return df.repartition(min(want, have * 8))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one table; selecting columns here lets the scan prune the rest."""
     if name not in TABLES:
@@ -46,5 +17,4 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    wide = WIDE_COLUMNS.get(name, set())
-    return spread(df) if wide & set(df.columns) else df
+    return df

@@ -46,8 +46,7 @@ def main() -> None:
     spark = get_spark("local[8]", 8)
     qs = E.queries()
     print(f"# Physical plans ({os.path.basename(sf)}, before AQE re-planning)\n")
-    print("Generated by `tools/show_plans.py`. Round-robin exchanges come from `sources/tables.spread` "
-          "(only when a scan has fewer splits than cores; absent on large inputs). Broadcasts are on lookup "
+    print("Generated by `tools/show_plans.py`. Broadcasts are on lookup "
           "tables with a checked bound or on sides the planner measured small at this scale; at 100 TB "
           "those become sort-merge joins chosen by the same planner.\n")
     print("| key | shuffles | broadcasts | joins | python | scans (pushed filters / read schema) |")

@@ -37,7 +37,7 @@ def processed_ids(prior: DataFrame, status_col: str = "process_status", key: str
     if status_col not in prior.columns:
         return prior.select(F.col(key).cast("string").alias(key)).limit(0)
     st = strip_u(F.coalesce(F.col(status_col), F.lit("")))
-    return prior.filter(st != "").select(F.col(key).cast("string").alias(key)).distinct()
+    return prior.filter(st != "").select(F.col(key).cast("string").alias(key))
 
 
 def failed_ids(prior: DataFrame, status_col: str = "process_status", key: str = "vc_id",
@@ -45,7 +45,7 @@ def failed_ids(prior: DataFrame, status_col: str = "process_status", key: str =
     if status_col not in prior.columns:
         return prior.select(F.col(key).cast("string").alias(key)).limit(0)
     return prior.filter(F.col(status_col).isin(list(statuses))) \
-        .select(F.col(key).cast("string").alias(key)).distinct()
+        .select(F.col(key).cast("string").alias(key))
 
 
 def _keyed(df: DataFrame, key: str) -> DataFrame:
@@ -82,17 +82,26 @@ def last_write_wins(df: DataFrame, key: str | Sequence[str], order: Sequence[str
 
 
 def upsert(prior: DataFrame, batch: DataFrame, key: str = "vc_id", seq: str | None = None) -> DataFrame:
-    """Replace whole rows by key, append new keys; widen the schema.
+    """Update the batch's columns by key, append new keys; widen the schema.
 
-    Duplicate keys inside ``batch`` keep the last by ``seq`` (processing
+    A column that only ``prior`` has keeps its values, so a second strategy's
+    result columns stand beside the first one's. Every prior row that shares
+    a key is updated. Duplicate keys inside ``batch`` keep the last by ``seq`` (processing
     order). Idempotent: upserting the same batch twice gives the same table.
     """
     b = _keyed(batch, key)
     if seq is not None:
         b = last_write_wins(b, key, [seq]).drop(seq)
-    p = _keyed(prior, key)
-    kept = p.join(b.select(key), key, "left_anti")
-    return kept.unionByName(b, allowMissingColumns=True)
+    p = _keyed(prior, key).select(F.struct("*").alias("_old"), F.col(key).alias("_p"))
+    j = p.join(b.select(F.struct("*").alias("_new"), F.col(key).alias("_b")), F.col("_p") == F.col("_b"), "full_outer")
+    names = list(dict.fromkeys([*prior.columns, *b.columns]))
+
+    def value(c: str) -> Column:
+        if c not in b.columns:
+            return F.col(f"_old.{c}")
+        return F.when(F.col("_b").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")) if c in prior.columns else F.col(f"_new.{c}")
+
+    return j.select(*[(F.coalesce("_b", "_p") if c == key else value(c)).alias(c) for c in names])
 
 
 def widen_schema(df: DataFrame, new_columns: Sequence[str]) -> DataFrame:

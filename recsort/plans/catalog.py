@@ -205,6 +205,15 @@ def q_upsert_results(spark, sf):
     return S.upsert(FX.f6_prior(spark, sf), batch)
 
 
+@query("upsert_second_strategy")
+def q_upsert_second_strategy(spark, sf):
+    """A run with the ``_v2`` columns over the first run's table: the plain result columns stay."""
+    p = _parsed(spark, sf).filter(F.col("doc_id") % 3 == 0).select(
+        "doc_id", "vc_id", F.col("ai_violation_categories").alias("ai_violation_categories_v2"),
+        F.col("process_status").alias("process_status_v2"))
+    return S.upsert(FX.f6_prior(spark, sf), sink_rows(p))
+
+
 @query("last_write_wins")
 def q_last_write_wins(spark, sf):
     ev = table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")

@@ -372,6 +372,12 @@ SELECT doc_id, vc_id, CAST(NULL AS VARCHAR) AS text_combined, CAST(NULL AS VARCH
   ai_violation_categories, CAST(NULL AS VARCHAR) AS ai_reason, CAST(NULL AS VARCHAR) AS ai_raw_response, process_status
 FROM ({F6}) f6 WHERE vc_id NOT IN (SELECT vc_id FROM batch)
 UNION ALL SELECT * FROM batch"""
+SQL["upsert_second_strategy"] = f"""WITH {parsed(F5)},
+batch AS (SELECT doc_id, {flat('vc_id')} AS vc_id, {flat('ai_violation_categories')} AS c, {flat('process_status')} AS s
+          FROM parsed WHERE doc_id % 3 = 0)
+SELECT coalesce(b.doc_id, f6.doc_id) AS doc_id, coalesce(b.vc_id, f6.vc_id) AS vc_id, f6.ai_violation_categories, f6.process_status,
+       b.c AS ai_violation_categories_v2, b.s AS process_status_v2
+FROM ({F6}) f6 FULL JOIN batch b ON f6.vc_id = b.vc_id"""
 SQL["last_write_wins"] = """SELECT user_id, event_id, epoch_us(ts) AS ts_us, event_type, value, props FROM
   (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) e WHERE rn = 1"""
 

@@ -66,7 +66,8 @@ class ResultsTable:
     * ``append(rows, key)`` writes only the new rows as a delta tagged with
       its sequence number - the cost of a micro-batch is the batch, not the
       table; every ``compact_every`` deltas the table is compacted;
-    * ``read()`` resolves the latest row per key (partial ``max_by``);
+    * ``read()`` resolves the latest value of each column per key (partial
+      ``max_by`` over the parts that have the column);
       ``latest(key, cols)`` does the same for a few columns only.
     """
 
@@ -122,12 +123,16 @@ class ResultsTable:
             deltas = [d.join(k, st["key"], "left_semi") for d in deltas]
         if not deltas:
             return base
-        from recsort.operators.state import last_write_wins
+        # Each column has its latest value among the parts that have the column.
         parts = ([base.withColumn(SEQ_COL, F.lit(0).cast("long"))] if base is not None else []) + deltas
-        allrows = parts[0]
-        for d in parts[1:]:
-            allrows = allrows.unionByName(d, allowMissingColumns=True)
-        return last_write_wins(allrows, st["key"], [SEQ_COL]).drop(SEQ_COL)
+        names = list(dict.fromkeys(c for d in parts for c in d.columns if c not in (st["key"], SEQ_COL)))
+        allrows = None
+        for d in parts:
+            has = F.array(*[F.lit(c) for c in d.columns])
+            d = d.withColumn("_has", has)
+            allrows = d if allrows is None else allrows.unionByName(d, allowMissingColumns=True)
+        latest = [F.max_by(F.struct(F.col(c)), F.when(F.array_contains("_has", c), F.col(SEQ_COL))).alias(c) for c in names]
+        return allrows.groupBy(st["key"]).agg(*latest).select(st["key"], *[F.col(f"{c}.{c}").alias(c) for c in names])
 
     def read(self, schema: StructType | None = None) -> DataFrame | None:
         df = self.latest()

@@ -47,16 +47,29 @@ def test_retry_ignores_failed_ids_not_in_input(spark):
     assert _rows(S.retry_failed(rec, prior), "vc_id") == [("a",)]
 
 
-def test_upsert_replaces_whole_rows_widens_and_is_idempotent(spark):
+def test_upsert_updates_the_batch_columns_widens_and_is_idempotent(spark):
     prior = spark.createDataFrame([("a", "x", "成功"), ("b", "y", "请求失败")], "vc_id string, note string, process_status string")
     batch = spark.createDataFrame([("b", "成功", "r1"), ("c", "解析失败", "r2")], "vc_id string, process_status string, ai_reason string")
     once = S.upsert(prior, batch)
     twice = S.upsert(once, batch)
-    expect = [("a", "x", "成功", None), ("b", None, "成功", "r1"), ("c", None, "解析失败", "r2")]
+    expect = [("a", "x", "成功", None), ("b", "y", "成功", "r1"), ("c", None, "解析失败", "r2")]
     assert _rows(once, "vc_id", "note", "process_status", "ai_reason") == expect
     assert _rows(twice, "vc_id", "note", "process_status", "ai_reason") == expect
 
 
+def test_second_strategy_keeps_the_first(spark, tmp_dir):
+    first = spark.createDataFrame([("a", "x", "成功"), ("b", "y", "成功")], "vc_id string, ai_violation_categories string, process_status string")
+    second = spark.createDataFrame([("b", "z", "成功"), ("c", "w", "成功")], "vc_id string, ai_violation_categories_v2 string, process_status_v2 string")
+    expect = [("a", "x", "成功", None, None), ("b", "y", "成功", "z", "成功"), ("c", None, None, "w", "成功")]
+    cols = ["vc_id", "ai_violation_categories", "process_status", "ai_violation_categories_v2", "process_status_v2"]
+    key = lambda rows: sorted(rows, key=repr)
+    assert key(tuple(r) for r in S.upsert(first, second).select(*cols).collect()) == key(expect)
+    t = ResultsTable(spark, f"{tmp_dir}/second")
+    t.append(first, "vc_id")
+    t.append(second, "vc_id")
+    assert key(tuple(r) for r in t.read().select(*cols).collect()) == key(expect)
+
+
 def test_upsert_duplicate_batch_keys_last_wins(spark):
     prior = spark.createDataFrame([("a", "old")], "vc_id string, v string")
     batch = spark.createDataFrame([("a", "first", 1), ("a", "second", 2), ("b", "only", 1)], "vc_id string, v string, seq int")

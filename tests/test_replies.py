@@ -82,7 +82,11 @@ BODIES = [
     (json.dumps({"choices": "abc"}), None),
     (json.dumps({"choices": ""}), '{"choices":""}'),
     ("not json", None),
-    (json.dumps(["a"]), None),
+    (json.dumps(["a"]), '["a"]'),
+    (json.dumps(["choices"]), None),
+    (json.dumps("【违规类别】：x【判断理由】：y"), "【违规类别】：x【判断理由】：y"),
+    (json.dumps("no choices here"), None),
+    (json.dumps(5), None),
     (None, None),
     (json.dumps({"other": 1}), '{"other":1}'),
 ]

@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -182,7 +183,8 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
 
 
-OCCURRENCES = "h bigint, did bigint, th int, first int, last int, at int"
+# windows: first byte of the first one (40 bits), how many follow it and the place of the minimizer after it (12 bits each).
+OCCURRENCES = "h bigint, did bigint, th int, windows bigint"
 
 
 def occurrences(keyed: DataFrame, length: int, gram: int) -> DataFrame:
@@ -195,7 +197,7 @@ def occurrences(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             for at, first_byte, data, ends in _pieces(texts, length):
                 h, text, first, last, inside = minimizers(data, ends, length, gram)
                 shift = first_byte[text] - np.r_[0, ends][text]
-                yield _batch(OCCURRENCES, h.view(np.int64), did[at[text]], th[at[text]], first + shift, last + shift, inside)
+                yield _batch(OCCURRENCES, h.view(np.int64), did[at[text]], th[at[text]], first + shift << 24 | last - first << 12 | inside)
 
     return keyed.mapInArrow(scan, OCCURRENCES)
 
@@ -248,7 +250,7 @@ CONTEXTS = "h bigint, did bigint, th int, first int, n int, text binary"
 HELD_BYTES = 32 << 20
 
 
-def contexts(rows: DataFrame, length: int) -> DataFrame:
+def contexts(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """The contexts of (did, th, text, found) rows; those equal to an earlier one of the same task are marked as repeats."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,16 +260,18 @@ def contexts(rows: DataFrame, length: int) -> DataFrame:
             out = []
             cols = (batch.column(c).to_pylist() for c in ("did", "th", "text", "found"))
             for did, th, text, found in zip(*cols, strict=True):
-                for f in found:
-                    key, here = (f["h"], text[f["first"]:f["last"] + length], f["at"]), (did, th, f["first"])
+                for windows in found:
+                    first, after, at = windows >> 24, windows >> 12 & 4095, windows & 4095
+                    h = xxhash.xxh64_intdigest(text[first + at:first + at + gram]) - (1 << 63)
+                    key, here = (h, text[first:first + after + length], at), (did, th, first)
                     there = first_of.setdefault(key, here)
                     if there is here:
                         held += len(key[1]) + 200
                     elif there != here:
                         first_of[key] = min(there, here)
-                        out.append((f["h"], *max(there, here), f["last"] - f["first"] + 1, None))
+                        out.append((*max(there, here), after))
             if out:
-                yield _batch(CONTEXTS, *zip(*out, strict=True))
+                yield _batch(CONTEXTS, *zip(*((did ^ a, did, th, a, b - a + 1, None) for did, th, a, b in _joined(out)), strict=True))
             if held > HELD_BYTES:
                 yield from _first_places(first_of)
                 first_of, held = {}, 0
@@ -276,6 +280,17 @@ def contexts(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(scan, CONTEXTS)
 
 
+def _joined(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(did, th, first, windows after it) as (did, th, first, last), ranges that follow one another as one."""
+    out: list[tuple[int, int, int, int]] = []
+    for did, th, first, after in sorted(set(ranges)):
+        if out and out[-1][:2] == (did, th) and first <= out[-1][3] + 1:
+            out[-1] = (did, th, out[-1][2], max(out[-1][3], first + after))
+        else:
+            out.append((did, th, first, first + after))
+    return out
+
+
 def _first_places(first_of: dict) -> Iterator[pa.RecordBatch]:
     items = iter(first_of.items())
     while part := [x for _, x in zip(range(20_000), items, strict=False)]:
@@ -420,13 +435,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     keyed = _keyed(docs, id_col, text_col)
     found = repeated(occurrences(keyed, length, gram)).groupBy(*KEYS).agg(
-        F.collect_list(F.struct("h", "first", "last", "at")).alias("found"))
+        F.collect_list("windows").alias("found"))
     # The texts that have to be looked at, by document, so that they are not shuffled again.
     name = f"substring_texts_{uuid.uuid4().hex[:16]}"
     texts = keyed.select(*KEYS, F.col("text").cast("binary").alias("text")).join(found, KEYS)
     texts.write.bucketBy(shuffle_partitions(spark), *KEYS).sortBy(*KEYS).option("compression", "zstd").format("parquet").saveAsTable(name)
     try:
-        late = repeats(contexts(spark.table(name).select(*KEYS, "text", "found"), length), length, gram, block_bytes)
+        late = repeats(contexts(spark.table(name).select(*KEYS, "text", "found"), length, gram), length, gram, block_bytes)
         late = late.groupBy(*KEYS).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
         one = spark.table(name).select(*KEYS, "text")
         cut = _cut(one.join(late, KEYS), length).withColumn("sha", F.sha2("kept", 256))

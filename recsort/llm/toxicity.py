@@ -148,6 +148,12 @@ def first_parts(words: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return {words[i]: p[k] for p in fold(words) if p.codes[0, 0] == 0 and len(p.codes) <= LONGEST for k, i in enumerate(p.owner.tolist())}
 
 
+def one_part(words: list[str]) -> set[str]:
+    """The words that ``first_parts`` would give, without their codes."""
+    return {words[a + i] for a in range(0, len(words), 50_000) for p in fold(words[a:a + 50_000])
+            if p.codes[0, 0] == 0 and len(p.codes) <= LONGEST for i in p.owner.tolist()}
+
+
 def words_of(text: str | None) -> list[str]:
     """Lower-cased words of several characters; three or more single characters in a row are one word."""
     text = (text or "").lower()
@@ -265,7 +271,7 @@ def fit(texts: list[str], labels: list[int], calibrate: list[bool]) -> Model:
     for k in train:
         (in_toxic if labels[k] else in_clean).update(bags[k].keys())
     lift = {w: np.log((n + 0.1) / len(toxic)) - np.log((in_clean[w] + 0.1) / len(clean)) if n > 1 else -9.0 for w, n in in_toxic.items()}
-    folded = first_parts(sorted({w for k in train for w in bags[k]}))
+    folded = one_part(sorted({w for k in train for w in bags[k]}))
     usual = sorted((w for w in in_clean if w in folded), key=lambda w: (-in_clean[w], w))
     spread = usual[:1500] + usual[1500::max(1, (len(usual) - 1500) // 2500)][:2500]
     model = None
@@ -292,7 +298,8 @@ def fit(texts: list[str], labels: list[int], calibrate: list[bool]) -> Model:
         half = LANDMARKS // 2
         marks = positive[:half] + (hard[:half // 2] or spread[:half // 2]) + spread[::max(1, len(spread) // half)][:half]
         names = list(dict.fromkeys(marks))
-        marks = [folded[w] for w in names]
+        parts = first_parts(names)
+        marks = [parts[w] for w in names]
         values, vectors = np.linalg.eigh(gram(names, marks))
         root = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T  # K_mm^(-1/2)
         x = gram(positive + good, marks) @ root

@@ -26,15 +26,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recsort.llm.common import ascii_lower, staged
+from recsort.llm.common import staged
 
 # A word is a run of anything but these ASCII characters (texts are lower-cased before).
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-# The same on texts that are not lower-cased.
-RAW_SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-
 # Fixed values of the base layer: phrase -> label.
 PHRASES = {
     "under the mit license": "mit",
@@ -56,49 +51,56 @@ THRESHOLD = 0.8
 
 
 def words_of(text: Column) -> Column:
-    """Words of a lower-cased text."""
-    return F.filter(F.split(text, SEPARATOR + "+", -1), lambda w: w != "")
-
-
-def phrase_regex(phrase: str) -> str:
-    return rf"(?i)(?<!{RAW_WORD})" + (RAW_SEPARATOR + "+").join(phrase.split()) + rf"(?!{RAW_WORD})"
+    """Words of a text, lower-cased. ``lower`` makes an ASCII letter of one other character only, the Kelvin sign."""
+    return F.array_remove(F.split(F.lower(F.replace(text, F.lit("\u212a"), F.lit("\ufffd"))), SEPARATOR + "+", -1), "")
 
 
-def token_counts(docs: DataFrame, text_col: str, tokens: list[str]) -> dict[str, int]:
-    """How often each of ``tokens`` (a fixed short list) stands in all texts."""
-    alternatives = "|".join(sorted(tokens, key=lambda t: (-len(t), t)))
-    found = docs.select(F.explode(F.regexp_extract_all(F.col(f"`{text_col}`"), F.lit(
-        rf"(?i)(?<!{RAW_WORD})({alternatives})(?!{RAW_WORD})"), 1)).alias("t"))
-    counts = {r["t"]: r["n"] for r in found.groupBy(F.lower("t").alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {t: counts.get(t, 0) for t in tokens}
+def need_of(words: list[str], threshold: float) -> int:
+    return math.ceil(threshold * len(words) - 1e-9)
 
 
-def template_matches(docs: DataFrame, text_col: str, templates: dict[str, str], threshold: float) -> DataFrame:
-    """(id, th, label, containment): every label with a block at or above the threshold, its best block.
+def scanned(docs: DataFrame, id_col: str, text_col: str, sets: dict[str, list[str]], threshold: float) -> DataFrame:
+    """Staged (id, th, n_words, seen, phrase, block, text), one split per text.
 
-    ``docs`` has columns id, th and text.
+    ``seen`` are the words of phrases and templates in the text, ``phrase``
+    says that a phrase's words all stand somewhere in it, ``block`` that it
+    holds enough words of a template for one of its blocks to reach the
+    threshold. Only texts with one of these are kept.
     """
-    spark = docs.sparkSession
-    sets = {label: sorted(set(t.split())) for label, t in templates.items()}
-    counts = token_counts(docs, text_col, sorted({w for ws in sets.values() for w in ws}))
-    order = {w: i for i, w in enumerate(sorted(counts, key=lambda w: (counts[w], w)))}
+    of_phrases = [sorted(set(p.split())) for p in PHRASES]
+    tokens = sorted({w for ws in [*sets.values(), *of_phrases] for w in ws})
+    holds = lambda ws, n: F.size(F.array_intersect("seen", F.lit(ws))) >= n
+    either = lambda tests: functools.reduce(lambda a, b: a | b, tests, F.lit(False))
+    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    found = (src.withColumn("words", words_of(F.col("text")))
+             .select("id", "text", F.size("words").cast("long").alias("n_words"), F.array_intersect("words", F.lit(tokens)).alias("seen"))
+             .select("*", either([holds(p, len(p)) for p in of_phrases]).alias("phrase"),
+                     either([holds(ws, need_of(ws, threshold)) for ws in sets.values()]).alias("block")))
+    return staged(found.select("id", F.xxhash64("text").alias("th"), "n_words", "seen", "phrase", "block",
+                               F.when(F.col("phrase") | F.col("block"), F.col("text")).alias("text")), "license-texts")
+
+
+def template_matches(texts: DataFrame, sets: dict[str, list[str]], threshold: float) -> DataFrame:
+    """(id, th, label, containment): every label with a block at or above the threshold, its best block."""
+    spark = texts.sparkSession
+    tokens = sorted({w for ws in sets.values() for w in ws})
+    # In how many texts each token (a fixed short list) stands: the global order.
+    counts = {r["t"]: r["n"] for r in texts.select(F.explode("seen").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = {w: i for i, w in enumerate(sorted(tokens, key=lambda w: (counts.get(w, 0), w)))}
     index = []
     for label, ws in sets.items():
-        ws = sorted(ws, key=order.__getitem__)
-        need = math.ceil(threshold * len(ws) - 1e-9)
+        ws, need = sorted(ws, key=order.__getitem__), need_of(ws, threshold)
         index += [(w, j, label, ws, need) for j, w in enumerate(ws[: len(ws) - need + 1])]
     prefix = spark.createDataFrame(index, "token string, t_pos int, label string, t_words array<string>, need int")
-    rare = "|".join(sorted({w for w, *_ in index}, key=lambda t: (-len(t), t)))
-    has_rare = rf"(?i)(?<!{RAW_WORD})(?:{rare})(?!{RAW_WORD})"
+    rare = F.lit(sorted({w for w, *_ in index}))
     ranked = F.create_map(*[F.lit(x) for w, i in order.items() for x in (w, i)])
-    blocks = (docs.filter(F.col(text_col).rlike(has_rare))
-              .select("id", "th", F.explode(F.split(text_col, "\n", -1)).alias("line"))
-              .filter(F.col("line").rlike(has_rare))
-              .select("id", "th", F.array_distinct(words_of(ascii_lower(F.col("line")))).alias("words"))
-              # Known tokens in global order; a word that no template holds cannot count.
-              .withColumn("known", F.array_sort(F.filter(F.transform(
-                  "words", lambda w: F.struct(F.try_element_at(ranked, w).alias("rank"), w.alias("w"))),
-                  lambda s: s["rank"].isNotNull()))))
+    blocks = (texts.filter("block").filter(F.arrays_overlap("seen", rare))
+              .select("id", "th", F.explode(F.split("text", "\n", -1)).alias("line"))
+              # Known tokens; a word that no template holds cannot count.
+              .select("id", "th", F.array_intersect(words_of(F.col("line")), F.lit(tokens)).alias("words"))
+              .filter(F.arrays_overlap("words", rare))
+              # In global order.
+              .withColumn("known", F.array_sort(F.transform("words", lambda w: F.struct(F.try_element_at(ranked, w).alias("rank"), w.alias("w"))))))
     tokens = blocks.select("id", "th", "known", F.posexplode("known").alias("b_pos", "s")).withColumn("token", F.col("s.w"))
     pairs = (tokens.join(F.broadcast(prefix), "token")
              .filter(F.size("known") >= F.col("need"))
@@ -120,18 +122,16 @@ def _stands_at(ws: list[str]):
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")) \
-        .withColumn("th", F.xxhash64("text"))
-    found = staged(template_matches(src, "text", templates or TEMPLATES, threshold), "license-blocks")
+    sets = {label: sorted(set(t.split())) for label, t in (templates or TEMPLATES).items()}
+    texts = scanned(docs, id_col, text_col, sets, threshold)
+    found = staged(template_matches(texts, sets, threshold), "license-blocks")
     per_doc = found.groupBy("id", "th").agg(F.collect_set("label").alias("own"), F.max("containment").alias("best"))
 
     places = []
     for phrase in PHRASES:
         places.append(F.filter(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0))), _stands_at(phrase.split())))
-    any_phrase = "|".join(f"(?:{phrase_regex(p)})" for p in PHRASES)
-    # Word positions are only worked out where a phrase stands.
-    base = (src.withColumn("n_words", F.regexp_count("text", F.lit(RAW_WORD + "+")).cast("long"))
-            .withColumn("words", F.when(F.col("text").rlike(any_phrase), words_of(ascii_lower(F.col("text")))))
+    # Word positions are only worked out where a phrase may stand.
+    base = (texts.withColumn("words", F.when(F.col("phrase"), words_of(F.col("text"))))
             .select("id", "th", "n_words", F.when(F.col("words").isNotNull(), F.array(*places)).alias("at"))
             .withColumn("all_at", F.flatten("at"))
             .select("id", "th", "n_words",

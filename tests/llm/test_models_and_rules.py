@@ -220,3 +220,46 @@ def test_pipeline(spark):
         kept[name], docs = len(after), out
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).collect()
     assert {x.doc_id for x in pieces} == {x.doc_id for x in docs.collect()} and kept["decontamination"] > 0.3 * n
+
+
+def test_cross_entropy_counts_every_pair_and_word(spark, monkeypatch):
+    from recsort.llm import cross_entropy as ce
+    r = random.Random(8)
+    texts = [" ".join(f"w{r.choice((r.randrange(20), r.randrange(200_000)))}" for _ in range(r.randint(0, 900))) for _ in range(500)] + [None, "", "Rare RARE rare"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    split = lambda t: (t or "").encode().lower().split()
+    known = {w for t in texts for w in split(t)}
+    assert len(known) > 65_536
+
+    def check(got, own, other, scored):
+        size = lambda ts: sum(len(split(t)) for t in ts)
+        vocab = len({w for t in [*own, *other] for w in split(t)}) + 1
+
+        def model(ts, scale):
+            one, before, pair = Counter(), Counter(), Counter()
+            for t in ts:
+                w = split(t)
+                one.update(w)
+                before.update([None, *w][:len(w)])
+                pair.update(zip([None, *w], w, strict=False))
+            n = sum(one.values()) * scale
+            return lambda v, w: -np.log((pair[v, w] * scale + 20.0 * (one[w] * scale + 1) / (n + vocab)) / (before[v] * scale + 20.0))
+        models = model(own, 1.0), model(other, size(own) / max(1, size(other)))
+        for k, t in enumerate(scored):
+            p = list(zip([None, *split(t)], split(t), strict=False))
+            want = [np.mean([f(*x) for x in p]) if p else 0.0 for f in models]
+            assert min(want) >= 0 and got[k].n_words == len(p)
+            assert np.allclose([got[k].target_loss, got[k].background_loss, got[k].score], [*want, want[0] - want[1]], atol=1e-6)
+
+    target = docs.filter("doc_id % 2 = 0")
+    got = {x.row.doc_id: x for x in ce.cross_entropy_difference(docs, target, keep=["doc_id"]).collect()}
+    assert len(got) == len(texts)
+    check(got, texts[::2], texts, texts)
+    got = {x.row.doc_id: x for x in ce.cross_entropy_difference(docs.withColumn("t", docs.doc_id % 2 == 0), "t", keep=["doc_id"]).collect()}
+    check(got, texts[::2], texts, texts)
+    # A background of its own, and many chunks and buckets.
+    monkeypatch.setattr(ce, "CHUNK_BYTES", 100_000)
+    monkeypatch.setattr(ce, "BUCKET_BYTES", 100_000)
+    got = {x.row.doc_id: x for x in ce.cross_entropy_difference(docs, target, docs.filter("doc_id % 2 = 1")).collect()}
+    check(got, texts[::2], texts[1::2], texts)
+    assert ce.cross_entropy_difference(docs.limit(0), docs.limit(0)).count() == 0

@@ -174,7 +174,7 @@ KEYS = ["did", "th"]
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, did, th, text): did orders null ids last, did and th name a document."""
     return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).select(
-        "id", F.coalesce("id", F.lit((1 << 63) - 1)).alias("did"), F.hash("text").alias("th"), "text")
+        "id", F.coalesce("id", F.lit((1 << 63) - 1)).alias("did"), F.xxhash64("text").alias("th"), "text")
 
 
 def _batch(schema: str, *columns) -> pa.RecordBatch:
@@ -184,7 +184,7 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
 
 
 # windows: first byte of the first one (40 bits), how many follow it and the place of the minimizer after it (12 bits each).
-OCCURRENCES = "h bigint, did bigint, th int, windows bigint"
+OCCURRENCES = "h bigint, did bigint, th bigint, windows bigint"
 
 
 def occurrences(keyed: DataFrame, length: int, gram: int) -> DataFrame:
@@ -246,7 +246,7 @@ def repeated(rows: DataFrame) -> DataFrame:
 
 # text: the context's bytes, or null where all its windows are known to be repeats.
 # n: windows of a repeat, or the place of the minimizer in the text.
-CONTEXTS = "h bigint, did bigint, th int, first int, n int, text binary"
+CONTEXTS = "h bigint, did bigint, th bigint, first int, n int, text binary"
 HELD_BYTES = 32 << 20
 
 
@@ -298,7 +298,7 @@ def _first_places(first_of: dict) -> Iterator[pa.RecordBatch]:
                      [k[2] for k, _ in part], [k[1] for k, _ in part])
 
 
-REPEATS = "did bigint, th int, first int, last int"
+REPEATS = "did bigint, th bigint, first int, last int"
 
 
 def repeats(rows: DataFrame, length: int, gram: int, block_bytes: int) -> DataFrame:
@@ -403,7 +403,7 @@ def _in_passes(block: list[tuple[bytes, tuple[int, int, int]]], length: int, blo
     return out
 
 
-RESULT = "did bigint, th int, n_removed bigint, n_spans bigint, kept binary"
+RESULT = "did bigint, th bigint, n_removed bigint, n_spans bigint, kept binary"
 
 
 def _cut(rows: DataFrame, length: int) -> DataFrame:

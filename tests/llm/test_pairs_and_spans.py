@@ -179,6 +179,19 @@ def test_suffix_dedup_edges(spark):
     assert dedup_substrings(docs_of(spark, [])).count() == 0
 
 
+def test_suffix_dedup_tells_texts_with_equal_short_hashes_apart(spark):
+    from pyspark.sql import functions as F
+
+    from recsort.llm.suffix_dedup import dedup_substrings
+    passage = "the quick brown fox jumps over the lazy dog and runs away "
+    some = lambda head: spark.range(300_000).select(F.concat(F.lit(head), F.col("id").cast("string")).alias("t")).withColumn("h", F.hash("t"))
+    long, short = some(passage).join(some("short ").withColumnRenamed("t", "u"), "h").orderBy("t", "u").select("t", "u").first()
+    texts, ids = [passage, long, short], [0, None, None]
+    got = dedup_substrings(docs_of(spark, texts, ids), length=40, gram=8)
+    rows = sorted((str(x.doc_id), x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got.collect())
+    assert rows == brute_substrings(list(zip(ids, texts, strict=True)), 40)
+
+
 def test_long_prefixes_against_sorting():
     from recsort.llm.suffix_dedup import long_prefixes
     r = random.Random(4)

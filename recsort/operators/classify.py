@@ -25,6 +25,7 @@ from recsort.constants import (
     CATEGORY_LABEL,
     REASON_LABEL,
     STATUS_OK,
+    STATUS_REQUEST_FAIL,
 )
 from recsort.functions.prompts import HINT_TEMPLATE, PLAIN_TEMPLATE, build_prompt, build_request
 from recsort.functions.replies import with_extracted_reply, with_parsed_reply
@@ -207,7 +208,13 @@ def classify(records: DataFrame, prior: DataFrame | None, responder, mode: str =
         # answer on the record rows themselves: no join back, no shuffle of text
         return materialise(with_results(responder.respond_rows(with_requests(todo, **kw)), suffix, keep_reply))
     res = materialise(results_from_responses(complete(todo, responder, key, **kw), key, suffix, keep_reply))
-    return todo.join(res, key)
+    # a record that the responder does not answer is a request failure
+    out = todo.join(res, key, "left")
+    none = F.col("process_status" + suffix).isNull()
+    fill = {c + suffix: STATUS_REQUEST_FAIL for c in ("ai_violation_categories", "ai_reason", "process_status")} | {"ai_raw_response" + suffix: ""}
+    if keep_reply:
+        fill["error"] = "no response"
+    return out.withColumns({c: F.when(none, F.lit(v)).otherwise(F.col(c)) for c, v in fill.items()})
 
 
 def status_summary(results: DataFrame, transport_error: str = "error",

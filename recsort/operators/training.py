@@ -142,43 +142,48 @@ def contrastive_pairs(clean: DataFrame, k: int = 2, rows_per_bucket: int = 4096,
                       seed: int = SAMPLE_SEED) -> DataFrame:
     """k same-label and k other-label partners per row, deterministic.
 
-    Rows are spread over (label, bucket) cells of about ``rows_per_bucket``
-    rows by a seeded hash, numbered inside their cell, and partner j of row
-    i is row (i + j) mod size in the same cell (positive) or in the cell
-    with the same bucket and the other label (negative). Only equi-joins on
-    (label, bucket, rank): no cross join, no all-pairs, and no cell is
-    larger than the bucket size however skewed the labels are.
+    The rows of a label are ranked by a seeded hash of the id. Partner j of the
+    row with rank r is the one with rank (r + j) mod size of the same label
+    (positive), or (r + j - 1) mod size of the other label (negative), so a
+    row gets min(k, size - 1) and min(k, size) partners, whatever the sizes
+    of the labels. Ranks are numbered in hash ranges of about
+    ``rows_per_bucket`` rows and shifted by the rows before the range; how
+    many ranges there are does not change them. Only equi-joins on
+    (label, rank, salt): no cross join, no all-pairs, and the partners of a
+    rare label are repeated by salt, so that none meets all anchors in a task.
     """
     n = clean.count()
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
-    h = F.xxhash64(F.col("vc_id"), F.lit(seed))
-    base = clean.select("vc_id", "label", F.pmod(h, F.lit(n_buckets)).alias("bucket"), h.alias("h"))
+    h = F.shiftrightunsigned(F.xxhash64(F.col("vc_id"), F.lit(seed)), 1)
+    bucket = F.shiftright(F.shiftright(h, 31) * F.lit(n_buckets).cast("bigint"), 32)
+    base = clean.select("vc_id", "label", bucket.alias("bucket"), h.alias("h"))
     cell = Window.partitionBy("label", "bucket")
-    # rank and cell size share the (label, bucket) partitioning: one shuffle
-    ranked = base.withColumn("rank", F.row_number().over(cell.orderBy("h", "vc_id")) - 1) \
-        .withColumn("cell_size", F.count(F.lit(1)).over(cell)).drop("h")
-    # one row per (label, bucket): grows with n / rows_per_bucket, so no
-    # broadcast hint; AQE broadcasts it at run time when it is small
-    sizes = ranked.select("label", "bucket", "cell_size").distinct()
-
-    anchors = ranked.select("vc_id", "label", "bucket", "rank", "cell_size",
-                            F.explode(F.sequence(F.lit(1), F.lit(k))).alias("j"))
-    # positives: same cell, never self (a cell of m rows gives min(k, m - 1))
-    pos = anchors.filter(F.col("j") < F.col("cell_size")).select(
-        F.col("vc_id").alias("anchor_id"), "label", "bucket", "j",
-        F.pmod(F.col("rank") + F.col("j"), F.col("cell_size")).alias("p_rank"),
-        F.col("label").alias("p_label"))
-    # negatives: same bucket, the other label (labels are 0/1)
-    neg = anchors.withColumn("p_label", 1 - F.col("label")) \
-        .join(sizes.select(F.col("label").alias("p_label"), "bucket", F.col("cell_size").alias("other_size")),
-              ["p_label", "bucket"]) \
-        .filter(F.col("j") <= F.col("other_size")) \
-        .select(F.col("vc_id").alias("anchor_id"), "label", "bucket", "j",
-                F.pmod(F.col("rank") + F.col("j") - 1, F.col("other_size")).alias("p_rank"), "p_label")
-    partners = ranked.select(F.col("vc_id").alias("partner_id"), F.col("label").alias("p_label"),
-                             "bucket", F.col("rank").alias("p_rank"))
-    cand = pos.unionByName(neg)
-    return cand.join(partners, ["p_label", "bucket", "p_rank"]).select(
+    ranked = base.withColumn("rank", F.row_number().over(cell.orderBy("h", "vc_id")) - 1).drop("h")
+    # one row per (label, bucket): grows with n / rows_per_bucket
+    sizes = base.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("cell_size"))
+    before = sizes.select("label", "bucket", (F.sum("cell_size").over(
+        Window.partitionBy("label").orderBy("bucket")) - F.col("cell_size")).alias("before"))
+    ranked = ranked.join(before, ["label", "bucket"]).select(
+        "vc_id", "label", (F.col("rank") + F.col("before")).alias("rank"))
+    # one row per label
+    totals = sizes.groupBy("label").agg(F.sum("cell_size").alias("size"))
+
+    anchors = ranked.withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(k))))
+    pos = anchors.withColumn("p_label", F.col("label"))
+    # labels are 0/1
+    neg = anchors.withColumn("p_label", 1 - F.col("label"))
+    of_label = totals.select(F.col("label").alias("p_label"), F.col("size").alias("p_size"),
+                             F.greatest(F.lit(1), F.ceil(F.lit(n * k) / F.col("size") / rows_per_bucket)).cast("bigint").alias("salts"))
+    same = F.col("label") == F.col("p_label")
+    cand = pos.unionByName(neg).join(F.broadcast(of_label), "p_label") \
+        .filter(F.when(same, F.col("j") < F.col("p_size")).otherwise(F.col("j") <= F.col("p_size"))) \
+        .select(F.col("vc_id").alias("anchor_id"), "label", "p_label", "j",
+                F.pmod(F.col("rank") + F.col("j") - F.when(same, 0).otherwise(1), F.col("p_size")).alias("p_rank"),
+                F.pmod(F.xxhash64("vc_id", "j"), F.col("salts")).alias("salt"))
+    partners = ranked.withColumnsRenamed({"vc_id": "partner_id", "label": "p_label", "rank": "p_rank"}) \
+        .join(F.broadcast(of_label), "p_label") \
+        .select("partner_id", "p_label", "p_rank", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
+    return cand.join(partners, ["p_label", "p_rank", "salt"]).select(
         "anchor_id", "partner_id", F.col("label").alias("anchor_label"),
         F.col("p_label").alias("partner_label"), "j",
         (F.col("label") == F.col("p_label")).cast("double").alias("similar"))

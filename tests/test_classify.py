@@ -44,6 +44,19 @@ def test_pandas_responder_statuses(spark):
     assert fails.filter("ai_raw_response != ''").count() == 0
 
 
+def test_unanswered_records_are_request_failures(spark):
+    def first_only(pdf: pd.DataFrame) -> pd.DataFrame:
+        body = json.dumps({"choices": [{"message": {"content": "【违规类别】：x\n【判断理由】：y"}}]})
+        return pd.DataFrame({"vc_id": pdf["vc_id"], "body": body, "error": None}).astype({"error": object}).head(1)
+
+    rec = FX.f2_records(spark, SF_SMALL)
+    out = C.classify(rec, None, C.PandasResponder(first_only, concurrency=1), mode="new", keep_reply=True).collect()
+    want = S.route_need_ai(rec).count()
+    failed = [r for r in out if r.process_status == STATUS_REQUEST_FAIL]
+    assert len(out) == want and 0 < len(failed) < want
+    assert all(r.error == "no response" and r.ai_reason == STATUS_REQUEST_FAIL and r.ai_raw_response == "" for r in failed)
+
+
 def test_retry_mode_needs_prior(spark):
     import pytest
     with pytest.raises(ValueError):

@@ -60,6 +60,21 @@ def test_contrastive_pairs_k_partners_no_self(spark):
     assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, again.collect()))
 
 
+def test_contrastive_pairs_of_a_rare_label(spark):
+    rows = [(i, int(i % 100 == 0), "x") for i in range(300)]
+    clean = spark.createDataFrame(rows, "vc_id bigint, label int, text string").repartition(3)
+    got = [sorted(map(tuple, TR.contrastive_pairs(clean, k=4, rows_per_bucket=b).collect())) for b in (8, 100_000)]
+    assert got[0] == got[1]
+    partners = {}
+    for r in got[0]:
+        assert r[0] != r[1] and r[2] == int(r[0] % 100 == 0) and r[3] == int(r[1] % 100 == 0)
+        partners.setdefault((r[0], r[3]), []).append(r[1])
+    for i, label, _ in rows:
+        for other, size in ((0, 297), (1, 3)):
+            p = partners[i, other]
+            assert len(p) == len(set(p)) == min(4, size - (label == other))
+
+
 def test_seeded_sample_is_stable(spark):
     clean = TR.train_clean(FX.f1_training(spark, SF_SMALL))
     a = [r.vc_id for r in TR.seeded_sample(clean).collect()]

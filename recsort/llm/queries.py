@@ -75,5 +75,34 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from recsort.llm.cross_tokenizer import align
+    out = align(read(spark, sf_dir, "documents", "doc_id", "text"), str(public_tokenizers.path("byte_bpe_50k.json")),
+                str(public_tokenizers.path("piece_bpe_32k.model")), keep=["doc_id"])
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsort.llm.merkle import fold, leaf, manifest, proof_digest
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = read(spark, sf_dir, "documents", *fields)
+    # A null id has no decimal digits: its row is not tampered with.
+    odd_rows = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = leaf(*[F.col(c) for c in fields[:-1]], F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    out = manifest(docs, fields, tampered=F.when(odd_rows & (F.instr("text", "\n") > 0), tampered))
+    out = out.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+                     fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recsort.llm.topk import search
+    out = search(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=5, is_query=F.col("vec_id") % 50 == 0)
+    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_warc, op2_simhash_dedup, op3_toxicity, op4_suffix_dedup, op5_quality_rules, op6_packing, op7_cross_entropy, op8_license_scan, op9_decontamination, op10_line_dedup)}
+    op1_warc, op2_simhash_dedup, op3_toxicity, op4_suffix_dedup, op5_quality_rules, op6_packing, op7_cross_entropy, op8_license_scan, op9_decontamination,
+    op10_line_dedup, op11_cross_tokenizer, op12_merkle_manifest, op13_exact_topk)}

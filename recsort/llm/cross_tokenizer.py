@@ -9,8 +9,8 @@ overlap are linked.
 Galloping: of a document's two ascending end lists the shorter one drives. Each
 of its ends starts where an earlier end was found in the longer list, doubles
 its step until it is passed and then halves the bracket (``gallop``, numpy
-lanes: every ``STRIDE``-th end starts at its document's first token, the ends
-between start at the place found for the one before them). The places are ranks
+lanes: every 64th end starts at its document's first token, the ends between
+start at the place found for the one before them, by ``STRIDES``). The places are ranks
 in the longer list: those of two neighbours bound the range of longer tokens
 that a shorter token overlaps, so links are ranges and are never searched for.
 
@@ -19,11 +19,10 @@ chunk counts its distinct id pairs, Spark sums equal pairs over the chunks and
 joins the totals back to the chunks that hold them, so the most frequent pair
 is one row a chunk. Each B id's highest count comes from the same totals.
 
-Token ids are the libraries' own. On texts of plain Latin characters pieces of
-text that no merge can cross are looked up in a cache of the library's ids:
-for A the words of its pre-tokenizer, for B the runs before a space or beside a
-line feed (its vocabulary is checked for pieces that cross them). Any other
-text, or any other kind of tokenizer file, is encoded whole.
+Token ids are the libraries' own. For texts of plain Latin characters A's ranks
+and word pattern, read from its file, run in ``tiktoken``, which is faster; this
+is only done if the file is of that kind and each entry of its vocabulary is
+its own encoding. Any other text or file is encoded by ``tokenizers``.
 
 Defined results: null and empty texts, and texts whose joined A or B bytes
 differ from a space and the text, have no tokens: zeros and an empty string;
@@ -53,53 +52,33 @@ from recsort.llm.tokens import PLAIN
 
 CHUNK_BYTES = 8 << 20
 BATCH_BYTES = 1 << 20   # texts aligned together
-STRIDE = 32
-CACHE = 400_000         # entries of a token cache; a full one is emptied and fills again
-CACHED = 64             # characters of the longest piece that is cached
-WIDE = 1 << 31          # pairs are coded A id * WIDE + B id
+STRIDES = (64, 8, 1)    # ends that are searched for before those between them
+WIDE = 1 << 20          # pairs are coded A id * WIDE + B id
 
-# The words of the byte-level pre-tokenizer, on plain Latin characters.
-BYTE_LEVEL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-# Runs that end before a space or at a line feed.
-UNITS = re.compile(r"\n| *[^ \n]+| +")
+# The words of the byte-level pre-tokenizer.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class _Cached:
-    """``ids`` of a text from the cached ids of its pieces, else from the library; None if the bytes differ."""
+class _Tokens:
+    """``ids`` of a text, None if their joined bytes differ from it; ``pieces`` holds the bytes of each id."""
 
-    pattern: re.Pattern | None
     pieces: list[bytes]
 
-    def _prepare(self):
-        self.cache: dict[str, bytes | None] = {}
-        self.lengths = np.array([len(p) for p in self.pieces], np.int64)
-
     def same(self, ids: list[int], data: bytes) -> bool:
         return b"".join(map(self.pieces.__getitem__, ids)) == data
 
-    def _piece(self, piece: str) -> bytes | None:
-        ids = self.encode_piece(piece)
-        out = np.array(ids, "<u4").tobytes() if self.same(ids, piece.encode()) else None
-        if len(piece) <= CACHED:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[piece] = out
-        return out
+    def lengths(self) -> np.ndarray:
+        if len(self.pieces) > WIDE:
+            raise ValueError(f"a vocabulary of more than {WIDE} ids")
+        return np.array([len(p) for p in self.pieces], np.int64)
 
     def ids(self, text: str, plain: bool) -> np.ndarray | None:
         """``text`` begins with the space that both tokenizers see."""
-        if plain and self.pattern:
-            cache, pieces = self.cache, self.pattern.findall(text)
-            try:
-                return np.frombuffer(b"".join([cache[p] for p in pieces]), "<u4")
-            except (KeyError, TypeError):  # a new piece, or one whose bytes differ
-                found = [cache[p] if p in cache else self._piece(p) for p in pieces]
-                return None if None in found else np.frombuffer(b"".join(found), "<u4")
         ids = self.encode(text)
-        return np.array(ids, "<u4") if self.same(ids, text.encode()) else None
+        return np.array(ids, np.int64) if self.same(ids, text.encode()) else None
 
 
-class ByteLevel(_Cached):
+class ByteLevel(_Tokens):
     """A ``tokenizers`` file of byte-level BPE."""
 
     def __init__(self, path: str):
@@ -109,27 +88,43 @@ class ByteLevel(_Cached):
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        # The printable stand-in of each byte: its own character if it has one, else the next from 256 on.
         own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         rest = iter(range(256, 512))
-        self.letters = [chr(b if b in own else next(rest)) for b in range(256)]
-        byte = {c: b for b, c in enumerate(self.letters)}
+        byte = {chr(b if b in own else next(rest)): b for b in range(256)}
+        data = lambda piece: bytes(byte[c] for c in piece) if all(c in byte for c in piece) else piece.encode()
         self.pieces = [b""] * self.library.get_vocab_size()
         for piece, i in self.library.get_vocab().items():
-            self.pieces[i] = bytes(byte[c] for c in piece) if all(c in byte for c in piece) else piece.encode()
-        pre = spec.get("pre_tokenizer") or {}
-        known = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
-                 and pre.get("use_regex", True) and spec["model"].get("type", "BPE") == "BPE")
-        self.pattern = BYTE_LEVEL if known else None
-        self._prepare()
+            self.pieces[i] = data(piece)
+        self.fast = self._ranks(spec, data)
+
+    def _ranks(self, spec: dict, data):
+        """The same tokenizer in ``tiktoken``, or None if the file is of another kind."""
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        if (spec.get("normalizer") is not None or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space")
+                or not pre.get("use_regex", True) or model.get("type", "BPE") != "BPE" or model.get("dropout")):
+            return None
+        vocab = model["vocab"]
+        special = {t["content"] for t in spec.get("added_tokens", [])}
+        made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+        if None in made or made != sorted(made):
+            return None
+        if any([t.id for t in self.library.model.tokenize(p)] != [i] for p, i in vocab.items() if p not in special):
+            return None
+        import tiktoken
+        return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks={data(p): i for p, i in vocab.items() if p not in special}, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def encode_piece(self, piece: str) -> list[int]:
-        return [t.id for t in self.library.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))]
+    def ids(self, text: str, plain: bool) -> np.ndarray | None:
+        if not plain or self.fast is None:
+            return super().ids(text, plain)
+        # Every byte is in some token, so the joined bytes are the text.
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
 
 
-class Pieces(_Cached):
+class Pieces(_Tokens):
     """A ``sentencepiece`` model."""
 
     def __init__(self, path: str):
@@ -138,19 +133,10 @@ class Pieces(_Cached):
         names = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
         byte = [re.fullmatch(r"<0x([0-9A-F]{2})>", p) for p in names]
         self.pieces = [bytes([int(m[1], 16)]) if m else p.replace("▁", " ").encode() for p, m in zip(names, byte)]
-        crossing = any(re.search("[^▁]▁|\n", p) for p in names)
-        # What stands before a unit must not change it: a line feed is a token of its own behind the first space.
-        self.before = self.library.encode("\n")
-        alone = len(self.before) == 2 and all(self.library.encode(x)[:2] == self.before for x in ("\n a", "\na", "\n,"))
-        self.pattern = UNITS if alone and not crossing else None
-        self._prepare()
 
     def encode(self, text: str) -> list[int]:
         return self.library.encode(text[1:])
 
-    def encode_piece(self, piece: str) -> list[int]:
-        return self.library.encode("\n" + piece)[2:]
-
 
 def gallop(longer: np.ndarray, wanted: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Per wanted value the first place at or after ``start`` whose value is at least it (it must exist)."""
@@ -176,9 +162,13 @@ def gallop(longer: np.ndarray, wanted: np.ndarray, start: np.ndarray) -> np.ndar
 
 def intersect(shorter: np.ndarray, longer: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Places of the shorter list's ends in the longer list; ``first`` is a place not beyond each."""
-    head = gallop(longer, shorter[::STRIDE], first[::STRIDE])
-    # A later document's first token may lie beyond the place found for the end before it.
-    return gallop(longer, shorter, np.maximum(np.repeat(head, STRIDE)[: len(shorter)], first))
+    start, before = first, 0
+    for stride in STRIDES:
+        own = slice(None, None, stride)
+        # A later document's first token may lie beyond the place found for the end before it.
+        known = first[own] if not before else np.maximum(np.repeat(start, before // stride)[: len(first[own])], first[own])
+        start, before = gallop(longer, shorter[own], known), stride
+    return start
 
 
 class _Aligner:
@@ -186,6 +176,7 @@ class _Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
+        self.len_a, self.len_b = self.a.lengths(), self.b.lengths()
         na, nb = len(self.a.pieces), len(self.b.pieces)
         self.offsets = {"a,": 0, "a|": na, "b,": 2 * na, "b;": 2 * na + nb}
         number = lambda n, end: [b"%d%s" % (i, end) for i in range(n)]
@@ -209,10 +200,10 @@ class _Aligner:
         drives = np.array([len(a) <= len(b) for _, a, b in found])  # A is the shorter list
         n_s = np.array([min(len(a), len(b)) for _, a, b in found])
         n_l = np.array([max(len(a), len(b)) for _, a, b in found])
-        s_ids = np.concatenate([a if d else b for (_, a, b), d in zip(found, drives)]).astype(np.int64)
-        l_ids = np.concatenate([b if d else a for (_, a, b), d in zip(found, drives)]).astype(np.int64)
+        s_ids = np.concatenate([a if d else b for (_, a, b), d in zip(found, drives)])
+        l_ids = np.concatenate([b if d else a for (_, a, b), d in zip(found, drives)])
         s_is_a, l_is_a = np.repeat(drives, n_s), np.repeat(~drives, n_l)
-        size = lambda ids, is_a: np.where(is_a, self.a.lengths[np.where(is_a, ids, 0)], self.b.lengths[np.where(is_a, 0, ids)])
+        size = lambda ids, is_a: np.where(is_a, self.len_a[np.where(is_a, ids, 0)], self.len_b[np.where(is_a, 0, ids)])
         # Both sides of a text have as many bytes, so ends go on from text to text.
         s_end, l_end = np.cumsum(size(s_ids, s_is_a)), np.cumsum(size(l_ids, l_is_a))
         l_first = np.cumsum(n_l) - n_l
@@ -245,8 +236,13 @@ class _Aligner:
             out[k] = (len(a), len(b), int(groups[i]), int(links[i]), text)
         # Distinct pairs of each text: one sort by (text, pair).
         who = np.array([k for k, _, _ in found])[number][of_s]
-        order = np.lexsort((pair, who)) if len(found) > 1 else np.argsort(pair, kind="stable")
-        who, pair = who[order], pair[order]
+        if len(texts) * WIDE * WIDE < 1 << 63:
+            both = who * (WIDE * WIDE) + pair
+            both.sort()
+            who, pair = both // (WIDE * WIDE), both % (WIDE * WIDE)
+        else:
+            order = np.lexsort((pair, who))
+            who, pair = who[order], pair[order]
         new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (who[1:] != who[:-1])]))
         return out, who[new], pair[new], np.diff(np.append(new, len(pair)))
 

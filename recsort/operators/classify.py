@@ -6,17 +6,13 @@ A responder turns request rows ``(key, request)`` into response rows
 
 * ``RuleResponder`` answers from keyword rules with built-in expressions
   (deterministic, offline, no Python on the hot path).
-* ``PandasResponder`` wraps a caller's ``pandas -> pandas`` batch function
-  (an HTTP client, say) in ``mapInPandas``. Concurrency is the number of
-  partitions it runs on; its output is checkpointed right away so that no
-  later action can repeat paid calls.
+* ``CallResponder`` and ``PandasResponder`` (``recsort.operators.calls``) run a
+  caller's function of one request, or of a batch, isolated call by call, and
+  keep every outcome in a journal that a rerun reads.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +26,11 @@ from recsort.constants import (
 from recsort.functions.prompts import HINT_TEMPLATE, PLAIN_TEMPLATE, build_prompt, build_request
 from recsort.functions.replies import with_extracted_reply, with_parsed_reply
 from recsort.functions.text import clean_rule_categories
+from recsort.operators.calls import NO_RESPONSE, CallResponder, PandasResponder, call_id  # noqa: F401  responders of this module's interface
 from recsort.operators.dictionary import _keyword_rows, match_keywords, sorted_categories
 from recsort.operators.state import resume_pending, retry_failed
 from recsort.session import checkpoint_root
 
-RESPONSE_SCHEMA = "body string, error string"
 NO_RULE_REASON = "no rule matched"
 
 
@@ -102,42 +98,6 @@ class RuleResponder:
                               "error": F.lit(None).cast("string")}).drop("_m")
 
 
-class PandasResponder:
-    """Runs ``fn(pdf[key, request]) -> pdf[key, body, error]`` on executors."""
-
-    def __init__(self, fn: Callable[[pd.DataFrame], pd.DataFrame], concurrency: int = 2,
-                 batch_rows: int = 32, materialise: bool = True):
-        self.fn = fn
-        self.concurrency = concurrency
-        self.batch_rows = batch_rows
-        self.materialise = materialise
-
-    def __call__(self, requests: DataFrame, key: str) -> DataFrame:
-        spark = requests.sparkSession
-        conf_key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = spark.conf.get(conf_key, None)
-        spark.conf.set(conf_key, str(self.batch_rows))  # rows per call batch
-        fn = self.fn
-        key_type = requests.schema[key].dataType.simpleString()
-
-        def call(batches):
-            for pdf in batches:
-                out = fn(pdf[[key, "request"]])
-                yield out[[key, "body", "error"]]
-
-        out = requests.select(key, "request").repartition(self.concurrency) \
-            .mapInPandas(call, f"{key} {key_type}, {RESPONSE_SCHEMA}")
-        if not self.materialise:
-            return out  # runs later with the session's batch size at that time
-        try:
-            return materialise(out)
-        finally:  # the checkpoint ran eagerly; give the session its setting back
-            if before is None:
-                spark.conf.unset(conf_key)
-            else:
-                spark.conf.set(conf_key, before)
-
-
 def with_requests(records: DataFrame, text: str = "text_combined", rule_col: str = "violation_categories",
                   plain_template: str = PLAIN_TEMPLATE, hint_template: str = HINT_TEMPLATE,
                   **request_kw) -> DataFrame:
@@ -153,24 +113,10 @@ def requests_for(records: DataFrame, key: str = "vc_id", **kw) -> DataFrame:
 
 
 def complete(records: DataFrame, responder, key: str = "vc_id", **kw) -> DataFrame:
-    """Responses for the records: (key, body, error)."""
+    """Responses for the records: (call_id, body, error), or (key, body, error) of a responder that answers row by row."""
     return responder(requests_for(records, key, **kw), key)
 
 
-def results_from_responses(responses: DataFrame, key: str = "vc_id", suffix: str = "",
-                           keep_reply: bool = False) -> DataFrame:
-    """Four result columns per response; errors and unusable bodies are request failures.
-
-    ``keep_reply`` also keeps the transport ``error`` and the full reply
-    text as ``reply`` (for the event log).
-    """
-    df = with_results(responses, suffix, keep_reply)
-    extra = ["error", "reply"] if keep_reply else []
-    return df.select(key, *[c + suffix for c in
-                            ("ai_violation_categories", "ai_reason", "ai_raw_response", "process_status")],
-                     *extra)
-
-
 def with_results(responses: DataFrame, suffix: str = "", keep_reply: bool = False) -> DataFrame:
     """Add the four result columns to rows carrying ``body`` and ``error``.
 
@@ -207,13 +153,15 @@ def classify(records: DataFrame, prior: DataFrame | None, responder, mode: str =
     if getattr(responder, "row_wise", False):
         # answer on the record rows themselves: no join back, no shuffle of text
         return materialise(with_results(responder.respond_rows(with_requests(todo, **kw)), suffix, keep_reply))
-    res = materialise(results_from_responses(complete(todo, responder, key, **kw), key, suffix, keep_reply))
+    # Rows are named by id and request: repeated ids neither multiply nor share replies they did not ask for.
+    rows = with_requests(todo, **kw).withColumn("_call", call_id(key)).drop("prompt", "request")
+    replies = responder(requests_for(todo, key, **kw), key).withColumnRenamed("call_id", "_call")
+    out = rows.join(materialise(with_results(replies, suffix, keep_reply)), "_call", "left").drop("_call")
     # a record that the responder does not answer is a request failure
-    out = todo.join(res, key, "left")
-    none = F.col("process_status" + suffix).isNull()
+    none = F.col(status_col).isNull()
     fill = {c + suffix: STATUS_REQUEST_FAIL for c in ("ai_violation_categories", "ai_reason", "process_status")} | {"ai_raw_response" + suffix: ""}
     if keep_reply:
-        fill["error"] = "no response"
+        fill["error"] = NO_RESPONSE
     return out.withColumns({c: F.when(none, F.lit(v)).otherwise(F.col(c)) for c, v in fill.items()})
 
 

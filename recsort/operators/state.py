@@ -87,19 +87,21 @@ def upsert(prior: DataFrame, batch: DataFrame, key: str = "vc_id", seq: str | No
     A column that only ``prior`` has keeps its values, so a second strategy's
     result columns stand beside the first one's. Every prior row that shares
     a key is updated. Duplicate keys inside ``batch`` keep the last by ``seq`` (processing
-    order). Idempotent: upserting the same batch twice gives the same table.
+    order), without ``seq`` the greatest row by the other columns in their order.
+    Idempotent: upserting the same batch twice gives the same table.
     """
     b = _keyed(batch, key)
-    if seq is not None:
-        b = last_write_wins(b, key, [seq]).drop(seq)
+    others = [c for c in b.columns if c not in (key, seq)]
+    b = last_write_wins(b, key, ([seq] if seq is not None else []) + others)
+    b = b.drop(seq) if seq is not None else b
     p = _keyed(prior, key).select(F.struct("*").alias("_old"), F.col(key).alias("_p"))
-    j = p.join(b.select(F.struct("*").alias("_new"), F.col(key).alias("_b")), F.col("_p") == F.col("_b"), "full_outer")
+    j = p.join(b.select(F.struct("*").alias("_new"), F.col(key).alias("_b")), F.col("_p").eqNullSafe(F.col("_b")), "full_outer")
     names = list(dict.fromkeys([*prior.columns, *b.columns]))
 
     def value(c: str) -> Column:
         if c not in b.columns:
             return F.col(f"_old.{c}")
-        return F.when(F.col("_b").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")) if c in prior.columns else F.col(f"_new.{c}")
+        return F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")) if c in prior.columns else F.col(f"_new.{c}")
 
     return j.select(*[(F.coalesce("_b", "_p") if c == key else value(c)).alias(c) for c in names])
 

@@ -8,6 +8,7 @@ DataFrames (lazy) instead of printing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from recsort.operators import classify as C
 from recsort.operators import state as S
 from recsort.operators import training as TR
-from recsort.sinks.results import ResultsTable, result_column_names, sink_rows, write_events, write_records
+from recsort.sinks.results import KeyedResults, result_column_names, sink_rows, write_events, write_records
+from recsort.session import scratch_path
 from recsort.sources.csv import SCORING_ENCODINGS, TRAINING_ENCODINGS, read_records, require_columns
 
 ROW_ORDER = "_row"
@@ -66,23 +68,29 @@ def score_job(spark: SparkSession, input_path: str, output_path: str, model_path
 def classify_job(spark: SparkSession, input_path: str, results_root: str, responder,
                  mode: str = "new", suffix: str = "", key: str = "vc_id",
                  encodings: Sequence[str] = ("utf-8", "utf-8-sig"),
-                 events_path: str | None = None) -> DataFrame:
+                 events_path: str | None = None, run: str | None = None, buckets: int = 32) -> DataFrame:
     """Routed records still to do (``new``) or failed before (``retry``) -> results table.
 
-    Duplicate ids in the input resolve to the last one in file order. New
-    and changed rows are appended to the results table (whole rows replaced
-    by key); with ``events_path`` the request / response / error events of
-    this run are appended there as JSON lines. Returns the per-status
-    summary of this run.
+    Duplicate ids in the input resolve to the last one in file order. The rows
+    are upserted into the table's buckets that hold their keys; with
+    ``events_path`` the request / response / error events of this run are
+    appended there as JSON lines. Returns the per-status summary of this run.
+
+    A responder without a journal of its own gets one beside the results, under
+    the name ``run``: a ``new`` run that broke off finds its paid replies when
+    the job is started again, a ``retry`` run if it is given the same name.
     """
-    records = read_records(spark, input_path, encodings).withColumn(ROW_ORDER, F.monotonically_increasing_id())
-    table = ResultsTable(spark, results_root)
+    records = read_records(spark, input_path, encodings, order_col=ROW_ORDER)
+    table = KeyedResults(spark, f"{results_root.rstrip('/')}/table", key, buckets)
     status_col = "process_status" + suffix
     # None before the first run; a table without this version's status column
     # has processed nothing in this version (and has nothing to retry)
-    prior = table.latest([key, status_col])
+    prior = table.read([key, status_col])
     if mode == "retry" and prior is None:
         raise ValueError("retry mode needs an existing results table")
+    if not getattr(responder, "row_wise", False) and responder.journal is None:
+        responder.journal = f"{results_root.rstrip('/')}/calls"
+        responder.run = run or (f"new{suffix}" if mode == "new" else f"retry{suffix}-{uuid.uuid4().hex[:12]}")
     rows = C.classify(records, prior, responder, mode=mode, key=key, suffix=suffix,
                       keep_reply=events_path is not None)
     if events_path is not None:
@@ -90,10 +98,10 @@ def classify_job(spark: SparkSession, input_path: str, results_root: str, respon
                                            ("ai_violation_categories", "ai_reason", "process_status")})
         write_events(C.event_log(results, key=key), events_path)
         rows = rows.drop("error", "reply")
-    rows = S.last_write_wins(rows, key, [ROW_ORDER]).drop(ROW_ORDER)
     new = sink_rows(S.widen_schema(rows, result_column_names(suffix)))
-    if table.state() is None:
-        table.commit(new, key)
-    else:
-        table.append(new, key)
-    return C.status_summary(table.latest().join(new.select(key), key, "left_semi"), status_col=status_col)
+    # What this run adds is stored before the table changes: its summary is not that of a later state.
+    path = scratch_path(spark, "classified")
+    S.last_write_wins(new, key, [ROW_ORDER]).drop(ROW_ORDER).write.parquet(path)
+    new = spark.read.parquet(path)
+    table.upsert(new)
+    return C.status_summary(new, status_col=status_col)

@@ -1,34 +1,26 @@
-"""Sinks: CSV records, JSON event log, and the keyed results table.
+"""Sinks: CSV records, JSON event log, and the keyed results tables.
 
-A writer never overwrites files it reads (Spark cannot overwrite a path it
-is scanning): every commit writes new files and then appends a row to the
-table's log. Readers follow the newest log row, so a half-written version
-is never visible.
+``KeyedResults`` is plain Parquet in folders of a hash bucket of the key. An
+upsert reads and rewrites the buckets that its batch touches and no others
+(dynamic partition overwrite). ``BatchResults`` is what a stream writes: plain
+Parquet in one folder per batch id, overwritten if the batch is replayed, and
+read with the latest value of every key.
 """
 
 from __future__ import annotations
 
-import uuid
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
+from pyspark.sql.types import StringType, StructField, StructType
 
 from recsort.constants import RESULT_COLUMNS
 from recsort.functions.text import flatten_string_columns
+from recsort.operators.state import upsert
+from recsort.session import scratch_path
 
-
-SEQ_COL = "_seq"
-_LOG_SCHEMA = StructType([
-    StructField("seq", LongType()), StructField("key", StringType()),
-    StructField("base", StringType()), StructField("deltas", ArrayType(StringType())),
-])
+BUCKET = "_bucket"
+BATCH = "_batch"
 
 
 def result_column_names(suffix: str = "") -> list[str]:
@@ -52,135 +44,102 @@ def empty_results(spark: SparkSession, columns: list[str]) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-class ResultsTable:
-    """Keyed results table: a Parquet base plus appended deltas.
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet folder with the columns of all its files, None if there is none; an unreadable one raises."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
 
-    Layout under ``root``: ``base-*`` and ``delta-*`` Parquet folders and
-    ``_log``, an append-only JSON log with one row per commit
-    ``(seq, key, base, deltas)``; the row with the highest ``seq`` is the
-    current state. Every commit writes new files and then appends one log
-    row, so a failed write leaves the previous state intact, and a reader
-    never sees a half-written version.
+class KeyedResults:
+    """One row per key, in ``buckets`` folders by a hash of the key.
 
-    * ``commit(df)`` replaces the table (a new base, no deltas);
-    * ``append(rows, key)`` writes only the new rows as a delta tagged with
-      its sequence number - the cost of a micro-batch is the batch, not the
-      table; every ``compact_every`` deltas the table is compacted;
-    * ``read()`` resolves the latest value of each column per key (partial
-      ``max_by`` over the parts that have the column);
-      ``latest(key, cols)`` does the same for a few columns only.
+    ``buckets`` is fixed when the table is made; choose it so that a bucket is
+    some hundred MB. A batch with keys in every bucket costs the table, one
+    with few keys a few buckets. A failed upsert is repaired by repeating it:
+    the new buckets are stored in the scratch folder before the old are replaced.
     """
 
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 8):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.log = f"{self.root}/_log"
-        self.compact_every = compact_every
-
-    # -- state -----------------------------------------------------------
-    def state(self):
-        try:
-            log = self.spark.read.schema(_LOG_SCHEMA).json(self.log)
-            return log.orderBy(F.desc("seq")).first()
-        except Exception as e:  # no log yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None
-            raise
-
-    def version(self) -> int:
-        st = self.state()
-        return -1 if st is None else st["seq"]
-
-    def _write_log(self, seq: int, key: str | None, base: str | None, deltas: list[str]) -> None:
-        self.spark.createDataFrame([(seq, key, base, deltas)], _LOG_SCHEMA).coalesce(1) \
-            .write.mode("append").json(self.log)
-
-    # -- reads -----------------------------------------------------------
-    def _parts(self, st, cols: list[str] | None):
-        def pick(df):
-            return df if cols is None else df.select(*[c for c in cols if c in df.columns])
-        base = pick(self.spark.read.parquet(st["base"])) if st["base"] else None
-        deltas = [pick(self.spark.read.parquet(p)) for p in (st["deltas"] or [])]
-        return base, deltas
-
-    def latest(self, cols: list[str] | None = None, keys: DataFrame | None = None) -> DataFrame | None:
-        """Current rows (optionally only ``cols``), or None when empty.
-
-        ``keys`` (one column, the table key) restricts every part to those
-        keys before rows are resolved, so a micro-batch's lookup costs a scan
-        of the needed columns plus work of the batch's size, not a shuffle of
-        the table. An unreadable version raises: silently starting over would
-        redo every paid call.
+    def __init__(self, spark: SparkSession, path: str, key: str = "vc_id", buckets: int = 32):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets)).cast("int")
+
+    def read(self, columns: list[str] | None = None) -> DataFrame | None:
+        """All rows (only those of ``columns`` that the table has), None before the first write."""
+        df = _stored(self.spark, self.path)
+        if df is None:
+            return None
+        return df.drop(BUCKET) if columns is None else df.select(*[c for c in columns if c in df.columns])
+
+    def init(self, columns: list[str]) -> DataFrame:
+        """The table, made empty with these columns unless it exists."""
+        if self.read() is None:
+            empty_results(self.spark, columns).write.mode("append").parquet(f"{self.path}/{BUCKET}=0")
+        return self.read()
+
+    def upsert(self, batch: DataFrame, seq: str | None = None) -> DataFrame:
+        """Update the batch's columns by key and append new keys, in the buckets of the batch's keys."""
+        work = scratch_path(self.spark, "upsert")
+        # The batch is stored once: its buckets, the merge and a repetition all read the same rows.
+        batch.withColumn(BUCKET, self._bucket()).write.partitionBy(BUCKET).parquet(f"{work}/batch")
+        new = _stored(self.spark, f"{work}/batch")
+        if new is None:  # no rows, no folders
+            return self.init(batch.columns)
+        # At most ``buckets`` numbers come to the driver; only those folders are read (partition filter).
+        touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())
+        new, old = new.drop(BUCKET), _stored(self.spark, self.path)
+        if not touched:
+            return self.init(batch.columns)
+        if old is None:
+            old = empty_results(self.spark, [self.key])
+        else:
+            old = old.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        merged = upsert(old, new, self.key, seq).withColumn(BUCKET, self._bucket())
+        merged.repartition(max(1, len(touched)), BUCKET).write.partitionBy(BUCKET).parquet(f"{work}/merged")
+        (self.spark.read.parquet(f"{work}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(self.path))
+        return self.read()
+
+
+class BatchResults:
+    """Rows of a stream's batches, one folder per batch id; a replayed batch replaces its folder."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str = "vc_id"):
+        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+
+    def batches(self) -> list[int]:
+        df = _stored(self.spark, self.path)
+        return [] if df is None else sorted(r[0] for r in df.select(BATCH).distinct().collect())
+
+    def latest(self, columns: list[str] | None = None, keys: DataFrame | None = None, before: int | None = None) -> DataFrame | None:
+        """The row of the latest batch of every key, None before the first batch.
+
+        ``keys`` (a DataFrame with the key) restricts the rows first, so that a
+        lookup aggregates what it asks for; ``before`` leaves out that batch and
+        later ones, so that a replayed batch does not see its own first try.
         """
-        st = self.state()
-        if st is None:
+        df = _stored(self.spark, self.path)
+        if df is None:
             return None
-        base, deltas = self._parts(st, None if cols is None else list(cols) + [SEQ_COL])
+        names = [c for c in (columns or df.columns) if c in df.columns and c != BATCH]
+        df = df.select(*names, BATCH)
+        if before is not None:
+            df = df.filter(F.col(BATCH) < before)
         if keys is not None:
-            from recsort.operators.joins import broadcast_if_bounded
-            k = broadcast_if_bounded(keys.select(st["key"]).distinct())
-            base = base.join(k, st["key"], "left_semi") if base is not None else None
-            deltas = [d.join(k, st["key"], "left_semi") for d in deltas]
-        if not deltas:
-            return base
-        # Each column has its latest value among the parts that have the column.
-        parts = ([base.withColumn(SEQ_COL, F.lit(0).cast("long"))] if base is not None else []) + deltas
-        names = list(dict.fromkeys(c for d in parts for c in d.columns if c not in (st["key"], SEQ_COL)))
-        allrows = None
-        for d in parts:
-            has = F.array(*[F.lit(c) for c in d.columns])
-            d = d.withColumn("_has", has)
-            allrows = d if allrows is None else allrows.unionByName(d, allowMissingColumns=True)
-        latest = [F.max_by(F.struct(F.col(c)), F.when(F.array_contains("_has", c), F.col(SEQ_COL))).alias(c) for c in names]
-        return allrows.groupBy(st["key"]).agg(*latest).select(st["key"], *[F.col(f"{c}.{c}").alias(c) for c in names])
-
-    def read(self, schema: StructType | None = None) -> DataFrame | None:
-        df = self.latest()
-        if df is None and schema is not None:
-            return self.spark.createDataFrame([], schema)
-        return df
-
-    # -- writes ----------------------------------------------------------
-    def init(self, columns: list[str]) -> DataFrame:
-        """Create an empty table with these columns unless one exists."""
-        cur = self.read()
-        if cur is not None:
-            return cur
-        return self.commit(empty_results(self.spark, columns))
-
-    def commit(self, df: DataFrame, key: str | None = None) -> DataFrame:
-        """Replace the whole table."""
-        st = self.state()
-        seq = 1 if st is None else st["seq"] + 1
-        path = f"{self.root}/base-{seq:06d}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("errorifexists").parquet(path)
-        self._write_log(seq, key or (st["key"] if st else None), path, [])
-        return self.spark.read.parquet(path)
-
-    def append(self, rows: DataFrame, key: str) -> None:
-        """Add or replace rows by ``key`` without rewriting the table."""
-        st = self.state()
-        seq = 1 if st is None else st["seq"] + 1
-        path = f"{self.root}/delta-{seq:06d}-{uuid.uuid4().hex[:8]}"
-        rows.withColumn(SEQ_COL, F.lit(seq).cast("long")).write.mode("errorifexists").parquet(path)
-        deltas = ([] if st is None else list(st["deltas"] or [])) + [path]
-        self._write_log(seq, key, None if st is None else st["base"], deltas)
-        if len(deltas) >= self.compact_every:
-            self.compact()
-
-    def compact(self) -> None:
-        """Fold the deltas into a new base."""
-        st = self.state()
-        if st is None or not st["deltas"]:
-            return
-        self.commit(self.latest(), st["key"])
+            df = df.join(keys.select(self.key), self.key, "left_semi")
+        others = [c for c in names if c != self.key]
+        best = F.max_by(F.struct(*others), F.struct(BATCH, *others))
+        return df.groupBy(self.key).agg(best.alias("_r")).select(*[F.col(c) if c == self.key else F.col(f"_r.{c}").alias(c) for c in names])
 
 
 def sink_rows(df: DataFrame) -> DataFrame:
     """What the writer stores for new rows: line breaks and tabs flattened."""
     return flatten_string_columns(df)
-
-
-def event_records(df: DataFrame) -> DataFrame:
-    """One JSON text per event row (nulls dropped, as a sparse log)."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))

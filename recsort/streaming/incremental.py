@@ -2,10 +2,10 @@
 
 New record files arrive in a folder; each micro-batch routes its rows,
 skips ids that already have a finished result, asks the responder, parses
-the replies and upserts them into the versioned results table. The file
+the replies and writes them as the batch's folder of the results. The file
 source and checkpoint make restarts pick up only new files;
-``foreachBatch`` is at-least-once, and the keyed upsert makes a replayed
-batch harmless.
+``foreachBatch`` is at-least-once: a replayed batch does not see its own first
+try and replaces its folder.
 """
 
 from __future__ import annotations
@@ -14,28 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from recsort.operators.classify import classify
-from recsort.sinks.results import ResultsTable, sink_rows
+from recsort.sinks.results import BatchResults, sink_rows
 from recsort.session import checkpoint_root, scratch_path
 
 
-def batch_writer(results: ResultsTable, responder, key: str = "vc_id", suffix: str = ""):
-    """Per micro-batch: skip finished ids, classify the rest, append them.
+def batch_writer(results: BatchResults, responder, key: str = "vc_id", suffix: str = ""):
+    """Per micro-batch: skip finished ids, classify the rest, write them as the batch's folder.
 
-    Only the key and status columns of the table are read for the resume
-    check, and only the batch's rows are written (a delta); the table
-    compacts itself every few deltas.
+    Only the key and status columns of earlier batches are read for the resume
+    check, and only for the batch's keys; only the batch's rows are written. An
+    id that stands in a batch more than once keeps one row, by the columns.
     """
     status_col = "process_status" + suffix
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        prior = results.latest([key, status_col], keys=batch.select(key))
-        rows = classify(batch, prior, responder, mode="new", key=key, suffix=suffix)
-        results.append(sink_rows(rows), key)
+        prior = results.latest([key, status_col], keys=batch, before=epoch_id)
+        results.write(sink_rows(classify(batch, prior, responder, mode="new", key=key, suffix=suffix)), epoch_id)
 
     return write
 
 
-def run_available(spark: SparkSession, source: str, schema: StructType, results: ResultsTable,
+def run_available(spark: SparkSession, source: str, schema: StructType, results: BatchResults,
                   checkpoint: str, responder, key: str = "vc_id", fmt: str = "parquet",
                   max_files_per_trigger: int | None = None) -> None:
     """Process every file not seen yet, then stop (``availableNow``)."""
@@ -59,7 +58,7 @@ def run_incremental_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_root(spark)
     base = scratch_path(spark, "stream")
     src, ckpt = f"{base}/in", f"{base}/checkpoint"
-    results = ResultsTable(spark, f"{base}/results")
+    results = BatchResults(spark, f"{base}/results")
     records = FX.f2_records(spark, sf_dir)
     responder = RuleResponder(FX.keywords_df(spark))
     first = F.pmod(F.xxhash64("vc_id"), F.lit(2)) == 0
@@ -68,4 +67,4 @@ def run_incremental_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     records.filter(~first).write.mode("append").parquet(f"{src}/arrival=2")
     run_available(spark, src, records.schema, results, ckpt, responder)
     from recsort.sinks.results import result_column_names
-    return results.read().select(*records.columns, *result_column_names())
+    return results.latest().select(*records.columns, *result_column_names())

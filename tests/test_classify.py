@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from recsort.constants import STATUS_OK, STATUS_PARSE_FAIL, STATUS_REQUEST_FAIL
 from recsort.operators import classify as C
 from recsort.operators import state as S
-from recsort.sinks.results import ResultsTable
+from recsort.sinks.results import BatchResults
 from recsort.sources import fixtures as FX
-from recsort.streaming.incremental import run_available
+from recsort.streaming.incremental import batch_writer, run_available
 from tests.conftest import SF_SMALL
 
 
@@ -85,21 +85,23 @@ def test_stream_restart_equals_one_batch(spark, tmp_dir):
     rec = FX.f2_records(spark, SF_SMALL)
     responder = C.RuleResponder(FX.keywords_df(spark))
     src, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/ckpt"
-    table = ResultsTable(spark, f"{tmp_dir}/results")
+    table = BatchResults(spark, f"{tmp_dir}/results")
     first = F.col("doc_id") % 2 == 0
     rec.filter(first).write.parquet(f"{src}/arrival=1")
     run_available(spark, src, rec.schema, table, ckpt, responder)
-    n1 = table.read().count()
+    n1 = table.latest().count()
     rec.filter(~first).write.parquet(f"{src}/arrival=2")
     run_available(spark, src, rec.schema, table, ckpt, responder)
-    v2 = table.version()
-    run_available(spark, src, rec.schema, table, ckpt, responder)  # nothing new: no batch, no new version
-    assert table.version() == v2
-    streamed = sorted(tuple(r) for r in table.read().select("vc_id", "process_status", "ai_violation_categories").collect())
-    batch = C.classify(rec, None, responder, mode="new")
-    once = sorted(tuple(r) for r in batch.select("vc_id", "process_status", "ai_violation_categories").collect())
+    assert table.batches() == [0, 1]
+    run_available(spark, src, rec.schema, table, ckpt, responder)  # nothing new: no batch
+    assert table.batches() == [0, 1]
+    rows = lambda df: sorted(tuple(r) for r in df.select("vc_id", "process_status", "ai_violation_categories").collect())
+    once = rows(C.classify(rec, None, responder, mode="new"))
     assert 0 < n1 < len(once)
-    assert streamed == once
+    assert rows(table.latest()) == once
+    # a batch that is run again after a crash replaces its folder
+    batch_writer(table, responder)(rec.filter(~first), 1)
+    assert table.batches() == [0, 1] and rows(table.latest()) == once
 
 
 def test_event_log_one_pass_shape(spark):
@@ -111,7 +113,7 @@ def test_event_log_one_pass_shape(spark):
     ev = {(r.vc_id, r.event): r for r in C.event_log(rows).collect()}
     assert sorted(ev) == [("a", "request"), ("a", "response"), ("b", "error"), ("b", "request")]
     assert ev[("a", "request")].prompt == "Known: permissive. Classify: txt. Recheck: permissive"
-    assert ev[("a", "request")].text_len == "3" and ev[("b", "request")].text_len == "0"
+    assert ev[("a", "request")].text_len == 3 and ev[("b", "request")].text_len == 0
     assert ev[("a", "response")].status == "成功" and ev[("a", "response")].raw_response == "R"
     assert ev[("b", "error")].error == "timeout" and ev[("b", "error")].status is None
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recsort.constants import STATUS_OK, STATUS_REQUEST_FAIL
 from recsort.operators import classify as C
 from recsort.plans import jobs as J
-from recsort.sinks.results import ResultsTable
+from recsort.sinks.results import KeyedResults
 from recsort.sources import fixtures as FX
 from recsort.sources.export import export_encoded_records
 from tests.conftest import SF_SMALL
@@ -60,6 +60,6 @@ def test_train_score_classify_retry(spark, tmp_dir):
     events = spark.read.json(f"{tmp_dir}/events")
     kinds = {r.event: r["count"] for r in events.groupBy("event").count().collect()}
     assert kinds == {"request": first[STATUS_REQUEST_FAIL], "response": first[STATUS_REQUEST_FAIL]}
-    table = ResultsTable(spark, results).read()
+    table = KeyedResults(spark, f"{results}/table").read()
     assert table.count() == routed
     assert table.filter(F.col("process_status") != STATUS_OK).count() == 0

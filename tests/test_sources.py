@@ -97,3 +97,46 @@ def test_write_records_roundtrip_keeps_cells(spark, tmp_dir):
     write_records(df, f"{tmp_dir}/out")
     back = read_records(spark, f"{tmp_dir}/out", null_tokens=None)
     assert sorted(tuple(r) for r in back.select("vc_id", "c1", "c2", "c3").collect()) == sorted(rows)
+
+
+def test_files_are_joined_by_column_name(spark, tmp_dir):
+    _write(tmp_dir, "a.csv", "vc_id,text_combined\nA-1,hello\nA-2,你\n", "utf-8")
+    _write(tmp_dir, "b.csv", "text_combined,vc_id,extra\nworld,B-1,e\n", "gbk")
+    _write(tmp_dir, "c.csv", "text_combined,vc_id\r\n\"two\r\nlines\",C-1\r\n", "utf-8", bom=b"\xef\xbb\xbf")
+    got = {r.vc_id: (r.text_combined, r.extra) for r in read_records(spark, tmp_dir).collect()}
+    assert got == {"A-1": ("hello", None), "A-2": ("你", None), "B-1": ("world", "e"), "C-1": ("two\nlines", None)}
+
+
+def test_charset_is_decided_over_all_splits_of_a_file(spark, tmp_dir):
+    """One bad line near the end of a file of many splits; the splits' results meet per file."""
+    body = "vc_id,text_combined\n" + "".join(f"A-{i},{'x' * 200}\n" for i in range(4000))
+    _write(tmp_dir, "a.csv", body, "utf-8")
+    _write(tmp_dir, "b.csv", body.replace("A-", "B-") + "B-last,你好\n", "gbk")
+    _write(tmp_dir, "d.csv", body.replace("A-", "D-") + "D-last,\U00020000\n", "gb18030")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(100_000))
+    try:
+        found = detect_charsets(spark, tmp_dir)
+        assert found.select("path").count() == 3 and {os.path.basename(r.path): (r.charset, r.split) for r in found.collect()} == {
+            "a.csv": ("utf-8", True), "b.csv": ("gbk", True), "d.csv": ("gb18030", True)}
+        df = read_records(spark, tmp_dir, order_col="at")
+        assert df.rdd.getNumPartitions() > 10
+        rows = df.orderBy("at").collect()
+        assert [r.vc_id for r in rows if r.vc_id.startswith("B-")] == [f"B-{i}" for i in range(4000)] + ["B-last"]
+        assert {r.vc_id: r.text_combined for r in rows if r.vc_id.endswith("last")} == {"B-last": "你好", "D-last": "\U00020000"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_gbk_needs_every_line_to_decode(spark, tmp_dir):
+    """A line that is UTF-8 by itself but not GBK rules GBK out for the whole file."""
+    _write(tmp_dir, "a.csv", "", "utf-8", bom="vc_id,t\n1,".encode() + "\U00020000".encode("gb18030") + b"\n2," + "\u00e9".encode("utf-8") + b"\n")
+    got = detect_charsets(spark, tmp_dir).first()
+    assert got.charset in (None, "gb18030")
+
+
+def test_no_files(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        read_records(spark, f"{tmp_dir}/none")
+    with pytest.raises(FileNotFoundError):
+        read_records(spark, tmp_dir)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recsort.operators import state as S
-from recsort.sinks.results import ResultsTable, result_column_names
+import os
+
+from recsort.sinks.results import BUCKET, BatchResults, KeyedResults, result_column_names
 from recsort.sources import fixtures as FX
 from tests.conftest import SF_SMALL
 
@@ -64,9 +66,9 @@ def test_second_strategy_keeps_the_first(spark, tmp_dir):
     cols = ["vc_id", "ai_violation_categories", "process_status", "ai_violation_categories_v2", "process_status_v2"]
     key = lambda rows: sorted(rows, key=repr)
     assert key(tuple(r) for r in S.upsert(first, second).select(*cols).collect()) == key(expect)
-    t = ResultsTable(spark, f"{tmp_dir}/second")
-    t.append(first, "vc_id")
-    t.append(second, "vc_id")
+    t = KeyedResults(spark, f"{tmp_dir}/second", buckets=4)
+    t.upsert(first)
+    t.upsert(second)
     assert key(tuple(r) for r in t.read().select(*cols).collect()) == key(expect)
 
 
@@ -94,40 +96,54 @@ def test_widen_schema_keeps_order_and_existing(spark):
     assert S.widen_schema(df, result_column_names("_v2")).columns[-1] == "process_status_v2"
 
 
-def test_results_table_versions(spark, tmp_dir):
-    t = ResultsTable(spark, f"{tmp_dir}/results")
+def _files(root):
+    return {d: sorted(f for f in os.listdir(f"{root}/{d}") if f.endswith(".parquet")) for d in os.listdir(root) if d.startswith(BUCKET)}
+
+
+def test_upsert_rewrites_only_the_buckets_of_its_keys(spark, tmp_dir):
+    t = KeyedResults(spark, f"{tmp_dir}/res", buckets=16)
     assert t.read() is None
-    t.init(["vc_id", "process_status"])
-    assert t.read().count() == 0
-    t.commit(spark.createDataFrame([("a", "成功")], "vc_id string, process_status string"))
-    cur = t.read()
-    t.commit(S.upsert(cur, spark.createDataFrame([("b", "成功")], "vc_id string, process_status string")))
-    assert _rows(t.read(), "vc_id") == [("a",), ("b",)]
+    schema = "vc_id string, process_status string, note string"
+    t.upsert(spark.createDataFrame([(f"k{i}", "成功", "v0") for i in range(200)], schema))
+    before = _files(t.path)
+    assert len(before) == 16
+    batch = spark.createDataFrame([("k7", "解析失败", "v1"), ("new", "成功", "v1")], schema)
+    t.upsert(batch)
+    after = _files(t.path)
+    touched = {f"{BUCKET}={r[0]}" for r in batch.select(t._bucket()).collect()}
+    assert {d for d in after if after[d] != before[d]} == touched and len(touched) <= 2
+    got = {r.vc_id: (r.process_status, r.note) for r in t.read().collect()}
+    assert len(got) == 201 and got["k7"] == ("解析失败", "v1") and got["new"] == ("成功", "v1") and got["k8"] == ("成功", "v0")
+    t.upsert(batch)  # a repeated batch changes nothing
+    assert {r.vc_id: (r.process_status, r.note) for r in t.read().collect()} == got
+    assert _rows(t.read(["vc_id", "absent"]).filter("vc_id = 'new'"), "vc_id") == [("new",)]
+
+
+def test_upsert_of_nothing_and_of_repeated_keys(spark, tmp_dir):
+    t = KeyedResults(spark, f"{tmp_dir}/res", buckets=3)
+    assert t.init(["vc_id", "process_status"]).count() == 0
+    schema = "vc_id string, process_status string, seq int"
+    assert t.upsert(spark.createDataFrame([], schema), "seq").count() == 0
+    t.upsert(spark.createDataFrame([("a", "x", 1), ("a", "y", 3), ("a", "z", 2), (None, "n", 1)], schema), "seq")
+    assert sorted(t.read().select("vc_id", "process_status").collect(), key=repr) == sorted([("a", "y"), (None, "n")], key=repr)
+
+
+def test_upsert_without_order_keeps_one_row_per_key(spark):
+    prior = spark.createDataFrame([("a", "old")], "vc_id string, v string")
+    batch = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("b", None), ("b", "w")], "vc_id string, v string")
+    assert _rows(S.upsert(prior, batch), "vc_id", "v") == [("a", "y"), ("b", "w")]
 
 
-def test_results_table_append_resolves_latest_and_compacts(spark, tmp_dir):
-    t = ResultsTable(spark, f"{tmp_dir}/res", compact_every=3)
+def test_batch_results_latest(spark, tmp_dir):
+    t = BatchResults(spark, f"{tmp_dir}/stream")
+    assert t.latest() is None and t.batches() == []
     schema = "vc_id string, process_status string, note string"
-    t.commit(spark.createDataFrame([("a", "请求失败", "v0"), ("b", "成功", "v0")], schema), key="vc_id")
-    t.append(spark.createDataFrame([("a", "成功", "v1"), ("c", "解析失败", "v1")], schema), "vc_id")
-    t.append(spark.createDataFrame([("c", "成功", "v2")], schema), "vc_id")
-    st = t.state()
-    assert len(st["deltas"]) == 2
-    expect = [("a", "成功", "v1"), ("b", "成功", "v0"), ("c", "成功", "v2")]
-    assert _rows(t.read(), "vc_id", "process_status", "note") == expect
-    assert _rows(t.latest(["vc_id", "process_status"]), "vc_id", "process_status") == [r[:2] for r in expect]
-    # replaying a batch is harmless
-    t.append(spark.createDataFrame([("c", "成功", "v2")], schema), "vc_id")
-    st = t.state()
-    assert not st["deltas"]  # third delta triggered compaction
-    assert _rows(t.read(), "vc_id", "process_status", "note") == expect
-    assert "_seq" not in t.read().columns
-
-
-def test_results_table_latest_for_keys(spark, tmp_dir):
-    t = ResultsTable(spark, f"{tmp_dir}/res2")
-    schema = "vc_id string, process_status string"
-    t.commit(spark.createDataFrame([("a", "请求失败"), ("b", "成功")], schema), key="vc_id")
-    t.append(spark.createDataFrame([("a", "成功"), ("c", "成功")], schema), "vc_id")
+    t.write(spark.createDataFrame([("a", "请求失败", "v0"), ("b", "成功", "v0")], schema), 0)
+    t.write(spark.createDataFrame([("a", "成功", None), ("c", "解析失败", "v1")], schema), 1)
+    expect = [("a", "成功", None), ("b", "成功", "v0"), ("c", "解析失败", "v1")]
+    assert _rows(t.latest(), "vc_id", "process_status", "note") == expect
+    assert _rows(t.latest(["vc_id", "process_status"], before=1), "vc_id", "process_status") == [("a", "请求失败"), ("b", "成功")]
     keys = spark.createDataFrame([("a",), ("z",)], "vc_id string")
     assert _rows(t.latest(["vc_id", "process_status"], keys=keys), "vc_id", "process_status") == [("a", "成功")]
+    t.write(spark.createDataFrame([("c", "成功", "v2")], schema), 1)  # replayed with other rows: the folder is replaced
+    assert _rows(t.latest(), "vc_id", "process_status", "note") == [("a", "请求失败", "v0"), ("b", "成功", "v0"), ("c", "成功", "v2")]

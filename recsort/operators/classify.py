@@ -27,7 +27,7 @@ from recsort.functions.prompts import HINT_TEMPLATE, PLAIN_TEMPLATE, build_promp
 from recsort.functions.replies import with_extracted_reply, with_parsed_reply
 from recsort.functions.text import clean_rule_categories
 from recsort.operators.calls import NO_RESPONSE, CallResponder, PandasResponder, call_id  # noqa: F401  responders of this module's interface
-from recsort.operators.dictionary import _keyword_rows, match_keywords, sorted_categories
+from recsort.operators.dictionary import sorted_categories, with_matches
 from recsort.operators.state import resume_pending, retry_failed
 from recsort.session import checkpoint_root
 
@@ -69,7 +69,7 @@ class RuleResponder:
     row_wise = True
 
     def __init__(self, keywords: DataFrame, catch_all: str = CATCH_ALL_CATEGORY):
-        self.rows = _keyword_rows(keywords)
+        self.keywords = keywords
         self.catch_all = catch_all
 
     def reply(self, m) -> F.Column:
@@ -87,13 +87,13 @@ class RuleResponder:
         # is never built: column pruning drops it), else read the body
         prompt = F.col("prompt") if "prompt" in requests.columns else \
             F.get_json_object(F.col("request"), "$.messages[1].content")
-        m = requests.select(key, match_keywords(F.coalesce(prompt, F.lit("")), self.rows).alias("_m"))
+        m = with_matches(requests.select(key, F.coalesce(prompt, F.lit("")).alias("_prompt")), F.col("_prompt"), self.keywords)
         return m.select(key, chat_body(self.reply(F.col("_m"))).alias("body"),
                         F.lit(None).cast("string").alias("error"))
 
     def respond_rows(self, rows: DataFrame) -> DataFrame:
         """Add ``body`` and ``error`` to rows that carry a ``prompt`` column."""
-        m = rows.withColumn("_m", match_keywords(F.coalesce(F.col("prompt"), F.lit("")), self.rows))
+        m = with_matches(rows, F.coalesce(F.col("prompt"), F.lit("")), self.keywords)
         return m.withColumns({"body": chat_body(self.reply(F.col("_m"))),
                               "error": F.lit(None).cast("string")}).drop("_m")
 

@@ -32,7 +32,7 @@ from recsort.session import scratch_path
 
 FEATURES = 4096
 DIMS = 32
-STEPS = 25
+STEPS = 20
 RATE = 0.02
 CELLS = 16      # partial gradients of a step; more pairs ask for more of them
 FAN = 8
@@ -92,7 +92,7 @@ PARTIAL = "cell int, n long, loss double, gradient binary"
 
 def _partials(weights, features: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = weights.value
+        w = weights.value.astype(np.float32)  # products in 32 bits, sums in 64
         found: dict[int, list] = {}
         for batch in batches:
             cells = batch.column("cell").to_numpy(zero_copy_only=False)
@@ -103,9 +103,9 @@ def _partials(weights, features: int):
                 for lo in range(0, len(own), ROWS):
                     at = own[lo:lo + ROWS]
                     pick = lambda c: [cols[c][i] for i in at]  # noqa: E731,B023
-                    loss, g = loss_and_gradient(w, dense(pick("a_slots"), pick("a_weights"), features).astype(float),
-                                                dense(pick("b_slots"), pick("b_weights"), features).astype(float), similar[at])
-                    t = found.setdefault(cell, [0, 0.0, np.zeros_like(w)])
+                    loss, g = loss_and_gradient(w, dense(pick("a_slots"), pick("a_weights"), features),
+                                                dense(pick("b_slots"), pick("b_weights"), features), similar[at].astype(np.float32))
+                    t = found.setdefault(cell, [0, 0.0, np.zeros(w.shape)])
                     t[0], t[1] = t[0] + len(at), t[1] + loss
                     t[2] += g
         out = sorted(found.items())

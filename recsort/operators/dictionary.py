@@ -1,162 +1,51 @@
 """Keyword and citation dictionary: match, build, clean, correct, recover.
 
-Keyword matching has three physical forms with equal results:
-
-* ``contains``  - broadcast nested-loop join on ``instr`` (few keywords);
-* ``inline``    - the checked keyword list as a literal array, filtered
-                  per row with higher-order functions (no join, no shuffle;
-                  keeps one row per record);
-* ``automaton`` - an Aho-Corasick scan per row in ``mapInPandas`` with the
-                  keyword list shipped to each task (many keywords: one
-                  pass over the text instead of one per keyword).
-
-All three need the keyword table to be bounded; it is a lookup table
-(caller configuration), and its size is checked before it is shipped.
+A keyword table of any size is matched by a join on rare q-grams
+(``recsort.operators.keywords``). A short list of rules, up to
+``INLINE_RULES``, is matched in the row instead: no shuffle, one ``instr`` a
+rule. Both give the same matches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsort.constants import CATCH_ALL_CATEGORY, CATEGORY_SEP, WS_CLASS
-from recsort.functions.text import fold_width, strip_u
-from recsort.operators.joins import is_bounded
-
-MAX_KEYWORDS = 200_000
-CONTAINS_MAX_KEYWORDS = 64
-
-
-def _keyword_rows(keywords: DataFrame, max_rows: int = MAX_KEYWORDS) -> list[tuple[str, str]]:
-    if not is_bounded(keywords, max_rows):
-        raise ValueError(f"keyword table has more than {max_rows} rows; split it or raise the cap")
-    rows = keywords.select("keyword", "category").distinct().collect()
-    return sorted((r.keyword, r.category) for r in rows if r.keyword)
-
-
-def keyword_match_contains(docs: DataFrame, keywords: DataFrame, key: str = "doc_id",
-                           text: str = "text") -> DataFrame:
-    """(key, keyword, category) for every keyword contained in the text."""
-    kw = keywords.select("keyword", "category").filter(F.length("keyword") > 0).distinct()
-    if not is_bounded(kw, MAX_KEYWORDS):
-        raise ValueError("keyword table too large to broadcast")
-    d = docs.select(key, text)
-    return d.join(F.broadcast(kw), F.instr(F.col(text), F.col("keyword")) > 0) \
-        .select(key, "keyword", "category")
-
-
-def _matches_inline(text: Column, rows: list[tuple[str, str]]) -> Column:
-    arr = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(c).alias("category")) for k, c in rows]) \
-        if rows else F.array().cast("array<struct<keyword:string,category:string>>")
-    return F.filter(arr, lambda s: F.instr(text, s["keyword"]) > 0)
-
-
-MATCH_TYPE = "array<struct<keyword:string,category:string>>"
-
-
-def _build_automaton(rows: list[tuple[str, str]]):
-    """(automaton or None, keyword -> categories) for a keyword list."""
-    try:
-        import ahocorasick  # baked-in C extension
-    except ImportError:  # pragma: no cover - plain Python fallback
-        ahocorasick = None
-    by_kw: dict[str, list[str]] = {}
-    for k, c in rows:
-        by_kw.setdefault(k, []).append(c)
-    auto = None
-    if ahocorasick is not None and by_kw:
-        auto = ahocorasick.Automaton()
-        for k in by_kw:
-            auto.add_word(k, k)
-        auto.make_automaton()
-    return auto, by_kw
-
-
-def _found(auto, by_kw, t: str) -> list[str]:
-    if auto is not None:
-        return sorted({k for _, k in auto.iter(t)})
-    return sorted(k for k in by_kw if k in t)
-
-
-def _matches_automaton(text: Column, rows: list[tuple[str, str]]) -> Column:
-    """Per-row matches with one Aho-Corasick pass per text (Arrow batches)."""
-    state: dict = {}
-
-    @F.pandas_udf(MATCH_TYPE)
-    def matches(texts: pd.Series) -> pd.Series:
-        if "auto" not in state:  # built once per Python worker
-            state["auto"], state["by_kw"] = _build_automaton(rows)
-        auto, by_kw = state["auto"], state["by_kw"]
-        out = []
-        for t in texts:
-            if t is None or not by_kw:
-                out.append([])
-                continue
-            out.append([{"keyword": k, "category": c} for k in _found(auto, by_kw, t) for c in by_kw[k]])
-        return pd.Series(out)
-
-    return matches(text)
-
-
-def match_keywords(text: Column, rows: list[tuple[str, str]]) -> Column:
-    """array<struct<keyword, category>> of the keywords contained in ``text``.
-
-    A short list is a literal array filtered with ``instr`` (JVM-side);
-    a long one goes through one Aho-Corasick pass per text instead of one
-    scan per keyword. Both give the same array order (keyword, category).
+from recsort.functions.text import fold_width
+from recsort.operators.joins import broadcast_if_bounded, is_bounded
+from recsort.operators.keywords import keyword_match
+from recsort.session import checkpoint_root
+
+INLINE_RULES = 64
+# White space except the plain space
+_OTHER_WS = f"(?! ){WS_CLASS}"
+MATCHES = "array<struct<keyword:string,category:string>>"
+
+
+def with_matches(df: DataFrame, text: Column, keywords: DataFrame, out: str = "_m") -> DataFrame:
+    """``df`` with the (keyword, category) structs of the keywords that ``text`` contains, sorted.
+
+    ``keywords`` (keyword, category) may be of any size: a short table becomes a
+    literal list that is filtered in the row, a longer one is joined.
     """
-    rows = sorted(rows)
-    if len(rows) <= CONTAINS_MAX_KEYWORDS:
-        return _matches_inline(text, rows)
-    return _matches_automaton(text, rows)
-
-
-def _automaton_fn(rows: list[tuple[str, str]], key: str, text: str):
-    def scan(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        auto, by_kw = _build_automaton(rows)
-        for pdf in batches:
-            keys, kws, cats = [], [], []
-            for kv, t in zip(pdf[key], pdf[text]):
-                if t is None or not by_kw:
-                    continue
-                for k in _found(auto, by_kw, t):
-                    for c in by_kw[k]:
-                        keys.append(kv)
-                        kws.append(k)
-                        cats.append(c)
-            if keys:
-                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype),
-                                    "keyword": pd.Series(kws, dtype=object),
-                                    "category": pd.Series(cats, dtype=object)})
-
-    return scan
-
-
-def keyword_match_automaton(docs: DataFrame, keywords: DataFrame, key: str = "doc_id",
-                            text: str = "text") -> DataFrame:
-    rows = _keyword_rows(keywords)
-    d = docs.select(key, text)
-    key_type = d.schema[key].dataType.simpleString()
-    return d.mapInPandas(_automaton_fn(rows, key, text),
-                         f"{key} {key_type}, keyword string, category string")
-
-
-def keyword_match(docs: DataFrame, keywords: DataFrame, key: str = "doc_id", text: str = "text",
-                  method: str = "auto") -> DataFrame:
-    if method == "auto":
-        method = "contains" if is_bounded(keywords, CONTAINS_MAX_KEYWORDS) else "automaton"
-    if method == "contains":
-        return keyword_match_contains(docs, keywords, key, text)
-    if method == "automaton":
-        return keyword_match_automaton(docs, keywords, key, text)
-    if method == "inline":
-        rows = _keyword_rows(keywords)
-        return docs.select(key, F.explode(_matches_inline(F.col(text), rows)).alias("m")) \
-            .select(key, "m.keyword", "m.category")
-    raise ValueError(f"unknown method {method!r}")
+    kw = keywords.filter("length(keyword) > 0").select("keyword", "category").distinct()
+    if is_bounded(kw, INLINE_RULES):
+        rules = sorted((r.keyword, r.category or "") for r in kw.collect())  # at most INLINE_RULES rows
+        listed = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(c).alias("category")) for k, c in rules]) if rules else F.array().cast(MATCHES)
+        return df.withColumn(out, F.filter(listed, lambda r: F.instr(text, r["keyword"]) > 0))
+    named = df.withColumn("_text", F.md5(text.cast("binary")))
+    texts = df.select(F.md5(text.cast("binary")).alias("_text"), text.alias("_body")).dropDuplicates(["_text"])
+    found = keyword_match(texts, kw.select("keyword", F.coalesce("category", F.lit("")).alias("category")), "_text", "_body") \
+        .groupBy("_text").agg(F.array_sort(F.collect_list(F.struct("keyword", "category"))).alias(out))
+    return named.join(found, "_text", "left").withColumn(out, F.coalesce(out, F.array().cast(MATCHES))).drop("_text")
+
+
+def rule_matches(docs: DataFrame, keywords: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, keyword, category) for every keyword that the text contains, for a rule list or a table."""
+    return with_matches(docs.select(key, text), F.col(text), keywords).select(key, F.explode("_m").alias("m")).select(key, "m.keyword", "m.category")
 
 
 def sorted_categories(cats: Column) -> Column:
@@ -167,13 +56,12 @@ def sorted_categories(cats: Column) -> Column:
 def rule_classify(records: DataFrame, keywords: DataFrame, key: str = "vc_id",
                   text: str = "text_combined", catch_all: str = CATCH_ALL_CATEGORY,
                   keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Strong-rule classifier, one output row per record, map-side only.
+    """Strong-rule classifier, one output row per record; in the row for a short rule list.
 
     Categories of every contained keyword (distinct, sorted); no match ->
     the catch-all category. ``keep`` carries more record columns along.
     """
-    rows = _keyword_rows(keywords)
-    staged = records.select(key, *keep, match_keywords(F.coalesce(F.col(text), F.lit("")), rows).alias("_m"))
+    staged = with_matches(records.select(key, *keep, text), F.coalesce(F.col(text), F.lit("")), keywords)
     m = F.col("_m")
     cats = sorted_categories(F.transform(m, lambda s: s["category"]))
     return staged.select(
@@ -187,37 +75,76 @@ def rule_classify(records: DataFrame, keywords: DataFrame, key: str = "vc_id",
 # Article text cleaning
 
 def normalise_article(c: Column) -> Column:
-    """Fold full-width forms, collapse whitespace runs to one space, strip."""
-    return strip_u(F.regexp_replace(fold_width(c), f"{WS_CLASS}+", " "))
+    """Fold full-width forms, collapse whitespace runs to one space, strip.
+
+    Each step only touches texts that need it: all-ASCII texts have nothing to
+    fold, and after the collapse only a plain space can stand at an end.
+    """
+    folded = F.when(F.octet_length(c) != F.length(c), fold_width(c)).otherwise(c)
+    return F.btrim(F.when(folded.rlike(f"{WS_CLASS}{{2}}|{_OTHER_WS}"), F.regexp_replace(folded, f"{WS_CLASS}+", " ")).otherwise(folded))
+
+
+def edge_rules(rules) -> list[tuple[str, str, str]]:
+    """(name, side, pattern) rows of a rule table, a DataFrame or a list; ``side`` is lead or tail.
+
+    A pattern matches one piece of an edge and never nothing; it has no anchors
+    and looks at nothing beside the piece.
+    """
+    rows = [(r.name, r.side, r.pattern) for r in rules.select("name", "side", "pattern").collect()] if isinstance(rules, DataFrame) else list(rules)
+    if bad := [r for r in rows if r[1] not in ("lead", "tail")]:
+        raise ValueError(f"edge rules for neither lead nor tail: {bad}")
+    return rows
+
+
+def edge_patterns(rules, side: str) -> tuple[str, str] | None:
+    """(one piece, the whole edge) of all rules of a side: pieces in any order and number, so one match is the closure."""
+    parts = "|".join(f"(?:{p})" for _, s, p in edge_rules(rules) if s == side)
+    if not parts:
+        return None
+    return parts, f"^(?:{parts})+" if side == "lead" else f"(?:{parts})+\\z"
 
 
 def clean_edges(c: Column, rules) -> Column:
-    """Apply the edge rules in order; each pattern is anchored and repeats, so one pass is the fixed point."""
+    """``c`` without its edges, leads first: afterwards no rule matches at its side, whatever the order of the rules.
+
+    What is left is a fixed point: the match of a side ends only where none of
+    its rules goes on, and taking off a tail makes no new lead.
+    """
     out = c
-    for _name, pattern in rules:
-        out = F.regexp_replace(out, pattern, "")
+    for side in ("lead", "tail"):
+        if (found := edge_patterns(rules, side)) is not None:
+            out = F.regexp_replace(out, found[1], "")
     return out
 
 
 def rules_fired(c: Column, rules) -> Column:
-    return F.concat_ws("+", *[F.when(c.rlike(p), F.lit(n)) for n, p in rules])
+    """Names of the rules that ``clean_edges`` applies, one per piece: leads from the left, then tails from the right, joined with '+'."""
+    rows, names = edge_rules(rules), []
+    rest = c
+    for side in ("lead", "tail"):
+        if (found := edge_patterns(rows, side)) is None:
+            continue
+        pieces = F.regexp_extract_all(F.regexp_extract(rest, found[1], 0), F.lit(found[0]), F.lit(0))
+        of = [(n, p) for n, s, p in rows if s == side]
+        named = F.transform(pieces if side == "lead" else F.reverse(pieces),
+                            lambda u: F.coalesce(*[F.when(u.rlike(f"^(?:{p})\\z"), F.lit(n)) for n, p in of], F.lit("?")))  # noqa: B023
+        names.append(named)
+        rest = F.regexp_replace(rest, found[1], "")
+    return F.array_join(F.concat(*names), "+") if names else F.lit("")
 
 
 def clean_edges_log(lines: DataFrame, rules, text: str = "line") -> DataFrame:
     """Audit rows for every line the edge rules changed."""
     after = clean_edges(F.col(text), rules)
-    return lines.select("doc_id", F.col(text).alias("before"), after.alias("after"),
-                        rules_fired(F.col(text), rules).alias("rule")) \
-        .filter(~F.col("before").eqNullSafe(F.col("after")))
+    changed = lines.select("doc_id", F.col(text).alias("before"), after.alias("after")).filter(~F.col("before").eqNullSafe(F.col("after")))
+    return changed.withColumn("rule", rules_fired(F.col("before"), rules))
 
 
 def article_entries(lines: DataFrame, keywords: DataFrame, rules) -> DataFrame:
     """(doc_id, article, category) from cited lines: normalise, clean edges, match."""
     art = lines.select("doc_id", clean_edges(normalise_article(F.col("line")), rules).alias("article"))
-    rows = _keyword_rows(keywords)
-    m = match_keywords(F.col("article"), rows)
-    return art.select("doc_id", "article", F.explode(F.array_distinct(F.transform(m, lambda s: s["category"])))
-                      .alias("category"))
+    return with_matches(art, F.col("article"), keywords).select(
+        "doc_id", "article", F.explode(F.array_distinct(F.transform("_m", lambda s: s["category"]))).alias("category"))
 
 
 def article_dictionary(entries: DataFrame) -> DataFrame:
@@ -234,15 +161,55 @@ def dictionary_pairs(entries: DataFrame) -> DataFrame:
 
 
 def correct_mapping(pairs: DataFrame, corrections: DataFrame) -> DataFrame:
-    """Correction rules override dictionary categories (broadcast lookup)."""
-    corr = corrections.select("article", F.col("old_category").alias("category"), "new_category")
-    if is_bounded(corr, MAX_KEYWORDS):
-        corr = F.broadcast(corr)
+    """Correction rules override dictionary categories, each once."""
+    corr = broadcast_if_bounded(corrections.select("article", F.col("old_category").alias("category"), "new_category"))
     j = pairs.join(corr, ["article", "category"], "left")
     return j.select("article", F.col("category").alias("old_category"),
                     F.coalesce("new_category", "category").alias("category"))
 
 
+def resolve_corrections(corrections: DataFrame) -> DataFrame:
+    """(article, old_category, new_category, cycle): every correction followed to the end of its chain.
+
+    Pointer jumping within an article: each round doubles how far a correction
+    has been followed, so a chain of n takes log n joins. Corrections that run
+    into a cycle have no end: ``cycle`` is true and ``new_category`` null. Of two
+    corrections of the same entry the smaller new category counts; a correction
+    of a category to itself is none.
+    """
+    checkpoint_root(corrections.sparkSession)
+    at = (corrections.filter(F.col("old_category") != F.col("new_category")).groupBy("article", "old_category")
+          .agg(F.min("new_category").alias("at")).checkpoint())
+    longest = at.groupBy("article").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    reached = 1
+    while True:
+        onward = at.select("article", F.col("old_category").alias("at"), F.col("at").alias("next"))
+        at = at.join(onward, ["article", "at"], "left").select("article", "old_category", F.coalesce("next", "at").alias("at"), F.col("next").isNotNull().alias("open")).checkpoint()
+        # Chains are at most as long as an article has corrections: what is open beyond that runs in a circle.
+        if reached > longest or at.filter("open").isEmpty():
+            break
+        at, reached = at.drop("open"), reached * 2
+    return at.select("article", "old_category", F.when(~F.col("open"), F.col("at")).alias("new_category"), F.col("open").alias("cycle"))
+
+
+def final_dictionary(pairs: DataFrame, corrections: DataFrame, stop: Iterable[str], recover_contains: str) -> DataFrame:
+    """(article, old_category, category, origin): the dictionary after removing, correcting and recovering.
+
+    Entries of a ``stop`` category are removed; the others take the end of their
+    chain of corrections (origin ``corrected``; ``cycle``, unchanged, if it has
+    no end; else ``kept``); removed entries that the recovery rule asks for come
+    back as they were (``recovered``).
+    """
+    ends = broadcast_if_bounded(resolve_corrections(corrections))
+    removed = F.col("category").isin(list(stop))
+    j = pairs.filter(~removed | F.col("article").contains(recover_contains)).withColumn("removed", removed).join(
+        ends.withColumnRenamed("old_category", "category"), ["article", "category"], "left")
+    changed = F.col("new_category").isNotNull()
+    origin = F.when(F.col("removed"), "recovered").when(F.col("cycle"), "cycle").when(changed, "corrected").otherwise("kept")
+    return j.select("article", F.col("category").alias("old_category"),
+                    F.when(~F.col("removed") & changed, F.col("new_category")).otherwise(F.col("category")).alias("category"), origin.alias("origin"))
+
+
 def correction_log(corrected: DataFrame) -> DataFrame:
     return corrected.filter(F.col("category") != F.col("old_category")) \
         .select("article", "old_category", F.col("category").alias("new_category"))
@@ -273,7 +240,7 @@ def citation_lookup(docs: DataFrame, pairs: DataFrame, rules,
     citations stay out of it, and only cited articles that the dictionary
     holds come back.
     """
-    cited = docs.select(key, extract_citations(F.col(text)).alias("citations"))
+    cited = docs.select(key, extract_citations(F.coalesce(F.col(text), F.lit(""))).alias("citations"))
     articles = cited.select(key, F.explode("citations").alias("citation")).select(
         key, clean_edges(normalise_article(F.col("citation")), rules).alias("article"))
     by_article = pairs.groupBy("article").agg(F.collect_set("category").alias("own"))
@@ -288,9 +255,7 @@ def citation_lookup(docs: DataFrame, pairs: DataFrame, rules,
 
 def map_categories(df: DataFrame, groups: DataFrame, category: str = "category") -> DataFrame:
     """Fine category -> major group; unmapped categories keep their own name."""
-    g = groups.select(F.col("category").alias(category), "big_group")
-    if is_bounded(g, MAX_KEYWORDS):
-        g = F.broadcast(g)
+    g = broadcast_if_bounded(groups.select(F.col("category").alias(category), "big_group"))
     return df.join(g, category, "left").withColumn("big_group", F.coalesce("big_group", category))
 
 

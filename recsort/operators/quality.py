@@ -43,7 +43,7 @@ def category_contract(results: DataFrame, text: str = "text_combined", key: str
 
     * more than two categories;
     * a category repeated;
-    * the pairing rule: ``pairing_category`` must come with one more category;
+    * the pairing rule: ``pairing_category`` must come with another category;
     * the catch-all only for (near-)empty text.
     """
     ok = results.filter(F.col("process_status") == STATUS_OK) \
@@ -55,7 +55,7 @@ def category_contract(results: DataFrame, text: str = "text_combined", key: str
         n.alias("n_categories"),
         (n > MAX_CATEGORIES).alias("too_many"),
         (n != F.size(F.array_distinct(arr))).alias("has_repeats"),
-        (F.array_contains(arr, pairing_category) & (n < 2)).alias("pairing_broken"),
+        (F.array_contains(arr, pairing_category) & (F.size(F.array_distinct(arr)) < 2)).alias("pairing_broken"),
         (F.array_contains(arr, catch_all) &
          (F.coalesce(F.length(F.col(text)), F.lit(0)) > CATCH_ALL_MAX_TEXT)).alias("catch_all_misused"),
     ).withColumn("contract_ok", ~(F.col("too_many") | F.col("has_repeats") | F.col("pairing_broken")

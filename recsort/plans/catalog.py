@@ -214,6 +214,29 @@ def q_upsert_second_strategy(spark, sf):
     return S.upsert(FX.f6_prior(spark, sf), sink_rows(p))
 
 
+@query("results_upsert")
+def q_results_upsert(spark, sf):
+    """The same upsert through the stored table: only the buckets of the batch's keys are rewritten."""
+    from recsort.session import scratch_path
+    from recsort.sinks.results import KeyedResults
+    f2 = FX.f2_records(spark, sf).withColumn("need_ai", F.col("need_ai").cast("string"))
+    p = _parsed(spark, sf).filter(F.col("doc_id") % 3 == 0) \
+        .select("doc_id", "ai_violation_categories", "ai_reason", "ai_raw_response", "process_status")
+    table_ = KeyedResults(spark, scratch_path(spark, "results-upsert"))
+    table_.upsert(FX.f6_prior(spark, sf))
+    return table_.upsert(sink_rows(f2.join(p, "doc_id")))
+
+
+@query("responder_calls")
+def q_responder_calls(spark, sf):
+    """A caller's service that refuses, stalls, stays silent, answers at the second attempt or without sections; every seventh record stands thrice."""
+    copies = F.when(F.col("doc_id") % 7 == 0, F.array(F.lit(0), F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rec = FX.f2_records(spark, sf).withColumn("copy", F.explode(copies)).withColumn("copy", F.col("copy").cast("long")).withColumn(
+        "text_combined", F.when(F.col("copy") == 1, F.concat(F.coalesce("text_combined", F.lit("")), F.lit(" again"))).otherwise(F.col("text_combined")))
+    responder = C.CallResponder(FX.fixture_service(), concurrency=8, timeout=1.0, attempts=2, backoff=0.05, calls_per_task=512)
+    return C.classify(rec, None, responder, keep_reply=True).select("doc_id", "copy", *RESULT, "error")
+
+
 @query("last_write_wins")
 def q_last_write_wins(spark, sf):
     ev = table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
@@ -285,12 +308,12 @@ def _docs(spark, sf):
 
 @query("keyword_match")
 def q_keyword_match(spark, sf):
-    return D.keyword_match(_docs(spark, sf), FX.keywords_df(spark), method="contains")
+    return D.rule_matches(_docs(spark, sf), FX.keywords_df(spark))
 
 
 @query("keyword_match_indexed")
 def q_keyword_match_indexed(spark, sf):
-    return D.keyword_match(_docs(spark, sf), FX.keywords_df(spark), method="automaton")
+    return D.keyword_match(_docs(spark, sf), FX.part_keywords(spark, sf))
 
 
 def _entries(spark, sf):
@@ -306,14 +329,23 @@ def q_article_dictionary(spark, sf):
     return D.article_dictionary(_entries(spark, sf))
 
 
-def _citations(spark, sf):
+def _citations(spark, sf, pairs):
     d = _docs(spark, sf).select("doc_id", FX.cited_text(F.col("text")).alias("cited_text"))
-    return D.citation_lookup(d, _pairs(spark, sf), FX.EDGE_RULES)
+    return D.citation_lookup(d, pairs, FX.EDGE_RULES)
+
+
+def _final(spark, sf):
+    return D.final_dictionary(_pairs(spark, sf), FX.more_corrections_df(spark), FX.REMOVED_CATEGORIES, FX.RECOVER_IF_ARTICLE_CONTAINS)
+
+
+@query("final_dictionary")
+def q_final_dictionary(spark, sf):
+    return _final(spark, sf)
 
 
 @query("citation_lookup")
 def q_citation_lookup(spark, sf):
-    return _citations(spark, sf)
+    return _citations(spark, sf, _pairs(spark, sf))
 
 
 @query("normalise_article")
@@ -354,7 +386,7 @@ def q_merge_results(spark, sf):
     f2 = FX.f2_records(spark, sf)
     # rule branch as a column of the base rows: no second pass, no join
     base = D.rule_classify(f2, FX.keywords_df(spark), key="doc_id", keep=["vc_id"]).drop("n_keywords")
-    return C.merge_results(base, _parsed(spark, sf), _citations(spark, sf), key="doc_id")
+    return C.merge_results(base, _parsed(spark, sf), _citations(spark, sf, _final(spark, sf)), key="doc_id")
 
 
 # --------------------------------------------------------------------- F9
@@ -422,6 +454,13 @@ def q_ml_triage_score(spark, sf):
         .select("vc_id", "need_ai")
 
 
+@query("contrastive_score")
+def q_contrastive_score(spark, sf):
+    """The projection learnt from ``contrastive_pairs`` and its head, on all records."""
+    from recsort.operators.contrastive import fit_contrastive
+    return fit_contrastive(_clean(spark, sf)).score(FX.f2_records(spark, sf))
+
+
 @query("confusion_matrix")
 def q_confusion_matrix(spark, sf):
     fit, test = TR.holdout_split(_clean(spark, sf))

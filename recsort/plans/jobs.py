@@ -68,7 +68,7 @@ def score_job(spark: SparkSession, input_path: str, output_path: str, model_path
 def classify_job(spark: SparkSession, input_path: str, results_root: str, responder,
                  mode: str = "new", suffix: str = "", key: str = "vc_id",
                  encodings: Sequence[str] = ("utf-8", "utf-8-sig"),
-                 events_path: str | None = None, run: str | None = None, buckets: int = 32) -> DataFrame:
+                 events_path: str | None = None, run: str | None = None, buckets: int = 16) -> DataFrame:
     """Routed records still to do (``new``) or failed before (``retry``) -> results table.
 
     Duplicate ids in the input resolve to the last one in file order. The rows

@@ -24,14 +24,17 @@ from recsort.constants import (
 from recsort.functions.prompts import HINT_TEMPLATE, PLAIN_TEMPLATE
 from recsort.functions.text import _NARROW, _WIDE
 from recsort.operators.classify import NO_RULE_REASON
+from recsort.operators.dictionary import edge_patterns
 from recsort.operators.quality import CATCH_ALL_MAX_TEXT, MAX_CATEGORIES, QUOTE_SPAN
 from recsort.sources.fixtures import (
     CORRECTIONS,
     EDGE_RULES,
     GROUPS,
     KEYWORDS,
+    MORE_CORRECTIONS,
     RECOVER_IF_ARTICLE_CONTAINS,
     REMOVED_CATEGORIES,
+    SERVICE_CATEGORIES,
     STOP_TERMS,
     VOCABULARY,
 )
@@ -201,11 +204,24 @@ def normalise_article(x: str) -> str:
 
 def clean_edges(x: str) -> str:
     out = x
-    for _n, p in EDGE_RULES:
-        out = f"regexp_replace({out}, {lit(p)}, '')"
+    for side in ("lead", "tail"):
+        out = f"regexp_replace({out}, {lit(edge_patterns(EDGE_RULES, side)[1])}, '')"
     return out
 
 
+def rules_fired(x: str) -> str:
+    """Names of the rules, one per piece, leads from the left and tails from the right."""
+    rest, lists = x, []
+    for side in ("lead", "tail"):
+        one, whole = edge_patterns(EDGE_RULES, side)
+        pieces = f"regexp_extract_all(regexp_extract({rest}, {lit(whole)}), {lit(one)})"
+        pieces = pieces if side == "lead" else f"list_reverse({pieces})"
+        arms = " ".join(f"WHEN regexp_matches(u, {lit(f'^(?:{p})$')}) THEN {lit(n)}" for n, s, p in EDGE_RULES if s == side)
+        lists.append(f"list_transform({pieces}, lambda u: CASE {arms} END)")
+        rest = f"regexp_replace({rest}, {lit(whole)}, '')"
+    return f"array_to_string(list_concat({lists[0]}, {lists[1]}), '+')"
+
+
 def article_of(line: str) -> str:
     return clean_edges(normalise_article(line))
 
@@ -222,12 +238,14 @@ FROM (SELECT doc_id, {article_of('line')} AS article FROM ({F8_LINES}) l) a
 
 PAIRS = f"SELECT DISTINCT article, category FROM ({ENTRIES}) e"
 
-CITATIONS = f"""
+def citations(pairs: str) -> str:
+    """Per document: how many lines are cited, and the categories that the dictionary ``pairs`` has for them."""
+    return f"""
 w AS (SELECT doc_id, regexp_extract_all(regexp_replace(text, '(?m)^([^\n]+)$', '《\\1》', 'g'), '《([^》]+)》', 1) AS cites
       FROM documents),
 e AS (SELECT doc_id, unnest(range(len(cites))) AS pos, unnest(cites) AS citation FROM w),
 e2 AS (SELECT doc_id, pos, {article_of('citation')} AS article FROM e),
-j AS (SELECT e2.doc_id, e2.pos, p.category FROM e2 LEFT JOIN ({PAIRS}) p ON e2.article = p.article),
+j AS (SELECT e2.doc_id, e2.pos, p.category FROM e2 LEFT JOIN ({pairs}) p ON e2.article = p.article),
 cit AS (SELECT w.doc_id, count(DISTINCT j.pos) AS n_citations,
            coalesce(array_to_string(list_sort(list_distinct(list(j.category) FILTER (WHERE j.category IS NOT NULL))), '||'), '') AS categories
         FROM w LEFT JOIN j ON w.doc_id = j.doc_id GROUP BY w.doc_id)
@@ -394,7 +412,7 @@ SQL["category_contract"] = f"""WITH {parsed(_CONTRACT_SRC)},
 c AS (SELECT vc_id, text_combined, {split_categories('ai_violation_categories')} AS arr FROM parsed WHERE process_status = {lit(STATUS_OK)}),
 d AS (SELECT vc_id, CAST(len(arr) AS BIGINT) AS n_categories, len(arr) > {MAX_CATEGORIES} AS too_many,
         len(arr) <> len(list_distinct(arr)) AS has_repeats,
-        list_contains(arr, 'noncommercial') AND len(arr) < 2 AS pairing_broken,
+        list_contains(arr, 'noncommercial') AND len(list_distinct(arr)) < 2 AS pairing_broken,
         list_contains(arr, {lit(CATCH_ALL_CATEGORY)}) AND coalesce(length(text_combined), 0) > {CATCH_ALL_MAX_TEXT} AS catch_all_misused
       FROM c)
 SELECT *, NOT (too_many OR has_repeats OR pairing_broken OR catch_all_misused) AS contract_ok FROM d"""
@@ -411,15 +429,15 @@ SQL["rule_classify"] = f"""SELECT vc_id, {rule_cats('text_combined')} AS rule_ca
 FROM ({F2}) f2 WHERE need_ai = 0"""
 _KW_PAIRS = f"SELECT d.doc_id, k.keyword, k.category FROM documents d JOIN {KW} ON contains(d.text, k.keyword)".replace(" AS t(", " AS k(")
 SQL["keyword_match"] = _KW_PAIRS
-SQL["keyword_match_indexed"] = _KW_PAIRS
+_PART_KEYWORDS = """SELECT concat_ws(' ', p_name, CAST(p_partkey AS VARCHAR)) AS keyword, p_type AS category FROM part
+  UNION SELECT p_name, 'name' FROM part UNION SELECT unnest(string_split(p_name, ' ')), 'word' FROM part"""
+SQL["keyword_match_indexed"] = f"SELECT d.doc_id, k.keyword, k.category FROM documents d JOIN ({_PART_KEYWORDS}) k ON k.keyword <> '' AND contains(d.text, k.keyword)"
 SQL["article_dictionary"] = f"""SELECT article, array_to_string(list_sort(list_distinct(list(category))), '||') AS categories,
   count(*) AS n_entries, count(DISTINCT doc_id) AS n_docs FROM ({ENTRIES}) e GROUP BY article"""
-SQL["citation_lookup"] = f"WITH {CITATIONS} SELECT doc_id, n_citations, categories FROM cit"
+SQL["citation_lookup"] = f"WITH {citations(PAIRS)} SELECT doc_id, n_citations, categories FROM cit"
 SQL["normalise_article"] = f"SELECT doc_id, line, {normalise_article('line')} AS article_norm FROM ({F8_LINES}) l"
 SQL["clean_edges"] = f"SELECT doc_id, line, {article_of('line')} AS article FROM ({F8_LINES}) l"
-_RULES_FIRED = "concat_ws('+', " + ", ".join(
-    f"CASE WHEN regexp_matches(line, {lit(p)}) THEN {lit(n)} END" for n, p in EDGE_RULES) + ")"
-SQL["clean_edges_log"] = f"""SELECT doc_id, line AS before, {clean_edges('line')} AS after, {_RULES_FIRED} AS rule
+SQL["clean_edges_log"] = f"""SELECT doc_id, line AS before, {clean_edges('line')} AS after, {rules_fired('line')} AS rule
 FROM ({F8_LINES}) l WHERE line IS DISTINCT FROM {clean_edges('line')}"""
 _CORR = values(CORRECTIONS, ["article", "old_category", "new_category"]).replace(" AS t(", " AS c(")
 SQL["correct_mapping"] = f"""SELECT p.article, p.category AS old_category, coalesce(c.new_category, p.category) AS category
@@ -432,6 +450,23 @@ SQL["recover_removed"] = f"""SELECT article, category, false AS recovered FROM (
 UNION ALL
 SELECT article, category, true FROM ({PAIRS}) p WHERE category IN ({_STOP}) AND contains(article, {lit(RECOVER_IF_ARTICLE_CONTAINS)})"""
 
+_ALL_CORR = values(CORRECTIONS + MORE_CORRECTIONS, ["article", "old_category", "new_category"]).replace(" AS t(", " AS c(")
+FINAL = f"""
+WITH RECURSIVE c AS (SELECT * FROM {_ALL_CORR}),
+walk AS (SELECT article, old_category, new_category AS cur, 1 AS steps FROM c
+         UNION ALL
+         SELECT w.article, w.old_category, c.new_category, steps + 1 FROM walk w JOIN c ON c.article = w.article AND c.old_category = w.cur
+         WHERE steps <= (SELECT count(*) FROM c)),
+ends AS (SELECT article, old_category, max(cur) FILTER (WHERE (article, cur) NOT IN (SELECT (article, old_category) FROM c)) AS new_category
+         FROM walk w GROUP BY article, old_category)
+SELECT p.article, p.category AS old_category,
+       CASE WHEN p.category NOT IN ({_STOP}) AND e.new_category IS NOT NULL THEN e.new_category ELSE p.category END AS category,
+       CASE WHEN p.category IN ({_STOP}) THEN 'recovered' WHEN e.old_category IS NOT NULL AND e.new_category IS NULL THEN 'cycle'
+            WHEN e.new_category IS NOT NULL THEN 'corrected' ELSE 'kept' END AS origin
+FROM ({PAIRS}) p LEFT JOIN ends e ON e.article = p.article AND e.old_category = p.category
+WHERE p.category NOT IN ({_STOP}) OR contains(p.article, {lit(RECOVER_IF_ARTICLE_CONTAINS)})"""
+SQL["final_dictionary"] = FINAL
+
 _GROUPS = values(GROUPS, ["category", "big_group"]).replace(" AS t(", " AS g(")
 _MAPPED = f"""SELECT p.p_partkey, p.p_type AS category, coalesce(g.big_group, p.p_type) AS big_group
 FROM part p LEFT JOIN {_GROUPS} ON p.p_type = g.category"""
@@ -441,7 +476,7 @@ _STOPT = ", ".join(lit(t) for t in STOP_TERMS)
 SQL["remove_terms"] = f"""SELECT p_partkey, array_to_string(list_filter(string_split(p_name, ' '), lambda w: w NOT IN ({_STOPT})), '||') AS terms FROM part"""
 
 _MERGE_RULES = f"SELECT doc_id, {rule_cats('text_combined')} AS rule_categories FROM ({F2}) f2"
-SQL["merge_results"] = f"""WITH {parsed(F5)}, {CITATIONS},
+SQL["merge_results"] = f"""WITH {parsed(F5)}, {citations(FINAL)},
 base AS (SELECT doc_id, vc_id, text_combined FROM ({F2}) f2),
 a AS (SELECT doc_id, ai_violation_categories AS _ai FROM parsed WHERE process_status = {lit(STATUS_OK)}),
 dd AS (SELECT doc_id, categories AS _dict FROM cit WHERE categories <> ''),
@@ -493,3 +528,16 @@ SQL["src_csv_pruned"] = f"""SELECT {null_token('vc_id')} AS vc_id, {null_token('
   {null_token('CAST(need_ai AS VARCHAR)')} AS need_ai FROM ({F2}) f2"""
 SQL["src_null_tokens"] = f"""SELECT {null_token('vc_id')} AS vc_id, {null_token('violation_categories')} AS violation_categories,
   {null_token('text_combined')} AS text_combined FROM ({F2}) f2"""
+
+SQL["results_upsert"] = SQL["upsert_results"]
+SQL["responder_calls"] = f"""
+WITH r AS (SELECT doc_id, vc_id, copy, violation_categories, need_ai,
+                  CASE WHEN copy = 1 THEN coalesce(text_combined, '') || ' again' ELSE text_combined END AS text_combined
+           FROM (SELECT *, unnest(CASE WHEN doc_id % 7 = 0 THEN [0, 0, 1] ELSE [0] END)::BIGINT AS copy FROM ({F2}) f2) c),
+n AS (SELECT *, length({prompt('text_combined', clean_rule_categories('violation_categories'))}) AS n FROM r
+      WHERE TRY_CAST(CAST(need_ai AS VARCHAR) AS DOUBLE) = 1),
+e AS (SELECT *, CASE WHEN n % 101 = 1 THEN 'timeout' WHEN n % 11 = 0 THEN 'ConnectionError: refused' WHEN n % 11 = 2 THEN 'no response' END AS error FROM n),
+s AS (SELECT *, CASE WHEN error IS NOT NULL THEN NULL WHEN n % 11 = 3 THEN 'no sections'
+                     ELSE '【违规类别】：' || [{', '.join(lit(c) for c in SERVICE_CATEGORIES)}][n % 3 + 1] || chr(10) || '【判断理由】：length ' || n END AS reply FROM e),
+{parsed('SELECT * FROM s')}
+SELECT doc_id, copy, {RESULT_COLS}, error FROM parsed"""

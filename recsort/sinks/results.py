@@ -63,7 +63,7 @@ class KeyedResults:
     the new buckets are stored in the scratch folder before the old are replaced.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "vc_id", buckets: int = 32):
+    def __init__(self, spark: SparkSession, path: str, key: str = "vc_id", buckets: int = 16):
         self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
 
     def _bucket(self):
@@ -86,13 +86,10 @@ class KeyedResults:
         """Update the batch's columns by key and append new keys, in the buckets of the batch's keys."""
         work = scratch_path(self.spark, "upsert")
         # The batch is stored once: its buckets, the merge and a repetition all read the same rows.
-        batch.withColumn(BUCKET, self._bucket()).write.partitionBy(BUCKET).parquet(f"{work}/batch")
-        new = _stored(self.spark, f"{work}/batch")
-        if new is None:  # no rows, no folders
-            return self.init(batch.columns)
+        batch.write.parquet(f"{work}/batch")
+        new, old = self.spark.read.schema(batch.schema).parquet(f"{work}/batch"), _stored(self.spark, self.path)
         # At most ``buckets`` numbers come to the driver; only those folders are read (partition filter).
-        touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())
-        new, old = new.drop(BUCKET), _stored(self.spark, self.path)
+        touched = sorted(r[0] for r in new.select(self._bucket()).distinct().collect())
         if not touched:
             return self.init(batch.columns)
         if old is None:
@@ -100,7 +97,7 @@ class KeyedResults:
         else:
             old = old.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
         merged = upsert(old, new, self.key, seq).withColumn(BUCKET, self._bucket())
-        merged.repartition(max(1, len(touched)), BUCKET).write.partitionBy(BUCKET).parquet(f"{work}/merged")
+        merged.repartition(len(touched), BUCKET).write.parquet(f"{work}/merged")
         (self.spark.read.parquet(f"{work}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(self.path))
         return self.read()

@@ -23,16 +23,26 @@ KEYWORDS = (
     ("General Public License", "copyleft"),
     ("CC BY-NC", "noncommercial"),
 )
-# F8 article edge rules: (name, anchored pattern); each takes all repeats of its edge at once
+# F8 article edge rules: (name, side, pattern of one piece)
 EDGE_RULES = (
-    ("lead", r"^(?:(?:This work is licensed under the|Licensed under the|Released under the|Licensed under) )+"),
-    ("tail", r"(?:(?:, [Vv]ersion [0-9.]+)?[.])+\z"),
+    ("licensed", "lead", r"(?:This work is licensed|Licensed) under (?:the )?"),
+    ("released", "lead", r"Released under the "),
+    ("version", "tail", r", [Vv]ersion [0-9.]+"),
+    ("stop", "tail", r"[.]"),
 )
 # F8 corrections: (article, old category, new category)
 CORRECTIONS = (
     ("GNU General Public License", "copyleft", "strong copyleft"),
     ("CC BY-NC 4.0", "noncommercial", "noncommercial share"),
 )
+# more of them: a chain, and one that leads back
+MORE_CORRECTIONS = (
+    ("MIT License", "permissive", "open source"),
+    ("MIT License", "open source", "osi approved"),
+    ("MIT License", "osi approved", "osi permissive"),
+    ("Apache License", "permissive", "patent grant"),
+    ("Apache License", "patent grant", "permissive"),
+)
 # F8 removal stop list on dictionary categories, and the recovery rule
 REMOVED_CATEGORIES = ("copyleft", "noncommercial")
 RECOVER_IF_ARTICLE_CONTAINS = "General"
@@ -184,5 +194,53 @@ def corrections_df(spark: SparkSession) -> DataFrame:
     return lookup(spark, CORRECTIONS, "article string, old_category string, new_category string")
 
 
+def more_corrections_df(spark: SparkSession) -> DataFrame:
+    return lookup(spark, CORRECTIONS + MORE_CORRECTIONS, "article string, old_category string, new_category string")
+
+
+def part_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword table that grows with ``part``: names with their key, names, and the words of names."""
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
+    own = p.select(F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("keyword"), F.col("p_type").alias("category"))
+    names = p.select(F.col("p_name").alias("keyword"), F.lit("name").alias("category"))
+    words = p.select(F.explode(F.split("p_name", " ")).alias("keyword"), F.lit("word").alias("category"))
+    return own.unionByName(names).unionByName(words).distinct()
+
+
 def stop_terms_df(spark: SparkSession) -> DataFrame:
     return lookup(spark, [(t,) for t in STOP_TERMS], "term string")
+
+
+# Categories the fixture service answers with, by the length of the prompt
+SERVICE_CATEGORIES = ("permissive", "copyleft", "noncommercial")
+
+
+def fixture_service():
+    """A service as callers write them: one request body in, one response body out, by rules on the prompt's length.
+
+    Length mod 101 = 1: longer than any timeout; mod 11 = 0: refused; 2: no
+    body; 3: a reply without sections; 4: an error at the first attempt.
+    """
+    categories = SERVICE_CATEGORIES
+    tried: set[str] = set()
+
+    def service(request: str) -> str | None:
+        import json
+        import time
+        prompt = json.loads(request)["messages"][1]["content"]
+        n = len(prompt)
+        if n % 101 == 1:
+            time.sleep(5)
+        if n % 11 == 0:
+            raise ConnectionError("refused")
+        if n % 11 == 2:
+            return None
+        if n % 11 == 3:
+            return json.dumps({"response": "no sections"})
+        if n % 11 == 4 and request not in tried:
+            tried.add(request)
+            raise ConnectionError("busy")
+        reply = f"【违规类别】：{categories[n % 3]}\n【判断理由】：length {n}"
+        return json.dumps({"choices": [{"message": {"content": reply}}]}, ensure_ascii=False)
+
+    return service

@@ -14,32 +14,36 @@ def _pairs(df):
     return sorted(tuple(r) for r in df.select("doc_id", "keyword", "category").collect())
 
 
-def test_three_keyword_forms_agree_on_fixture(spark):
+def _brute(docs, kw):
+    return sorted({(r.doc_id, k.keyword, k.category) for k in kw.collect() for r in docs.collect() if r.text and k.keyword and k.keyword in r.text})
+
+
+def test_keyword_join_agrees_with_rules_on_the_fixture(spark):
     docs = table(spark, SF_CHECK, "documents", "doc_id", "text")
     kw = FX.keywords_df(spark)
-    a = _pairs(D.keyword_match(docs, kw, method="contains"))
-    b = _pairs(D.keyword_match(docs, kw, method="inline"))
-    c = _pairs(D.keyword_match(docs, kw, method="automaton"))
-    assert a == b == c
+    a = _pairs(D.keyword_match(docs, kw))
+    assert a == _pairs(D.rule_matches(docs, kw))
     assert len(a) == 39
 
 
-def test_keyword_forms_agree_on_many_keywords(spark):
+def test_keyword_join_on_many_keywords(spark):
     docs = table(spark, SF_SMALL, "documents", "doc_id", "text")
     words = docs.select(F.explode(F.split("text", r"[^\p{L}]+")).alias("keyword")) \
-        .filter(F.length("keyword") >= 8).distinct().limit(300)
+        .filter(F.length("keyword") >= 1).distinct().orderBy(F.xxhash64("keyword")).limit(400)
     kw = words.select("keyword", F.substring("keyword", 1, 2).alias("category"))
-    a = _pairs(D.keyword_match(docs, kw, method="contains"))
-    c = _pairs(D.keyword_match(docs, kw, method="automaton"))
-    assert a == c and len(a) > 300
+    a = _pairs(D.keyword_match(docs, kw))
+    assert a == _brute(docs, kw) and len(a) > 300
 
 
-def test_overlapping_and_repeated_keywords(spark):
-    docs = spark.createDataFrame([(1, "abcabc MIT License MIT"), (2, None), (3, "")], "doc_id long, text string")
-    kw = spark.createDataFrame([("abc", "x"), ("bca", "y"), ("MIT", "p"), ("MIT License", "p")], "keyword string, category string")
-    a = _pairs(D.keyword_match(docs, kw, method="contains"))
-    c = _pairs(D.keyword_match(docs, kw, method="automaton"))
-    assert a == c == [(1, "MIT", "p"), (1, "MIT License", "p"), (1, "abc", "x"), (1, "bca", "y")]
+def test_overlapping_short_and_repeated_keywords(spark):
+    docs = spark.createDataFrame([(1, "abcabc MIT License MIT"), (2, None), (3, ""), (4, "x"), (5, "né 漢字かな \U00020000z\nline"), (1, "MIT"), (None, "xy")], "doc_id long, text string")
+    kw = spark.createDataFrame([("abc", "x"), ("bca", "y"), ("MIT", "p"), ("MIT License", "p"), ("MIT", "p"), ("MIT", "q"), ("x", "one"), ("é", "one"), ("漢字かな", "four"),
+                                ("\U00020000z", "two"), ("z\nli", "break"), ("", "empty"), (None, "null"), ("absent", "a"), ("abcd", "a")], "keyword string, category string")
+    want = [(1, "MIT", "p"), (1, "MIT", "q"), (1, "MIT License", "p"), (1, "abc", "x"), (1, "bca", "y"), (4, "x", "one"), (5, "é", "one"),
+            (5, "漢字かな", "four"), (5, "\U00020000z", "two"), (5, "z\nli", "break"), (None, "x", "one"), (1, "MIT", "p"), (1, "MIT", "q")]
+    for got in (D.keyword_match(docs, kw), D.rule_matches(docs, kw)):
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert D.keyword_match(docs.limit(0), kw).count() == 0 and D.keyword_match(docs, kw.limit(0)).count() == 0
 
 
 def test_rule_classify_catch_all_and_sorting(spark):
@@ -66,6 +70,41 @@ def test_nested_edges_are_all_taken(spark):
     assert got == "X"
 
 
+def test_interleaved_rules_reach_the_fixed_point_and_the_log_agrees(spark):
+    rules = [("a", "lead", "A "), ("b", "lead", "B+ "), ("dot", "tail", "[.]"), ("v", "tail", " v[0-9]")]
+    lines = ["A B A x", "BBB A B x. v1. v2..", "x", "", "A ", "A B", " v1", "A x v1 A"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, line string")
+    got = {r.line: r.c for r in df.select("line", D.clean_edges(F.col("line"), rules).alias("c")).collect()}
+    assert got == {"A B A x": "x", "BBB A B x. v1. v2..": "x", "x": "x", "": "", "A ": "", "A B": "B", " v1": "", "A x v1 A": "x v1 A"}
+    log = {r.before: (r.after, r.rule) for r in D.clean_edges_log(df, rules).collect()}
+    assert log == {"A B A x": ("x", "a+b+a"), "BBB A B x. v1. v2..": ("x", "b+a+b+dot+dot+v+dot+v+dot"), "A ": ("", "a"), "A B": ("B", "a"), " v1": ("", "v"), "A x v1 A": ("x v1 A", "a")}
+    # leads one piece at a time, then tails one piece at a time, until no rule matches any more
+    import random
+    import re
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(["A ", "B ", "BB ", ".", " v1", "x", "A"]) for _ in range(rng.randint(0, 9))) for _ in range(300)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, line string")
+    for r in df.select("line", D.clean_edges(F.col("line"), rules).alias("c")).collect():
+        t, before = r.line, None
+        while t != before:
+            before = t
+            for side in ("lead", "tail"):
+                last = None
+                while t != last:
+                    last = t
+                    for _, s, p in rules:
+                        if s == side:
+                            t = re.sub(f"^(?:{p})" if side == "lead" else f"(?:{p})\\Z", "", t)
+        assert r.c == t, (r.line, r.c, t)
+
+
+def test_rules_may_be_a_table(spark):
+    rules = spark.createDataFrame([("a", "lead", "A ")], "name string, side string, pattern string")
+    assert D.edge_rules(rules) == [("a", "lead", "A ")]
+    df = spark.createDataFrame([("A A x",)], "line string")
+    assert df.select(D.clean_edges(F.col("line"), rules)).first()[0] == "x"
+
+
 def test_normalise_article_folds_width_and_space(spark):
     df = spark.createDataFrame([("　ＭＩＴ　　License\t",)], "line string")
     assert df.select(D.normalise_article(F.col("line"))).first()[0] == "MIT License"
@@ -99,17 +138,32 @@ def test_groups_and_terms(spark):
     assert names.select(D.remove_terms(F.col("p_name"), FX.STOP_TERMS)).first()[0] == "red||bolt"
 
 
-def test_per_row_matchers_agree_on_long_lists(spark):
-    docs = table(spark, SF_SMALL, "documents", "doc_id", "text")
+def test_corrections_are_followed_to_their_end(spark):
+    chain = [("x", f"c{i}", f"c{i + 1}") for i in range(20)]
+    ring = [("y", f"r{i}", f"r{(i + 1) % 5}") for i in range(5)] + [("y", "into", "r0")]
+    more = [("z", "a", "b"), ("z", "a", "c"), ("z", "self", "self"), ("x2", "c0", "end"), (None, "n", "m")]
+    df = spark.createDataFrame(chain + ring + more, "article string, old_category string, new_category string")
+    got = {(r.article, r.old_category): (r.new_category, r.cycle) for r in D.resolve_corrections(df).collect() if r.article is not None}
+    want = {("x", f"c{i}"): ("c20", False) for i in range(20)} | {("y", f"r{i}"): (None, True) for i in range(5)} | {("y", "into"): (None, True)}
+    assert got == want | {("z", "a"): ("b", False), ("x2", "c0"): ("end", False)}
+    assert D.resolve_corrections(df.limit(0)).count() == 0
+
+
+def test_final_dictionary(spark):
+    pairs = spark.createDataFrame([("GNU General Public License", "copyleft"), ("CC BY-NC 4.0", "noncommercial"), ("MIT License", "permissive"),
+                                   ("Apache License", "permissive"), ("Other", "permissive")], "article string, category string")
+    got = sorted(tuple(r) for r in D.final_dictionary(pairs, FX.more_corrections_df(spark), FX.REMOVED_CATEGORIES, "General").collect())
+    assert got == [("Apache License", "permissive", "permissive", "cycle"), ("GNU General Public License", "copyleft", "copyleft", "recovered"),
+                   ("MIT License", "permissive", "osi permissive", "corrected"), ("Other", "permissive", "permissive", "kept")]
+
+
+def test_rules_in_the_row_and_by_join_agree(spark, monkeypatch):
+    docs = table(spark, SF_SMALL, "documents", "doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-1, None)], "doc_id long, text string"))
     words = docs.select(F.explode(F.split("text", r"[^\p{L}]+")).alias("keyword")) \
-        .filter(F.length("keyword") >= 7).distinct().limit(200)
-    rows = sorted([(r.keyword, r.keyword[:1]) for r in words.collect()] + [("MIT License", "permissive")])
-    assert len(rows) > D.CONTAINS_MAX_KEYWORDS
-    t = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.select("doc_id", D._matches_inline(t, rows).alias("a"), D._matches_automaton(t, rows).alias("b"))
-    diff = out.filter(F.to_json("a") != F.to_json("b"))
-    assert diff.count() == 0
-    assert out.filter(F.size("a") > 0).count() > 0
-    rec = docs.withColumnRenamed("doc_id", "vc_id").withColumnRenamed("text", "text_combined")
-    kw = spark.createDataFrame(rows, "keyword string, category string")
-    assert D.rule_classify(rec, kw).filter("n_keywords > 0").count() == out.filter(F.size("a") > 0).count()
+        .filter(F.length("keyword") >= 7).distinct().orderBy("keyword").limit(40)
+    kw = words.select("keyword", F.substring("keyword", 1, 1).alias("category")).unionByName(FX.keywords_df(spark))
+    rec = docs.select(F.col("doc_id").cast("string").alias("vc_id"), F.col("text").alias("text_combined"))
+    rows = lambda: sorted(tuple(r) for r in D.rule_classify(rec, kw).collect())
+    inline = rows()
+    monkeypatch.setattr(D, "INLINE_RULES", 3)
+    assert rows() == inline and len(inline) == docs.count() and sum(r[2] > 0 for r in inline) > 20

@@ -11,18 +11,26 @@ A concentration step is one pass of partial sums: rows are counted by (group,
 start, distance bin) together with the sums of the statistics and their
 products, and the bins up to the support share give the next estimate. No
 group is ever collected, a source with a third of all rows costs a few hundred
-partial rows a task, and the estimates (one row per group) are joined back by
-group.
+partial rows a task, and the estimates (one row per group) come to the rows.
+
+The scatter is scaled by the usual consistency factors (median distance of the
+support, then truncation of the reweighted rows) and cut at a quantile of the
+chi-square distribution. It is drawn towards a wide prior with the weight of
+``PRIOR_ROWS`` rows, which counts in small groups only, and no statistic's own
+spread is taken below its floor, since a statistic that is 0 in nearly all texts
+has none.
 
 Defined results:
 
 * null text has no words and fails the base limits; null lang or source is a
   group of its own;
 * a source with fewer than ``MIN_GROUP`` base-passing rows in a language is
-  pooled with the other small sources of that language; a pool that is still
-  smaller rejects nothing, since that is too little to estimate five scales;
+  judged by the estimate of its whole language, a language with fewer by that of
+  all rows; every row gets a verdict;
 * rows are judged by themselves: ties and repeated rows get equal verdicts;
-* an empty table gives an empty table; extra columns pass through untouched.
+* very long texts are one row like any other; an empty table gives an empty
+  table; input columns (or those of ``keep``) are in ``row``, so that they cannot
+  clash.
 """
 
 from __future__ import annotations
@@ -45,12 +53,16 @@ SUPPORT = 0.75       # share of a group's rows in the concentration steps
 STEPS = 6
 MIN_GROUP = 100
 BINS = 8             # distance bins per doubling
-CHI2_MEDIAN = 4.351460  # of 5 degrees of freedom
+# Quantiles of the chi-square distribution with 5 degrees of freedom.
+CHI2_MEDIAN = 4.351460
 CHI2_975 = 12.832502
-CUTOFF = 60.0        # squared distance; a normal vector of 5 exceeds it about once in 10^11
-# A scatter is never taken narrower than this, so that a group whose texts are
-# all alike in one statistic does not reject the first text that differs.
-FLOORS = (0.35, 0.08, 0.6, 0.08, 0.12)
+CUTOFF = 35.888      # one in 1,000,000
+TRUNCATED = 1.0555   # 0.975 over the chi-square probability of CHI2_975 with 7 degrees of freedom
+# Least standard deviations of the statistics, and those of the prior.
+FLOORS = (0.3, 0.06, 0.4, 0.06, 0.08)
+PRIOR = (1.5, 0.3, 1.5, 0.15, 0.2)
+PRIOR_ROWS = 20
+BROADCAST_BYTES = 8 << 20
 
 
 def statistics(text: Column) -> list[tuple[str, Column]]:
@@ -66,10 +78,11 @@ def statistics(text: Column) -> list[tuple[str, Column]]:
         ("n_symbols", (F.length("text_") - F.length(without)).cast("long")),
         ("lines", F.filter(F.split("text_", "\n", -1), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")),
         ("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")),
-        # Hashes of the 3-word windows with their places, sorted, so that equal ones stand together.
-        ("grams", F.when(F.size("words") < 4, F.array().cast("array<struct<h:bigint,i:int>>")).otherwise(F.array_sort(F.transform(
-            F.sequence(F.lit(0), F.size("words") - 3),
-            lambda i: F.struct(F.xxhash64(word(i), word(i + 1), word(i + 2)).alias("h"), i.alias("i")))))),
+        ("hashes", F.when(F.size("words") < 4, F.array().cast("array<bigint>")).otherwise(F.transform(
+            F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.xxhash64(word(i), word(i + 1), word(i + 2))))),
+        # For texts with a repeat: hashes of the 3-word windows with their places, sorted, so that equal ones stand together.
+        ("grams", F.when(F.size("hashes") == F.size(F.array_distinct("hashes")), F.array().cast("array<struct<h:bigint,i:int>>")).otherwise(
+            F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))),
         # First words of the windows found twice or more, ascending.
         ("again", F.array_sort(F.transform(F.filter("grams", lambda g, k:
             (g["h"] == F.get(F.col("grams"), k - 1)["h"]) | (g["h"] == F.get(F.col("grams"), k + 1)["h"])), lambda g: g["i"]))),
@@ -114,22 +127,23 @@ def _add_moments() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("n", *[f"s{i}" for i in range(DIM)], *[f"s{i}{j}" for i, j in PAIRS])]
 
 
-def _estimate(m: DataFrame, keys: list[str], scale: Column | None = None) -> DataFrame:
+def _estimate(m: DataFrame, keys: list[str], scale: float = 1.0) -> DataFrame:
     """Location m0.. and lower Cholesky factor l00.. of the scatter, from summed moments."""
-    m = m.select(*keys, "n", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(DIM)],
-                 *[(F.col(f"s{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n")).alias(f"c{i}{j}") for i, j in PAIRS])
-    return _cholesky(m, keys, scale)
+    n = F.col("n")
+    cov = lambda i, j: scale * (F.col(f"s{i}{j}") / n - F.col(f"s{i}") * F.col(f"s{j}") / n / n)
+    prior = lambda i, j: PRIOR[i] ** 2 if i == j else 0.0
+    m = m.select(*keys, "n", *[(F.col(f"s{i}") / n).alias(f"m{i}") for i in range(DIM)],
+                 *[((n * cov(i, j) + PRIOR_ROWS * prior(i, j)) / (n + PRIOR_ROWS)).alias(f"c{i}{j}") for i, j in PAIRS])
+    return _cholesky(m, keys)
 
 
-def _cholesky(m: DataFrame, keys: list[str], scale: Column | None = None) -> DataFrame:
-    scale = F.lit(1.0) if scale is None else scale
+def _cholesky(m: DataFrame, keys: list[str]) -> DataFrame:
     for i, j in PAIRS:
-        c = F.col(f"c{i}{j}") * scale
-        if i == j:
-            c = c + F.lit(FLOORS[i] ** 2)
+        c = F.col(f"c{i}{j}")
         for k in range(j):
             c = c - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-        m = m.withColumn(f"l{i}{j}", F.sqrt(F.greatest(c, F.lit(1e-12))) if i == j else c / F.col(f"l{j}{j}"))
+        # What a statistic varies by itself, the ones before it given, is never below its floor.
+        m = m.withColumn(f"l{i}{j}", F.sqrt(F.greatest(c, F.lit(FLOORS[i] ** 2))) if i == j else c / F.col(f"l{j}{j}"))
     logdet = sum((F.log(f"l{i}{i}") for i in range(DIM)), F.lit(0.0))
     return m.select(*keys, "n", *[f"m{i}" for i in range(DIM)], *[f"l{i}{j}" for i, j in PAIRS], logdet.alias("logdet"))
 
@@ -156,9 +170,10 @@ def _upto(binned: DataFrame, keys: list[str], share: float) -> DataFrame:
             .filter(F.col("before") < share * F.col("all")).groupBy(*keys).agg(*_add_moments()))
 
 
-def fit_mcd(rows: DataFrame) -> DataFrame:
+def fit_mcd(rows: DataFrame, hint=lambda d: d) -> DataFrame:
     """Per group ``g``: location m0.. and Cholesky factor l00.., of ``rows`` with g and x0..x4.
 
+    ``hint`` is put on tables of one or two rows a group before they are joined.
     Starts: the classical scatter, and that of the rows nearest to the
     coordinatewise medians; the start with the smaller determinant wins.
     """
@@ -169,13 +184,14 @@ def fit_mcd(rows: DataFrame) -> DataFrame:
                                   *[zero(i, j).alias(f"c{i}{j}") for i, j in PAIRS]), GROUP).withColumn("start", F.lit(1))
     params = classical.unionByName(median).checkpoint()
     for _ in range(STEPS):
-        binned = (_distance(_with_params(rows, params)).withColumn("bin", _bin(F.col("d2")))
-                  .groupBy(*GROUP, "start", "bin").agg(*_moments()))
-        params = _estimate(_upto(binned, [*GROUP, "start"], SUPPORT), [*GROUP, "start"]).checkpoint()
+        # Cut here, so that bins are added up by (group, start, bin) and only whole bins meet by group.
+        binned = (_distance(_with_params(rows, params, hint)).withColumn("bin", _bin(F.col("d2")))
+                  .groupBy(*GROUP, "start", "bin").agg(*_moments())).checkpoint()
+        params = _estimate(_upto(binned, [*GROUP, "start"], SUPPORT), [*GROUP, "start"])
     best = params.groupBy(*GROUP).agg(F.min_by(F.struct(*[c for c in params.columns if c not in GROUP]), F.struct("logdet", "start")).alias("p")) \
         .select(*GROUP, "p.*").checkpoint()
     # Reweighting: the median distance sets the scale, rows within the 97.5 % ellipsoid give the final estimate.
-    d = _distance(_with_params(rows, best)).withColumn("bin", _bin(F.col("d2"))).groupBy(*GROUP, "bin").agg(*_moments())
+    d = _distance(_with_params(rows, best, hint)).withColumn("bin", _bin(F.col("d2"))).groupBy(*GROUP, "bin").agg(*_moments())
     d = d.checkpoint()
     return _reweighted(d).checkpoint()
 
@@ -186,27 +202,40 @@ def _reweighted(binned: DataFrame) -> DataFrame:
             .withColumn("mid", F.max(F.when(F.col("before") < 0.5 * F.col("all"), F.col("bin"))).over(w)))
     factor = F.greatest(F.pow(F.lit(2.0), (F.col("mid") + 1) / BINS) / CHI2_MEDIAN, F.lit(1.0))
     near = half.filter(F.pow(F.lit(2.0), F.col("bin") / BINS) <= CHI2_975 * factor)
-    return _estimate(near.groupBy(*GROUP).agg(*_add_moments()), GROUP)
+    return _estimate(near.groupBy(*GROUP).agg(*_add_moments()), GROUP, TRUNCATED)
+
+
+def _with_params(rows: DataFrame, params: DataFrame, hint) -> DataFrame:
+    return rows.join(hint(params.drop("n", "logdet")), GROUP)
 
 
-def _with_params(rows: DataFrame, params: DataFrame) -> DataFrame:
-    return rows.join(params.drop("n", "logdet"), GROUP)
+def _groups(fit: DataFrame) -> DataFrame:
+    """Per ``own`` (language and source): ``fits``, the groups whose estimate its rows enter, and ``g``, the one that judges them."""
+    sizes = fit.groupBy("lang_", "own").agg(F.count(F.lit(1)).alias("size")).checkpoint()
+    langs = sizes.groupBy("lang_").agg(F.sum("size").alias("lang_size"), (F.min("size") < MIN_GROUP).alias("small"))
+    all_ = langs.agg(F.coalesce(F.bool_or(F.col("small") & (F.col("lang_size") < MIN_GROUP)), F.lit(False)).alias("all_small"))
+    d = sizes.join(langs, "lang_").crossJoin(F.broadcast(all_))  # one row
+    own, lang, every = F.concat(F.lit("o"), "own"), F.concat(F.lit("l"), "lang_"), F.lit("a")
+    big, lang_big = F.col("size") >= MIN_GROUP, F.col("lang_size") >= MIN_GROUP
+    fits = F.array_compact(F.array(F.when(big, own), F.when(F.col("small") & lang_big, lang), F.when(F.col("all_small"), every)))
+    return d.select("own", fits.alias("fits"), F.when(big, own).when(lang_big, lang).otherwise(every).alias("g")).checkpoint()
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``row`` (all input columns), the base statistics, base_failed, distance and kept, for every row."""
+def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
+    """``row`` (all input columns, or those of ``keep``), the base statistics, base_failed, distance and kept, for every row."""
     named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("?"))
-    stats = with_statistics(packed(docs, lang_=named(lang_col), source_=named(source_col), text=text_col), F.col("text"))
-    rows = staged(stats.drop("text"), "quality-stats").withColumn("own", F.concat_ws("\x1f", "lang_", "source_"))
+    src = packed(docs, lang_=named(lang_col), source_=named(source_col), text=text_col)
+    if keep is not None:
+        src = src.withColumn("row", F.struct(*[F.col(f"row.`{c}`").alias(c) for c in keep]))
+    rows = staged(with_statistics(src, F.col("text")).drop("text"), "quality-stats").withColumn("own", F.concat_ws("\x1f", "lang_", "source_"))
     fit = rows.filter("NOT base_failed").select("lang_", "own", *vector())
-    # Small sources of a language share one pool.
-    sizes = fit.groupBy("lang_", "own").agg(F.count(F.lit(1)).alias("size"))
-    group = sizes.select("own", F.when(F.col("size") >= MIN_GROUP, F.col("own")).otherwise(F.col("lang_")).alias("g"), "size").checkpoint()
-    enough = group.groupBy("g").agg(F.sum("size").alias("all")).filter(F.col("all") >= MIN_GROUP).select("g")
-    group = group.join(enough, "g").select("own", "g").checkpoint()
-    params = fit_mcd(staged(fit.join(group, "own").select("g", *X), "quality-vectors"))
-    by_source = group.join(params, "g").select("own", *[f"m{i}" for i in range(DIM)], *[f"l{i}{j}" for i, j in PAIRS]).checkpoint()
-    out = _distance(rows.select("*", *vector()).join(by_source, "own", "left"))
+    groups = _groups(fit)
+    # Tables of one or two rows a group, some 30 numbers and the names, are broadcast if all of them are within the bound.
+    n, names = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("own")), F.lit(0))).first()
+    hint = F.broadcast if 2 * (n * 400 + 4 * names) <= BROADCAST_BYTES else lambda d: d
+    params = fit_mcd(staged(fit.join(hint(groups.select("own", "fits")), "own").select(F.explode("fits").alias("g"), *X), "quality-vectors"), hint)
+    by_source = groups.select("own", "g").join(params, "g").select("own", *[f"m{i}" for i in range(DIM)], *[f"l{i}{j}" for i, j in PAIRS]).checkpoint()
+    out = _distance(rows.select("*", *vector()).join(hint(by_source), "own", "left"))
     kept = ~F.col("base_failed") & (F.col("d2").isNull() | (F.col("d2") <= CUTOFF))
     return out.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       F.col("d2").alias("distance"), kept.alias("kept"))

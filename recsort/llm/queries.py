@@ -37,7 +37,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsort.llm.quality_rules import judge
-    out = judge(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").select("doc_id", "lang", "source", "text"))
+    out = judge(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"), keep=["doc_id"])
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept", "distance")
 

@@ -20,20 +20,16 @@ or pair is one entry a chunk, buckets are as many as the words ask for, and
 nothing of the corpus comes to the driver but three sums. Pairs and words are
 named by 80-bit hashes.
 
-With ``words`` and ``bits`` given, the models have a fixed size instead: the
-``words`` most frequent words of the background, the rest as one unknown word,
-and pairs counted in ``2^bits`` hashed slots whose pairs share a count.
-
 Defined results: null and empty texts have no words and score 0; repeated rows
 count and are scored each; an empty target or background scores by what the
-smoothing leaves; extra columns pass through in ``row``.
+smoothing leaves; a very long text is a chunk of its own; extra columns, of
+whatever name, pass through in ``row``.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +43,6 @@ from recsort.llm.common import shuffle_partitions, staged
 SMOOTHING = 20.0
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
-CHUNK_WORDS = 1_000_000
-FLUSH_WORDS = 400_000
 PAIR, WORD, BEFORE = 0, 1, 2
 BEGIN = np.uint64(0x5851F42D4C957F2D)  # the hash of the begin of a text
 
@@ -58,89 +52,6 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def slots(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
-    pair = before.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)
-    pair = (pair ^ pair >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((pair ^ pair >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def vocabulary(docs: DataFrame, text_col: str, words: int) -> dict[bytes, int]:
-    """Numbers from 1 of the most frequent words, ties by the word; at most ``words`` rows come to the driver."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                found.update(words_of(text))
-                if len(found) > FLUSH_WORDS:
-                    yield _counted(found)
-                    found.clear()
-        yield _counted(found)
-
-    rows = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(count, "word binary, n bigint")
-    top = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words).collect()
-    return {bytes(r["word"]): k for k, r in enumerate(top, 1)}
-
-
-def _counted(found: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(found.keys()), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
-
-
-def _chunks(texts: list[bytes | None], get, begin: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first text, words before, words, where each text ends) of about CHUNK_WORDS words."""
-    first, before, after, ends, total = 0, [], [], [], 0
-    for k, text in enumerate(texts):
-        words = words_of(text)
-        ids = np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
-        if len(ids):
-            before += [np.array([begin]), ids[:-1]]
-            after.append(ids)
-        total += len(ids)
-        ends.append(total)
-        if total >= CHUNK_WORDS or k + 1 == len(texts):
-            none = [np.zeros(0, np.int64)]
-            yield first, np.concatenate(before or none), np.concatenate(after or none), np.array(ends)
-            first, before, after, ends, total = k + 1, [], [], [], 0
-
-
-def ngram_counts(docs: DataFrame, text_col: str, words: dict[bytes, int], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of words, of words as the one before, and of the slots of pairs."""
-    sent, begin = docs.sparkSession.sparkContext.broadcast(words), len(words) + 1
-    sizes = (begin + 1, begin + 1, 1 << bits)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, sums = sent.value.get, [np.zeros(n, np.int64) for n in sizes]
-        for batch in batches:
-            for _, v, w, _ in _chunks(batch.column("text").cast(pa.binary()).to_pylist(), get, begin):
-                for total, seen in zip(sums, (w, v, slots(v, w, bits)), strict=True):
-                    total += np.bincount(seen, minlength=len(total))
-        for kind, total in enumerate(sums):
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int8)), pa.array(at.astype(np.int32)), pa.array(total[at])], ["kind", "slot", "n"])
-
-    part = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(count, "kind byte, slot int, n bigint")
-    got = staged(part.groupBy("kind", "slot").agg(F.sum("n").alias("n")), "ngram-counts").toPandas()
-    out = tuple(np.zeros(n, np.int64) for n in sizes)
-    for kind, total in enumerate(out):
-        own = got[got.kind == kind]
-        total[own.slot.to_numpy()] = own.n.to_numpy()
-    return out
-
-
-class Loss:
-    """Word losses of one model; ``scale`` multiplies its counts."""
-
-    def __init__(self, counts: tuple[np.ndarray, np.ndarray, np.ndarray], scale: float, smoothing: float):
-        one, before, pairs = (c.astype(np.float64) * scale for c in counts)
-        p = (one + 1) / (one.sum() + len(one))
-        self.tables = (smoothing * p).astype(np.float32), (before + smoothing).astype(np.float32), pairs.astype(np.float32)
-
-    @staticmethod
-    def of(tables: tuple[np.ndarray, np.ndarray, np.ndarray], v: np.ndarray, w: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        p, before, pairs = tables
-        return -np.log((pairs[slot] + p[w]) / before[v])
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ x >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -346,39 +257,9 @@ def exact_difference(docs: DataFrame, target: DataFrame | str, background: DataF
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame | str, background: DataFrame | None = None, text_col: str = "text",
-                             keep: list[str] | None = None, words: int | None = None, bits: int | None = None, smoothing: float = SMOOTHING) -> DataFrame:
+                             keep: list[str] | None = None, smoothing: float = SMOOTHING) -> DataFrame:
     """``row`` (the ``keep`` columns, or all), n_words, target_loss, background_loss (means) and score of every document.
 
     ``target`` is a table of its own or a boolean column of ``docs``.
     """
-    if (words is None) != (bits is None):
-        raise ValueError("a model of fixed size needs both words and bits")
-    if words is None:
-        return exact_difference(docs, target, background, text_col, keep or docs.columns, smoothing)
-    if isinstance(target, str):
-        target = docs.filter(F.col(f"`{target}`"))
-    background = docs if background is None else background
-    known = vocabulary(background, text_col, words)
-    wanted, usual = (ngram_counts(d, text_col, known, bits) for d in (target, background))
-    matched = wanted[0].sum() / max(1, usual[0].sum())
-    tables = (Loss(wanted, 1.0, smoothing).tables, Loss(usual, matched, smoothing).tables)
-    sent, begin = docs.sparkSession.sparkContext.broadcast((known, tables)), len(known) + 1
-    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, models = sent.value
-        for batch in batches:
-            n, sums = [], [[], []]
-            for _, v, w, ends in _chunks(batch.column("text").cast(pa.binary()).to_pylist(), ids.get, begin):
-                n.append(np.diff(ends, prepend=0))
-                slot = slots(v, w, bits)
-                for model, out in zip(models, sums, strict=True):
-                    total = np.r_[0.0, np.cumsum(Loss.of(model, v, w, slot), dtype=np.float64)]
-                    out.append(np.diff(total[ends], prepend=0.0))
-            n = np.concatenate(n) if n else np.zeros(0, np.int64)
-            loss = [np.concatenate(x) / np.maximum(n, 1) if x else np.zeros(0) for x in sums]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n), pa.array(loss[0]), pa.array(loss[1]), pa.array(loss[0] - loss[1])],
-                                             ["row", "n_words", "target_loss", "background_loss", "score"])
-
-    schema = f"row {src.schema['row'].dataType.simpleString()}, n_words bigint, target_loss double, background_loss double, score double"
-    return src.mapInArrow(scan, schema)
+    return exact_difference(docs, target, background, text_col, keep or docs.columns, smoothing)

@@ -233,42 +233,6 @@ def test_toxicity_held_out(spark):
     assert all(x.score < 0.5 for x in score(docs.limit(3), none).collect()) and score(docs.limit(0), none).count() == 0
 
 
-def test_cross_entropy_difference(spark):
-    from recsort.llm.cross_entropy import cross_entropy_difference, slots
-    r = random.Random(7)
-    words = ["one", "two", "three", "four", "five", "Ünï"]
-    texts = [" ".join(r.choice(words[: 3 + 3 * (k % 2)]) for _ in range(r.randint(0, 30))) for k in range(30)] + [None, "", "never seen words", "ONE one"]
-    docs = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "doc_id bigint, text string, score int").repartition(3)
-    target = docs.filter("doc_id % 2 = 0")
-    got = {x.row.doc_id: x for x in cross_entropy_difference(docs, target, words=4, bits=8, smoothing=2.0).collect()}
-    split = lambda t: (t or "").encode().lower().split()
-    count = Counter(w for t in texts for w in split(t))
-    vocab = {w: k for k, (w, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], x[0]))[:4], 1)}
-
-    def pairs(t):
-        ids = [vocab.get(w, 0) for w in split(t)]
-        return list(zip([5, *ids], ids, strict=False))
-
-    def model(own, scale):
-        one, before, slot = Counter(), Counter(), Counter()
-        for t in own:
-            for v, w in pairs(t):
-                one[w] += scale
-                before[v] += scale
-                slot[int(slots(np.array([v]), np.array([w]), 8)[0])] += scale
-        n = sum(one.values())
-        return lambda v, w: -np.log((slot[int(slots(np.array([v]), np.array([w]), 8)[0])] + 2.0 * (one[w] + 1) / (n + 6)) / (before[v] + 2.0))
-    size = lambda own: sum(len(split(t)) for t in own)
-    wanted = model(texts[::2], 1.0)
-    usual = model(texts, size(texts[::2]) / size(texts))
-    for k, t in enumerate(texts):
-        p = pairs(t)
-        want = [np.mean([f(*x) for x in p]) if p else 0.0 for f in (wanted, usual)]
-        assert got[k].n_words == len(p) and np.allclose([got[k].target_loss, got[k].background_loss, got[k].score], [*want, want[0] - want[1]], atol=1e-4)
-    assert cross_entropy_difference(docs.limit(0), docs.limit(0)).count() == 0
-
-
-@pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_duckdb(spark, key):
     import duckdb
 

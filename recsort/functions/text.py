@@ -87,3 +87,9 @@ def natural_key(c):
     digits = fold_width(digits)
     z = F.regexp_replace(digits, r"^0+", "")
     return F.length(z), z
+
+
+def seeded_order(key, seed: int) -> Column:
+    """A number below 2^60 that is random in the key and the seed, and the same in every engine with MD5: its first 15 hex digits."""
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(_col(key).cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, 15), 16, 10).cast("bigint")

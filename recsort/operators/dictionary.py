@@ -259,6 +259,26 @@ def map_categories(df: DataFrame, groups: DataFrame, category: str = "category")
     return df.join(g, category, "left").withColumn("big_group", F.coalesce("big_group", category))
 
 
+def map_category_lists(df: DataFrame, groups: DataFrame, categories: str, key: str = "vc_id", out: str = "big_groups") -> DataFrame:
+    """(key, ``out``): the distinct major groups of a ``||`` list, in the order in which the list first names them.
+
+    Rows that share a key share one list, the later entries of all of them
+    behind; an empty or null list gives an empty one.
+    """
+    parts = F.filter(F.transform(F.split(F.coalesce(F.col(categories), F.lit("")), r"\|\|"), lambda c: F.btrim(c)), lambda c: c != "")
+    each = df.select(key, F.posexplode_outer(parts).alias("_pos", "category"))
+    mapped = map_categories(each, groups)
+    first = mapped.groupBy(key, "big_group").agg(F.min("_pos").alias("_pos"))
+    named = F.array_sort(F.collect_list(F.when(F.col("big_group").isNotNull(), F.struct("_pos", "big_group"))))
+    return first.groupBy(key).agg(named.alias("_g")).select(key, F.array_join(F.transform("_g", lambda g: g["big_group"]), CATEGORY_SEP).alias(out))
+
+
+def write_group_sorted(counts: DataFrame, path: str) -> None:
+    """The counts of ``group_counts`` as files that follow each other in its order, and are sorted within."""
+    order = ["big_group", F.desc("n"), "category"]
+    counts.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
 def group_counts(mapped: DataFrame, category: str = "category") -> DataFrame:
     return mapped.groupBy("big_group", category).agg(F.count(F.lit(1)).alias("n")) \
         .orderBy("big_group", F.desc("n"), category)

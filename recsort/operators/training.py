@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsort.constants import TAG_NEEDS_EXPERT, TAG_RULES_ONLY
+from recsort.functions.text import seeded_order
 
 SAMPLE_SEED = 42
 
@@ -63,8 +64,8 @@ def text_preview(clean: DataFrame, n_rows: int = 5, n_chars: int = 50) -> DataFr
 
 
 def seeded_sample(df: DataFrame, n: int = 5, seed: int = SAMPLE_SEED, key: str = "vc_id") -> DataFrame:
-    """The same n rows every run: smallest seeded hash of the key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """The same n rows every run, in any engine: smallest seeded MD5 of the key."""
+    return df.orderBy(seeded_order(key, seed), key).limit(n)
 
 
 # ---------------------------------------------------------------------------
@@ -124,7 +125,7 @@ def score(model: PipelineModel, records: DataFrame, text_col: str = "text_combin
 
 def holdout_split(clean: DataFrame, test_fraction: float = 0.2, seed: int = SAMPLE_SEED):
     """Deterministic hash split on the id (no leakage between fit and check)."""
-    b = F.pmod(F.xxhash64(F.col("vc_id"), F.lit(seed)), F.lit(1000))
+    b = seeded_order("vc_id", seed) % 1000
     cut = int(round(test_fraction * 1000))
     return clean.filter(b >= cut), clean.filter(b < cut)
 
@@ -154,8 +155,8 @@ def contrastive_pairs(clean: DataFrame, k: int = 2, rows_per_bucket: int = 4096,
     """
     n = clean.count()
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
-    h = F.shiftrightunsigned(F.xxhash64(F.col("vc_id"), F.lit(seed)), 1)
-    bucket = F.shiftright(F.shiftright(h, 31) * F.lit(n_buckets).cast("bigint"), 32)
+    h = seeded_order("vc_id", seed)
+    bucket = F.shiftright(F.shiftright(h, 28) * F.lit(n_buckets).cast("bigint"), 32)
     base = clean.select("vc_id", "label", bucket.alias("bucket"), h.alias("h"))
     cell = Window.partitionBy("label", "bucket")
     ranked = base.withColumn("rank", F.row_number().over(cell.orderBy("h", "vc_id")) - 1).drop("h")

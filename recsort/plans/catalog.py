@@ -406,6 +406,13 @@ def q_category_group_sorted(spark, sf):
     return D.group_counts(_mapped(spark, sf))
 
 
+@query("category_list_groups")
+def q_category_list_groups(spark, sf):
+    """Major groups of every reply's list of categories."""
+    groups = FX.lookup(spark, FX.REPLY_GROUPS, "category string, big_group string")
+    return D.map_category_lists(_parsed(spark, sf), groups, "ai_violation_categories")
+
+
 @query("remove_terms")
 def q_remove_terms(spark, sf):
     part = table(spark, sf, "part", "p_partkey", "p_name")
@@ -439,12 +446,19 @@ def q_embedding_head(spark, sf):
 
 @query("contrastive_pairs")
 def q_contrastive_pairs(spark, sf):
-    return TR.contrastive_pairs(_clean(spark, sf), k=2)
+    return TR.contrastive_pairs(_clean(spark, sf), k=2).withColumns({c: _long(F.col(c)) for c in ("anchor_label", "partner_label", "j")})
 
 
 @query("seeded_sample")
 def q_seeded_sample(spark, sf):
-    return TR.seeded_sample(_clean(spark, sf)).select("vc_id", "label", T.preview(F.col("text"), 30).alias("preview"))
+    return TR.seeded_sample(_clean(spark, sf)).select("vc_id", _long(F.col("label")).alias("label"), T.preview(F.col("text"), 30).alias("preview"))
+
+
+@query("holdout_counts")
+def q_holdout_counts(spark, sf):
+    """Rows of each label on either side of the split that the confusion matrix is counted on."""
+    sides = [d.select(F.lit(n).alias("side"), _long(F.col("label")).alias("label")) for n, d in zip(("fit", "test"), TR.holdout_split(_clean(spark, sf)))]
+    return sides[0].unionByName(sides[1]).groupBy("side", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("ml_triage_score")

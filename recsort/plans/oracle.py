@@ -34,6 +34,7 @@ from recsort.sources.fixtures import (
     MORE_CORRECTIONS,
     RECOVER_IF_ARTICLE_CONTAINS,
     REMOVED_CATEGORIES,
+    REPLY_GROUPS,
     SERVICE_CATEGORIES,
     STOP_TERMS,
     VOCABULARY,
@@ -541,3 +542,24 @@ s AS (SELECT *, CASE WHEN error IS NOT NULL THEN NULL WHEN n % 11 = 3 THEN 'no s
                      ELSE '【违规类别】：' || [{', '.join(lit(c) for c in SERVICE_CATEGORIES)}][n % 3 + 1] || chr(10) || '【判断理由】：length ' || n END AS reply FROM e),
 {parsed('SELECT * FROM s')}
 SELECT doc_id, copy, {RESULT_COLS}, error FROM parsed"""
+
+_SEEDED = "substr(md5('42:' || vc_id), 1, 15)"
+SQL["seeded_sample"] = f"""SELECT vc_id, label, substr(replace(text, chr(10), ' '), 1, 30) AS preview FROM ({_TC}) t
+ORDER BY {_SEEDED}, vc_id LIMIT 5"""
+SQL["holdout_counts"] = f"""SELECT CASE WHEN CAST('0x' || {_SEEDED} AS BIGINT) % 1000 >= 200 THEN 'fit' ELSE 'test' END AS side, label, count(*) AS n
+FROM ({_TC}) t GROUP BY 1, 2"""
+SQL["contrastive_pairs"] = f"""
+WITH r AS (SELECT vc_id, label, row_number() OVER (PARTITION BY label ORDER BY {_SEEDED}, vc_id) - 1 AS rank, count(*) OVER (PARTITION BY label) AS size FROM ({_TC}) t),
+a AS (SELECT vc_id, label, rank, j, p_label FROM r, (VALUES (1), (2)) js(j), (VALUES (0), (1)) ls(p_label)),
+s AS (SELECT DISTINCT label, size FROM r)
+SELECT a.vc_id AS anchor_id, r.vc_id AS partner_id, a.label AS anchor_label, r.label AS partner_label, CAST(j AS BIGINT) AS j,
+       CAST(a.label = r.label AS DOUBLE) AS similar
+FROM a JOIN s ON s.label = a.p_label
+JOIN r ON r.label = a.p_label AND r.rank = (a.rank + j - CASE WHEN a.label = a.p_label THEN 0 ELSE 1 END) % s.size
+WHERE CASE WHEN a.label = a.p_label THEN j < s.size ELSE j <= s.size END"""
+
+_TO_GROUP = "CASE p " + " ".join(f"WHEN {lit(c)} THEN {lit(g)}" for c, g in REPLY_GROUPS) + " ELSE p END"
+SQL["category_list_groups"] = f"""WITH {parsed(F5)},
+g AS (SELECT vc_id, list_transform(list_filter(list_transform(string_split(coalesce(ai_violation_categories, ''), '||'), lambda p: trim(p, ' ')),
+                                   lambda p: p <> ''), lambda p: {_TO_GROUP}) AS l FROM parsed)
+SELECT vc_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '||') AS big_groups FROM g"""

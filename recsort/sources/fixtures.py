@@ -48,6 +48,8 @@ REMOVED_CATEGORIES = ("copyleft", "noncommercial")
 RECOVER_IF_ARTICLE_CONTAINS = "General"
 # F9 fine category -> major group
 GROUPS = (("ECONOMY", "BUDGET"), ("SMALL", "BUDGET"), ("STANDARD", "CORE"), ("MEDIUM", "CORE"))
+# groups of the reply categories
+REPLY_GROUPS = (("permissive", "open"), ("copyleft", "open"), ("noncommercial", "restricted"))
 # F9 stop terms on part names
 STOP_TERMS = ("old", "hot", "cold")
 

@@ -167,3 +167,14 @@ def test_rules_in_the_row_and_by_join_agree(spark, monkeypatch):
     inline = rows()
     monkeypatch.setattr(D, "INLINE_RULES", 3)
     assert rows() == inline and len(inline) == docs.count() and sum(r[2] > 0 for r in inline) > 20
+
+
+def test_category_lists_map_to_distinct_groups(spark, tmp_dir):
+    groups = spark.createDataFrame([("a", "G"), ("b", "G"), ("c", "H")], "category string, big_group string")
+    df = spark.createDataFrame([("1", "c||a||b"), ("2", " x || c||x"), ("3", ""), ("4", None), ("5", "||")], "vc_id string, cats string")
+    got = {r.vc_id: r.big_groups for r in D.map_category_lists(df, groups, "cats").collect()}
+    assert got == {"1": "H||G", "2": "x||H", "3": "", "4": "", "5": ""}
+    counts = D.group_counts(D.map_categories(df.selectExpr("explode(split('c,a,b,a,z', ',')) AS category"), groups))
+    D.write_group_sorted(counts, f"{tmp_dir}/sorted")
+    back = spark.read.parquet(f"{tmp_dir}/sorted").withColumn("f", F.col("_metadata.file_name")).orderBy("f", F.monotonically_increasing_id())
+    assert [(r.big_group, r.category) for r in back.collect()] == [("G", "a"), ("G", "b"), ("H", "c"), ("z", "z")]

@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from recsort.plans.catalog import QUERIES  # noqa: E402
 from recsort.session import get_spark  # noqa: E402
 
 JOINS = ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct")
@@ -28,7 +28,7 @@ def summary(plan: str) -> dict:
         "round_robin": sum(1 for ln in lines if ln.startswith("Exchange RoundRobinPartitioning")),
         "broadcasts": sum(1 for ln in lines if ln.startswith("BroadcastExchange")),
         "joins": sorted({j for ln in lines for j in JOINS if ln.startswith(j)}),
-        "python": sorted({m for ln in lines for m in ("MapInPandas", "ArrowEvalPython", "BatchEvalPython")
+        "python": sorted({m for ln in lines for m in ("MapInPandas", "MapInArrow", "ArrowEvalPython", "BatchEvalPython")
                           if ln.startswith(m)}),
         "window": any(ln.startswith("Window") for ln in lines),
         "scans": [],
@@ -44,7 +44,7 @@ def summary(plan: str) -> dict:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark("local[8]", 8)
-    qs = E.queries()
+    qs = QUERIES
     print(f"# Physical plans ({os.path.basename(sf)}, before AQE re-planning)\n")
     print("Generated by `tools/show_plans.py`. Broadcasts are on lookup "
           "tables with a checked bound or on sides the planner measured small at this scale; at 100 TB "

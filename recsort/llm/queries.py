@@ -26,7 +26,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsort.llm.toxicity import FOLDS, score, train
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     out = score(docs, train(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")), keep=["doc_id"])
-    held_out = F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % FOLDS == 0
+    # A null id has no digits: it is in no fold, and not held out.
+    held_out = F.coalesce(F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
     return out.select(F.col("row.doc_id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

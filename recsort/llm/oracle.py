@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recsort.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD
+from recsort.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, need_of, prepared
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -14,22 +14,22 @@ def _op8() -> str:
         test = " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(ws))
         return f"list_filter(range(1, len(w) + 1), lambda i: {test})"
 
-    def best(template: str) -> str:
-        ws = sorted(set(template.split()))
+    def best(ws: list[str], size: int) -> str:
         lst = "[" + ", ".join(f"'{x}'" for x in ws) + "]"
-        return f"coalesce(list_max(list_transform(b, lambda x: len(list_intersect(x, {lst})) / {len(ws)}.0)), 0.0)"
+        held = f"len(list_filter({lst}, lambda x: list_contains({{}}, x)))"
+        blocks = f"list_transform(range(1, greatest(len(w) - {size - 1}, 1) + 1), lambda i: {held.format(f'w[i:i + {size - 1}]')})"
+        return f"CASE WHEN {held.format('w')} >= {need_of(ws, THRESHOLD)} THEN list_max({blocks}) / {len(ws)}.0 ELSE 0.0 END"
 
     places = ", ".join(f"{at(p)} AS p{k}" for k, p in enumerate(PHRASES))
     lists = [f"p{k}" for k in range(len(PHRASES))]
     all_at = "list_concat(" + "list_concat(".join(f"{x}, " for x in lists[:-1]) + lists[-1] + ")" * (len(lists) - 1)
     base = "[" + ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{v}' END" for k, v in enumerate(PHRASES.values())) + "]"
-    conts = ", ".join(f"{best(t)} AS c{k}" for k, t in enumerate(TEMPLATES.values()))
-    own = "[" + ", ".join(f"CASE WHEN c{k} >= {THRESHOLD} THEN '{v}' END" for k, v in enumerate(TEMPLATES)) + "]"
-    top = "greatest(" + ", ".join(f"CASE WHEN c{k} >= {THRESHOLD} THEN c{k} ELSE 0.0 END" for k in range(len(TEMPLATES))) + ")"
-    line_words = r"regexp_extract_all(x, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    sets = prepared(TEMPLATES)
+    conts = ", ".join(f"{best(ws, size)} AS c{k}" for k, (_, ws, size) in enumerate(sets))
+    own = "[" + ", ".join(f"CASE WHEN c{k} >= {THRESHOLD} THEN '{v}' END" for k, (v, *_) in enumerate(sets)) + "]"
+    top = "greatest(" + ", ".join(f"CASE WHEN c{k} >= {THRESHOLD} THEN c{k} ELSE 0.0 END" for k in range(len(sets))) + ")"
     return f"""
-WITH d AS (SELECT doc_id, {_WORDS} AS w,
-                  list_transform(string_split({_LOWER}, chr(10)), lambda x: list_distinct({line_words})) AS b FROM documents),
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 p AS (SELECT doc_id, len(w) AS n_words, {places}, {conts} FROM d),
 q AS (SELECT *, {all_at} AS a, list_filter({base}, lambda x: x IS NOT NULL) AS bl,
              list_filter({own}, lambda x: x IS NOT NULL) AS ol, {top} AS t FROM p)

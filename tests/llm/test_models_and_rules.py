@@ -175,6 +175,39 @@ def test_license_scan(spark):
     assert scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_license_blocks_cross_line_ends_and_match_brute_force(spark):
+    from recsort.llm.license_scan import TEMPLATES, prepared, scan_licenses
+    r = random.Random(12)
+    grant = TEMPLATES["bsd"][0].split()
+    filler = [f"w{k}" for k in range(50)]
+    texts = [None, "", " ".join(grant), " ".join(grant[:10]) + "\n" + " ".join(grant[10:]), "\n".join(grant), "x " * 30_000 + " ".join(grant) + " y" * 30_000,
+             " ".join(w + " " + " ".join(filler[:9]) for w in grant), " ".join(reversed(grant)), " ".join(grant) + " " + " ".join(grant)]
+    every = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
+    for ts in TEMPLATES.values():
+        for t in ts:
+            for _ in range(6):
+                words = [w if r.random() < 0.87 else r.choice(every + filler) for w in t.split()]
+                for _ in range(r.randrange(4)):
+                    words.insert(r.randrange(len(words)), r.choice(every + filler))
+                texts.append(" ".join(r.choices(filler, k=r.randrange(30)) + words + r.choices(every, k=r.randrange(60))))
+    texts += texts[2:4]
+    docs = spark.createDataFrame([(k, t, "?") for k, t in enumerate(texts)], "doc_id bigint, text string, label string").repartition(3)
+    got = {x.doc_id: x for x in scan_licenses(docs).collect()}
+    assert len(got) == len(texts)
+    for k, t in enumerate(texts):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+        best = {}
+        for label, ws, size in prepared(TEMPLATES):
+            for i in range(max(len(w) - size + 1, 1)):
+                n = len(set(ws) & set(w[i:i + size])) / len(ws)
+                if n >= 0.8 - 1e-9:
+                    best[label] = max(best.get(label, 0), n)
+        base = set(filter(None, got[k].base_labels.split(",")))
+        assert got[k].labels == ",".join(sorted(best.keys() | base)), t
+        assert base or got[k].score == pytest.approx(max(best.values(), default=0.0))
+    assert [got[k].labels for k in range(9)] == ["", "", "bsd", "bsd", "bsd", "bsd", "", "bsd", "bsd"]
+
+
 def test_subsequence_kernel_against_definition():
     from itertools import combinations
 

@@ -18,7 +18,9 @@ them to buckets by a hash, a bucket sums equal ones and sends each chunk the
 totals of its own, with which the chunk's documents are scored. So a hot word
 or pair is one entry a chunk, buckets are as many as the words ask for, and
 nothing of the corpus comes to the driver but three sums. Pairs and words are
-named by 80-bit hashes.
+named by 80-bit hashes. Chunks are written once, bucketed by their number, so
+that flags and totals come to them and the texts are never shuffled, at any
+size.
 
 Defined results: null and empty texts have no words and score 0; repeated rows
 count and are scored each; an empty target or background scores by what the
@@ -28,6 +30,7 @@ whatever name, pass through in ``row``.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -43,6 +46,7 @@ from recsort.llm.common import shuffle_partitions, staged
 SMOOTHING = 20.0
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
+TASK_BYTES = 32 << 20  # of texts in a bucket of chunks
 PAIR, WORD, BEFORE = 0, 1, 2
 BEGIN = np.uint64(0x5851F42D4C957F2D)  # the hash of the begin of a text
 
@@ -133,38 +137,58 @@ class Chunk:
 CHUNK = "wanted binary, lengths binary, texts binary"
 
 
-def chunked(docs: DataFrame, text_col: str, keep: list[str], target_col: str | None = None) -> DataFrame:
-    """(chunk, rows, wanted, lengths, texts): about ``CHUNK_BYTES`` of texts a row, compressed."""
+def chunked(docs: DataFrame, text_col: str, keep: list[str], target_col: str | None = None, id_col: str | None = None) -> DataFrame:
+    """(chunk, rows, ids, wanted, lengths, texts): about ``CHUNK_BYTES`` of texts a row, compressed; ``ids`` only with ``id_col``."""
     wanted = F.lit(False) if target_col is None else F.coalesce(F.col(f"`{target_col}`"), F.lit(False))
-    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(0).alias("none")]).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("text"), wanted.alias("wanted"))
+    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(0).alias("none")]).alias("row"),
+                      (F.lit(0) if id_col is None else F.col(f"`{id_col}`")).alias("id"),
+                      F.col(f"`{text_col}`").cast("binary").alias("text"), wanted.alias("wanted"))
     chunk_bytes = CHUNK_BYTES
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts, texts, wanted, size = TaskContext.get().partitionId() << 32, [], [], [], 0
+        ids = []
 
         def one() -> pa.RecordBatch:
-            rows = pa.concat_arrays(parts)
+            rows, keys = pa.concat_arrays(parts), pa.concat_arrays(ids)
             lengths = np.array([len(t) for t in texts], np.int64)
             return pa.RecordBatch.from_arrays([
-                pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                pa.array([number], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), x) for x in (rows, keys)),
                 *(pa.array([x], pa.binary()) for x in (_packed(np.array(wanted, bool)), _packed(lengths), pa.compress(b"".join(texts), codec="zstd", asbytes=True)))],
-                ["chunk", "rows", "wanted", "lengths", "texts"])
+                ["chunk", "rows", "ids", "wanted", "lengths", "texts"])
         for batch in batches:
-            begin, rows = 0, batch.column("row")
+            begin, rows, keys = 0, batch.column("row"), batch.column("id")
             for k, (text, flag) in enumerate(zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True)):
                 texts.append(text or b"")
                 wanted.append(flag)
                 size += len(texts[-1]) + 64
                 if size >= chunk_bytes:
                     parts.append(rows.slice(begin, k + 1 - begin))
+                    ids.append(keys.slice(begin, k + 1 - begin))
                     yield one()
-                    number, parts, texts, wanted, size, begin = number + 1, [], [], [], 0, k + 1
+                    number, parts, ids, texts, wanted, size, begin = number + 1, [], [], [], [], 0, k + 1
             if begin < len(rows):
                 parts.append(rows.slice(begin))
+                ids.append(keys.slice(begin))
         if parts:
             yield one()
 
-    return src.mapInArrow(scan, f"chunk bigint, rows array<{src.schema['row'].dataType.simpleString()}>, {CHUNK}")
+    kinds = (src.schema[c].dataType.simpleString() for c in ("row", "id"))
+    return src.mapInArrow(scan, "chunk bigint, rows array<{}>, ids array<{}>, {}".format(*kinds, CHUNK))
+
+
+def bucketed(chunks: DataFrame, buckets: int) -> DataFrame:
+    """The chunks as a written table, bucketed by their number: a join with them shuffles the other side only."""
+    name = f"ngram_chunks_{uuid.uuid4().hex[:16]}"
+    chunks.write.bucketBy(buckets, "chunk").sortBy("chunk").format("parquet").saveAsTable(name)
+    return chunks.sparkSession.table(name)
+
+
+def flagged(chunks: DataFrame, ids: DataFrame) -> DataFrame:
+    """``chunks`` with ``places``, the numbers of the rows whose id is in ``ids``; only ids and numbers are shuffled."""
+    rows = chunks.select("chunk", F.posexplode("ids").alias("place", "id")).filter("id IS NOT NULL")
+    found = rows.join(ids.toDF("id"), "id", "left_semi").groupBy("chunk").agg(F.collect_list("place").alias("places"))
+    return chunks.join(found, "chunk", "left")
 
 
 def asked(chunks: DataFrame, buckets: int, target: bool, background: bool, reply: bool) -> DataFrame:
@@ -178,13 +202,16 @@ def asked(chunks: DataFrame, buckets: int, target: bool, background: bool, reply
         for batch in batches:
             for k in range(batch.num_rows):
                 number, n_rows, flags, lengths, texts = (batch.column(c)[k].as_py() for c in ("chunk", "n_rows", "wanted", "lengths", "texts"))
-                c = Chunk(texts, _unpacked(lengths, n_rows, np.int64), buckets, _unpacked(flags, n_rows, np.bool_) | target)
+                wanted = _unpacked(flags, n_rows, np.bool_) | target
+                wanted[batch.column("places")[k].as_py() or []] = True
+                c = Chunk(texts, _unpacked(lengths, n_rows, np.int64), buckets, wanted)
                 for bucket, own in c.parts():
                     yield pa.RecordBatch.from_pylist([{
                         "bucket": bucket, "chunk": number if reply else -1, "size": len(own), "first": _packed(c.first[own]), "second": _packed(c.second[own]),
                         "target": _packed(c.n_wanted[own]), "background": _packed(c.n[own] if background else c.n[own] * 0)}], schema)
 
-    return chunks.select("chunk", F.size("rows").alias("n_rows"), "wanted", "lengths", "texts").mapInArrow(
+    places = F.col("places") if "places" in chunks.columns else F.lit(None).cast("array<int>")
+    return chunks.select("chunk", F.size("rows").alias("n_rows"), "wanted", places.alias("places"), "lengths", "texts").mapInArrow(
         scan, "bucket int, chunk bigint, size int, first binary, second binary, target binary, background binary")
 
 
@@ -219,16 +246,17 @@ def totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(add, TOTALS)
 
 
-def exact_difference(docs: DataFrame, target: DataFrame | str, background: DataFrame | None, text_col: str, keep: list[str], smoothing: float) -> DataFrame:
+def exact_difference(docs: DataFrame, target: DataFrame | str | None, background: DataFrame | None, text_col: str, keep: list[str],
+                     smoothing: float, target_ids: DataFrame | None) -> DataFrame:
     spark = docs.sparkSession
     flag = target if isinstance(target, str) else None
-    chunks = staged(chunked(docs, text_col, keep, flag), "ngram-chunks")
     size = F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("bigint")).alias("n")
-    others = [d for d in (target, background) if isinstance(d, DataFrame)]
-    n_bytes = sum(d.select(size).first()["n"] or 0 for d in (docs, *others))
-    buckets = max(shuffle_partitions(spark), -(-n_bytes // BUCKET_BYTES))
-    rows = asked(chunks, buckets, False, background is None, True)
-    if flag is None:
+    own_bytes, *other_bytes = (d.select(size).first()["n"] or 0 for d in (docs, target, background) if isinstance(d, DataFrame))
+    buckets = max(shuffle_partitions(spark), -(-sum((own_bytes, *other_bytes)) // BUCKET_BYTES))
+    chunks = bucketed(chunked(docs, text_col, keep, flag, target_ids.columns[0] if target_ids is not None else None),
+                      max(shuffle_partitions(spark), -(-own_bytes // TASK_BYTES)))
+    rows = asked(chunks if target_ids is None else flagged(chunks, target_ids), buckets, False, background is None, True)
+    if isinstance(target, DataFrame):
         rows = rows.unionByName(asked(chunked(target, text_col, []), buckets, True, False, False))
     if background is not None:
         rows = rows.unionByName(asked(chunked(background, text_col, []), buckets, False, True, False))
@@ -256,10 +284,12 @@ def exact_difference(docs: DataFrame, target: DataFrame | str, background: DataF
         scan, f"row {kind}, n_words bigint, target_loss double, background_loss double, score double")
 
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame | str, background: DataFrame | None = None, text_col: str = "text",
-                             keep: list[str] | None = None, smoothing: float = SMOOTHING) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target: DataFrame | str | None = None, background: DataFrame | None = None, text_col: str = "text",
+                             keep: list[str] | None = None, smoothing: float = SMOOTHING, target_ids: DataFrame | None = None) -> DataFrame:
     """``row`` (the ``keep`` columns, or all), n_words, target_loss, background_loss (means) and score of every document.
 
-    ``target`` is a table of its own or a boolean column of ``docs``.
+    ``target`` is a table of its own or a boolean column of ``docs``;
+    ``target_ids`` is a table of one column, named as the column of ``docs``
+    it holds values of (null is none): the rows with these are the target.
     """
-    return exact_difference(docs, target, background, text_col, keep or docs.columns, smoothing)
+    return exact_difference(docs, target, background, text_col, keep or docs.columns, smoothing, target_ids)

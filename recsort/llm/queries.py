@@ -50,10 +50,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsort.llm.cross_entropy import cross_entropy_difference
-    docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    wanted = read(spark, sf_dir, "labels", "doc_id", "quality").filter("quality = 1").select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    docs = docs.join(wanted.withColumn("wanted", F.lit(True)), "doc_id", "left")
-    out = cross_entropy_difference(docs, "wanted", keep=["doc_id"])
+    wanted = read(spark, sf_dir, "labels", "doc_id", "quality").filter("quality = 1").select("doc_id")
+    out = cross_entropy_difference(read(spark, sf_dir, "documents", "doc_id", "text"), target_ids=wanted, keep=["doc_id"])
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_words", "target_loss", "background_loss", "score")
 
 

@@ -343,9 +343,15 @@ def test_cross_entropy_counts_every_pair_and_word(spark, monkeypatch):
     check(got, texts[::2], texts, texts)
     got = {x.row.doc_id: x for x in ce.cross_entropy_difference(docs.withColumn("t", docs.doc_id % 2 == 0), "t", keep=["doc_id"]).collect()}
     check(got, texts[::2], texts, texts)
+    ids = spark.createDataFrame([(k,) for k in range(0, len(texts), 2)] + [(0,), (None,), (10**6,)], "doc_id bigint")
+    got = {x.row.doc_id: x for x in ce.cross_entropy_difference(docs, target_ids=ids, keep=["doc_id"]).collect()}
+    check(got, texts[::2], texts, texts)
     # A background of its own, and many chunks and buckets.
     monkeypatch.setattr(ce, "CHUNK_BYTES", 100_000)
     monkeypatch.setattr(ce, "BUCKET_BYTES", 100_000)
     got = {x.row.doc_id: x for x in ce.cross_entropy_difference(docs, target, docs.filter("doc_id % 2 = 1")).collect()}
     check(got, texts[::2], texts[1::2], texts)
+    got = {x.row.doc_id: x for x in ce.cross_entropy_difference(docs, target_ids=ids).collect()}
+    check(got, texts[::2], texts, texts)
     assert ce.cross_entropy_difference(docs.limit(0), docs.limit(0)).count() == 0
+    assert ce.cross_entropy_difference(docs.limit(0), target_ids=ids).count() == 0

@@ -6,11 +6,13 @@ looked up, a run not seen before is split into its words, and a word not seen
 before is merged by the library's model. Only texts of plain Latin characters
 take this way; any other text (combining marks, other scripts, control
 characters, the tokenizer's special strings) is encoded whole by the library,
-so the ids are always the library's.
+and so is every text where the file asks for another normaliser or another
+split than those below, so the ids are always the library's.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -26,6 +28,13 @@ PLAIN = re.compile(r"[\t\n\r\x20-\x7E\xA0-\xAC\xAE-\xB1\xB4-\xB8\xBA\xBB\xBF-į
 # The word pattern of the tokenizer, on such characters.
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
+# The normaliser and the split, as the file states them, that the word way stands for.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 
 class WordTokenizer:
     """``encode`` gives the little-endian ids of a text as bytes, ``dtype`` their type."""
@@ -34,6 +43,9 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            stated = json.load(f)
+        self.by_words = stated.get("normalizer") == NORMALIZER and stated.get("pre_tokenizer") == SPLIT
         self.model = self.library.model
         size = self.library.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
@@ -66,7 +78,7 @@ class WordTokenizer:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not PLAIN.fullmatch(text) or any(s in text for s in self.special):
+        if not self.by_words or not PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return self._whole(text)
         runs = text.split()
         try:

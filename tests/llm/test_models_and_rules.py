@@ -308,6 +308,37 @@ def test_pipeline(spark):
     assert {x.doc_id for x in pieces} == {x.doc_id for x in docs.collect()} and kept["decontamination"] > 0.3 * n
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_pipeline_stage_on_odd_rows(spark, name):
+    """Null ids, texts, languages and sources, empty and very long texts, repeated rows, extra columns, no rows."""
+    stage, r = dict(corpus_pipeline.STAGES)[name], random.Random(3)
+    prose = [" ".join(r.choice("abcdefghij") + str(r.randrange(3000)) for _ in range(120)) for _ in range(40)]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(prose)]
+    rows += [(100, None, "en", "s", None), (101, "", None, None, 0), (None, prose[0] + " x", "en", None, 1), (None, None, None, None, None),
+             (3, prose[3], "en", "s", 1), (3, prose[3], "en", "s", 1), (102, " ".join(prose) * 5, "en", "s", 1), (103, prose[5], None, "s", 1)]
+    extra = ["row", "id", "th", "words", "kept", "uid", "n", "place", "stays", "items", "fp", "h1", "kept_text"]
+    docs = spark.createDataFrame([x + (1,) * len(extra) for x in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                                 + ", ".join(f"{c} int" for c in extra)).repartition(3)
+    out, none = stage(spark, docs, SF_SMALL), stage(spark, docs.limit(0), SF_SMALL)
+    assert none.count() == 0 and none.columns == out.columns
+    got = out.collect()
+    if name == "packing":
+        assert Counter(x.doc_id for x in got if x.start == 0) == Counter(x[0] for x in rows)
+        return
+    assert out.columns == docs.columns and all(x[c] == 1 for x in got for c in extra)
+    ids = Counter(x.doc_id for x in got)
+    if name == "quality_rules":  # too short: null and empty
+        assert all(x.text for x in got) and ids[100] == ids[101] == 0 and ids[3] in (0, 3)
+        assert sum(ids[k] > 0 for k in range(40)) >= 38
+    elif name == "line_dedup":  # every row stays, with "" for a null text; the copy under a larger id loses its line
+        assert ids == Counter(x[0] for x in rows) and all(x.text is not None for x in got)
+        assert {x.text for x in got if x.doc_id == 103} == {""} and {x.text for x in got if x.doc_id == 3} == {prose[3]}
+    elif name == "simhash_dedup":  # texts without words are one group, as are copies
+        assert ids[103] == 0 and all(ids[k] == 1 for k in range(40)) and sum(not x.text for x in got) == 1
+    else:
+        assert ids == Counter(x[0] for x in rows)
+
+
 def test_cross_entropy_counts_every_pair_and_word(spark, monkeypatch):
     from recsort.llm import cross_entropy as ce
     r = random.Random(8)

@@ -292,6 +292,10 @@ def test_tokens_match_the_library():
     texts += ["".join(r.choice([c for c in chars if PLAIN.fullmatch(c)]) for _ in range(30)) for _ in range(4000)]
     for text in texts:
         assert t.encode(text) == t._whole(text) if text else t.encode(text) == b""
+    assert t.by_words
+    other = WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ["Hello World, the Cat", *texts[:200]]:
+        assert np.frombuffer(other.encode(text), other.dtype).tolist() == other.library.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("weights", [None, {"a": 3.0, "b": 1.0}])

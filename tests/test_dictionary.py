@@ -110,6 +110,29 @@ def test_normalise_article_folds_width_and_space(spark):
     assert df.select(D.normalise_article(F.col("line"))).first()[0] == "MIT License"
 
 
+def test_normalise_article_on_every_space_and_width(spark):
+    """Texts with white space of any kind, full-width forms or neither, against a fold and split by hand."""
+    spaces = [chr(i) for i in range(0x3001) if chr(i).isspace()]
+    some = [f"a{c}b" for c in spaces] + [f"{c}é{c} {c}b{c}" for c in spaces] + ["a  b", " a b ", "", " ", "é  ü", "“q” – 「x」、。", "ｱ\u2007", "\U0001f600  x"]
+    some += [f"x{chr(c)} y" for c in range(0xFF01, 0xFF5F)] + [f"{chr(c)}z" for c in (0x7F, 0x84, 0x86, 0xA1, 0x200B, 0x2030, 0xFEFF, 0xFF5F)]
+    df = spark.createDataFrame([(t,) for t in [*some, None]], "line string")
+    fold = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)} | {0x3000: 0x20}
+    got = {r.line: r.n for r in df.select("line", D.normalise_article(F.col("line")).alias("n")).collect()}
+    assert got == {t: " ".join(t.translate(fold).split()) for t in some} | {None: None}
+
+
+def test_citations_are_cut_once(spark):
+    """The texts are matched and the citations cleaned at one place of the plan; rows without a key, text, citation or category are kept."""
+    docs = spark.range(6).select(F.when(F.col("id") < 5, F.col("id") % 4).alias("doc_id"),
+                                 F.when(F.col("id") != 2, F.concat(F.lit("《MIT License.》 《MIT License》 《x "), F.col("id"), F.lit("》"))).alias("cited_text"))
+    pairs = spark.range(1).select(F.lit("MIT License").alias("article"), F.lit("permissive").alias("category"))
+    found = D.citation_lookup(docs, pairs, FX.EDGE_RULES)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count(r"[Vv]ersion") == 1
+    assert {r.doc_id: (r.n_citations, r.categories) for r in found.collect()} == {
+        0: (6, "permissive"), 1: (3, "permissive"), 2: (0, ""), 3: (3, "permissive"), None: (3, "")}
+
+
 def test_corrections_recovery_and_logs(spark):
     pairs = spark.createDataFrame([("GNU General Public License", "copyleft"), ("CC BY-NC 4.0", "noncommercial"),
                                    ("MIT License", "permissive")], "article string, category string")

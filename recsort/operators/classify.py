@@ -184,7 +184,10 @@ def merge_results(base: DataFrame, ai: DataFrame, dictionary: DataFrame, rules:
     (key, rule_categories). All joins are on the same key, so they can
     reuse one hash partitioning.
     """
-    a = ai.filter(F.col("process_status") == STATUS_OK).select(key, F.col("ai_violation_categories").alias("_ai"))
+    # Status and categories leave each row as one exploded value: a filter on columns that are
+    # parsed from a reply would be tried below the join, and parse every reply once more.
+    reply = F.array(F.struct("process_status", F.col("ai_violation_categories").alias("_ai")))
+    a = ai.select(key, F.explode_outer(reply).alias("_reply")).filter(F.col("_reply.process_status") == STATUS_OK).select(key, "_reply._ai")
     d = dictionary.filter(F.col("categories") != "").select(key, F.col("categories").alias("_dict"))
     out_cols = [c for c in base.columns if c != "rule_categories"]
     if rules is None:

@@ -81,6 +81,20 @@ def test_merge_priority(spark):
     assert got == {1: ("A", "expert"), 2: ("D", "dictionary"), 3: ("R", "rule"), 4: ("其他违法行为", "fallback")}
 
 
+def test_merge_parses_replies_once(spark):
+    """The filter on the status is not tried below the join on the reply's patterns; repeated and missing keys stay as they were."""
+    from recsort.functions.replies import with_parsed_reply
+    base = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).alias("doc_id"), F.lit("R").alias("rule_categories"))
+    reply = F.when(F.col("id") != 1, F.concat(F.lit("【违规类别】：c"), F.col("id"), F.lit("【判断理由】：r")))
+    once = spark.range(4).select(F.col("id").alias("doc_id"), reply.alias("reply"))
+    ai = with_parsed_reply(once.unionByName(once.filter("doc_id in (1, 3)")), "reply")
+    dic = spark.createDataFrame([(1, "D")], "doc_id long, categories string")
+    one = C.merge_results(base, with_parsed_reply(once, "reply"), dic)
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
+    got = sorted((str(r.doc_id), r.final_categories, r.source) for r in C.merge_results(base, ai, dic).collect())
+    assert got == [("0", "c0", "expert"), ("1", "D", "dictionary"), ("2", "c2", "expert"), ("3", "c3", "expert"), ("3", "c3", "expert"), ("None", "R", "rule")]
+
+
 def test_stream_restart_equals_one_batch(spark, tmp_dir):
     rec = FX.f2_records(spark, SF_SMALL)
     responder = C.RuleResponder(FX.keywords_df(spark))

@@ -8,9 +8,12 @@ gradient of its own, partial gradients are summed by a tree of ``FAN``, and the
 driver takes one Adam step on a matrix of fixed size (features x dims). A
 logistic regression over the projected vectors is the head.
 
-The pairs are stored with both vectors in cells dealt by a hash and sums are
-taken in the order of the cells, so that equal seeds give equal models. What a
-step sends is one matrix a cell; texts are read once.
+The pairs are stored in blocks of anchors with near ranks, which have the same
+partners: a block holds the vector of each of its texts once and its pairs as
+places among them, so a step projects a text once a block, not once for each of
+its pairs. Blocks are dealt to cells and sums are taken in the order of the
+cells, so that equal seeds give equal models. What a step sends is one matrix a
+cell; texts are read once.
 
 Null texts count as empty, which is the zero vector: cosine 0 with all, no
 gradient.
@@ -18,7 +21,9 @@ gradient.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +32,19 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsort.operators.training import SAMPLE_SEED, contrastive_pairs
+from recsort.operators.training import SAMPLE_SEED, ranked_pairs
 from recsort.session import scratch_path
 
 FEATURES = 4096
 DIMS = 32
 STEPS = 20
 RATE = 0.02
-CELLS = 16      # partial gradients of a step; more pairs ask for more of them
+CELLS = 16      # partial gradients of a step at least
+CELL_ROWS = 1 << 15  # rows of a cell
 FAN = 8
-ROWS = 256      # pairs multiplied at a time
+ROWS = 256      # texts projected at a time
+ANCHORS = 128   # ranks of a block
+PAIRS = 1024    # pairs of a block that are dealt by a hash
 
 
 def hashed(text: str | None, features: int, ngram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,9 +82,8 @@ def dense(slots: list[bytes], weights: list[bytes], features: int) -> np.ndarray
     return out
 
 
-def loss_and_gradient(w: np.ndarray, a: np.ndarray, b: np.ndarray, similar: np.ndarray) -> tuple[float, np.ndarray]:
-    """Sum over pairs of (cosine - similar)^2 and its gradient by ``w``."""
-    u, v = a @ w, b @ w
+def pair_gradients(u: np.ndarray, v: np.ndarray, similar: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Sum over pairs of projected texts of (cosine - similar)^2 and its gradients by ``u`` and ``v``."""
     nu, nv = np.linalg.norm(u, axis=1), np.linalg.norm(v, axis=1)
     ok = (nu > 0) & (nv > 0)
     nu, nv = np.where(ok, nu, 1.0), np.where(ok, nv, 1.0)
@@ -84,30 +91,73 @@ def loss_and_gradient(w: np.ndarray, a: np.ndarray, b: np.ndarray, similar: np.n
     d = np.where(ok, 2 * (cos - similar), 0.0)[:, None]
     du = d * (v / (nu * nv)[:, None] - (cos / nu ** 2)[:, None] * u)
     dv = d * (u / (nu * nv)[:, None] - (cos / nv ** 2)[:, None] * v)
-    return float(((cos - similar) ** 2).sum()), a.T @ du + b.T @ dv
+    return float(((cos - similar) ** 2).sum()), du, dv
+
+
+def loss_and_gradient(w: np.ndarray, a: np.ndarray, b: np.ndarray, similar: np.ndarray) -> tuple[float, np.ndarray]:
+    """Sum over pairs of (cosine - similar)^2 and its gradient by ``w``."""
+    loss, du, dv = pair_gradients(a @ w, b @ w, similar)
+    return loss, a.T @ du + b.T @ dv
+
+
+def block_gradient(w: np.ndarray, x: np.ndarray, left: np.ndarray, right: np.ndarray, similar: np.ndarray) -> tuple[float, np.ndarray]:
+    """The same for pairs of rows of ``x``: each row is projected once, and the gradients of its pairs are added before they go back."""
+    p = x @ w
+    loss, du, dv = pair_gradients(p[left], p[right], similar)
+    at = np.zeros_like(p)
+    np.add.at(at, left, du)
+    np.add.at(at, right, dv)
+    return loss, x.T @ at
 
 
 PARTIAL = "cell int, n long, loss double, gradient binary"
+# sizes, slots and weights of a block's vectors end to end; pairs as places among them
+BLOCK = "cell int, sizes binary, slots binary, weights binary, lefts binary, rights binary, similar binary"
+
+
+def _block(features: int, ngram: int):
+    narrow = "<u2" if features <= 1 << 16 else "<i4"
+
+    def build(group: pa.Table) -> pa.Table:
+        """One row of the (cell, block, id, other, similar, text) rows of a block: texts have no ``similar``."""
+        pairs, texts = [], []
+        for i, other, similar, text in zip(*(group.column(c).to_pylist() for c in ("id", "other", "similar", "text")), strict=True):
+            if similar is None:
+                texts.append((i, text or ""))
+            else:
+                pairs.append((i, other, similar))
+        texts.sort()
+        places = defaultdict(list)  # rows may share an id: a pair of ids is a pair of all their texts
+        for k, (i, _) in enumerate(texts):
+            places[i].append(k)
+        found = [(a, b, y) for i, j, y in sorted(pairs) for a, b in product(places[i], places[j])]
+        slots, weights = zip(*[hashed(t, features, ngram) for _, t in texts]) if texts else ((), ())
+        flat = lambda parts, kind: np.concatenate([np.empty(0), *parts]).astype(kind).tobytes()
+        lefts, rights, similar = zip(*found) if found else ((), (), ())
+        row = {"sizes": np.array([len(s) for s in slots], "<i4").tobytes(), "slots": flat(slots, narrow), "weights": flat(weights, "<f4"),
+               "lefts": np.array(lefts, "<i4").tobytes(), "rights": np.array(rights, "<i4").tobytes(), "similar": np.array(similar, "<f4").tobytes()}
+        return pa.table({"cell": pa.array([group.column("cell")[0].as_py()], pa.int32())} | {c: pa.array([v], pa.binary()) for c, v in row.items()})
+
+    return build
 
 
 def _partials(weights, features: int):
+    narrow = "<u2" if features <= 1 << 16 else "<i4"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value.astype(np.float32)  # products in 32 bits, sums in 64
         found: dict[int, list] = {}
         for batch in batches:
-            cells = batch.column("cell").to_numpy(zero_copy_only=False)
-            cols = {c: batch.column(c).to_pylist() for c in ("a_slots", "a_weights", "b_slots", "b_weights")}
-            similar = batch.column("similar").to_numpy(zero_copy_only=False)
-            for cell in np.unique(cells).tolist():
-                own = np.flatnonzero(cells == cell)
-                for lo in range(0, len(own), ROWS):
-                    at = own[lo:lo + ROWS]
-                    pick = lambda c: [cols[c][i] for i in at]  # noqa: E731,B023
-                    loss, g = loss_and_gradient(w, dense(pick("a_slots"), pick("a_weights"), features),
-                                                dense(pick("b_slots"), pick("b_weights"), features), similar[at].astype(np.float32))
-                    t = found.setdefault(cell, [0, 0.0, np.zeros(w.shape)])
-                    t[0], t[1] = t[0] + len(at), t[1] + loss
-                    t[2] += g
+            for k in range(batch.num_rows):
+                cell = batch.column("cell")[k].as_py()
+                sizes, slots, values, lefts, rights, similar = (np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in (
+                    ("sizes", "<i4"), ("slots", narrow), ("weights", "<f4"), ("lefts", "<i4"), ("rights", "<i4"), ("similar", "<f4")))
+                x = np.zeros((len(sizes), features), np.float32)
+                x[np.repeat(np.arange(len(sizes)), sizes), slots] = values
+                loss, g = block_gradient(w, x, lefts, rights, similar)
+                t = found.setdefault(cell, [0, 0.0, np.zeros(w.shape)])
+                t[0], t[1] = t[0] + len(similar), t[1] + loss
+                t[2] += g
         out = sorted(found.items())
         yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int32()), pa.array([t[0] for _, t in out], pa.int64()),
                                           pa.array([t[1] for _, t in out], pa.float64()), pa.array([t[2].tobytes() for _, t in out], pa.binary())],
@@ -179,23 +229,32 @@ class ContrastiveModel:
 
 
 def stored_pairs(clean: DataFrame, pairs: DataFrame, features: int, ngram: int, cells: int, key: str = "vc_id") -> DataFrame:
-    """The pairs with both texts' vectors, written once in cells."""
+    """The pairs in blocks with the vectors of their texts, written once in cells.
+
+    Pairs with the ``rank`` of their anchor come into blocks of near ranks, where they
+    share most of their texts; other pairs are dealt by a hash of the anchor.
+    """
     spark = clean.sparkSession
     path = scratch_path(spark, "contrastive")
-    text_vectors(clean, "text", features, ngram, (key,)).write.parquet(f"{path}/vectors")
-    v = spark.read.parquet(f"{path}/vectors")
-    side = lambda p, k: v.select(F.col(key).alias(k), F.col("slots").alias(f"{p}_slots"), F.col("weights").alias(f"{p}_weights"))
-    cell = F.pmod(F.xxhash64("anchor_id", "partner_id"), F.lit(cells)).cast("int").alias("cell")
-    (pairs.select("anchor_id", "partner_id", "similar", cell).join(side("a", "anchor_id"), "anchor_id").join(side("b", "partner_id"), "partner_id")
-     .repartition(cells, "cell").sortWithinPartitions("cell", "anchor_id", "partner_id", "similar").write.parquet(f"{path}/pairs"))
-    return spark.read.parquet(f"{path}/pairs").drop("anchor_id", "partner_id")
+    if "rank" in pairs.columns:
+        block = F.floor(F.col("rank") / ANCHORS)
+    else:
+        block = F.pmod(F.xxhash64("anchor_id"), F.lit(max(1, -(-pairs.count() // PAIRS))))
+    dealt = pairs.select(block.cast("bigint").alias("block"), F.col("anchor_id").alias("id"), F.col("partner_id").alias("other"), "similar").filter("id IS NOT NULL AND other IS NOT NULL")
+    asked = dealt.select("block", F.explode(F.array("id", "other")).alias("id")).distinct()
+    texts = clean.select(F.col(key).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(asked, "id")
+    rows = dealt.unionByName(texts, allowMissingColumns=True).withColumn("cell", F.pmod("block", F.lit(cells)).cast("int"))
+    rows.repartition(cells, "cell").groupBy("cell", "block").applyInArrow(_block(features, ngram), BLOCK).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def fit_projection(clean: DataFrame, pairs: DataFrame | None = None, features: int = FEATURES, dims: int = DIMS, ngram: int = 3,
-                   steps: int = STEPS, rate: float = RATE, seed: int = SAMPLE_SEED, cells: int = CELLS, k: int = 2) -> ContrastiveModel:
-    """Train the projection on ``clean`` (vc_id, text, label 0/1)."""
+                   steps: int = STEPS, rate: float = RATE, seed: int = SAMPLE_SEED, cells: int | None = None, k: int = 2) -> ContrastiveModel:
+    """Train the projection on ``clean`` (vc_id, text, label 0/1); without ``cells`` there are as many as the rows ask for."""
     sc = clean.sparkSession.sparkContext
-    data = stored_pairs(clean, contrastive_pairs(clean, k=k, seed=seed) if pairs is None else pairs, features, ngram, cells)
+    n_rows = clean.count()
+    cells = cells or max(CELLS, -(-n_rows // CELL_ROWS))
+    data = stored_pairs(clean, ranked_pairs(clean, n_rows, k=k, seed=seed) if pairs is None else pairs, features, ngram, cells)
     w = np.random.default_rng(seed).normal(size=(features, dims)) / np.sqrt(dims)
     first, second = np.zeros_like(w), np.zeros_like(w)
     losses = []
@@ -220,5 +279,9 @@ def fit_head(features: DataFrame, reg: float = 0.001, max_iter: int = 100) -> Lo
 def fit_contrastive(clean: DataFrame, **kw) -> ContrastiveModel:
     """Projection and head over ``clean`` (vc_id, text, label 0/1)."""
     model = fit_projection(clean, **kw)
-    model.head = fit_head(model.embed(clean).select(array_to_vector("embedding").alias("features"), "label"))
+    features = model.embed(clean).select(array_to_vector("embedding").alias("features"), "label").persist()
+    try:
+        model.head = fit_head(features)
+    finally:
+        features.unpersist()
     return model

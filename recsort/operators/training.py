@@ -153,7 +153,11 @@ def contrastive_pairs(clean: DataFrame, k: int = 2, rows_per_bucket: int = 4096,
     (label, rank, salt): no cross join, no all-pairs, and the partners of a
     rare label are repeated by salt, so that none meets all anchors in a task.
     """
-    n = clean.count()
+    return ranked_pairs(clean, clean.count(), k, rows_per_bucket, seed).drop("rank")
+
+
+def ranked_pairs(clean: DataFrame, n: int, k: int = 2, rows_per_bucket: int = 4096, seed: int = SAMPLE_SEED) -> DataFrame:
+    """The same pairs with the anchor's ``rank``, of ``n`` rows: anchors of near ranks have the same partners."""
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
     h = seeded_order("vc_id", seed)
     bucket = F.shiftright(F.shiftright(h, 28) * F.lit(n_buckets).cast("bigint"), 32)
@@ -178,7 +182,7 @@ def contrastive_pairs(clean: DataFrame, k: int = 2, rows_per_bucket: int = 4096,
     same = F.col("label") == F.col("p_label")
     cand = pos.unionByName(neg).join(F.broadcast(of_label), "p_label") \
         .filter(F.when(same, F.col("j") < F.col("p_size")).otherwise(F.col("j") <= F.col("p_size"))) \
-        .select(F.col("vc_id").alias("anchor_id"), "label", "p_label", "j",
+        .select(F.col("vc_id").alias("anchor_id"), "label", "p_label", "j", "rank",
                 F.pmod(F.col("rank") + F.col("j") - F.when(same, 0).otherwise(1), F.col("p_size")).alias("p_rank"),
                 F.pmod(F.xxhash64("vc_id", "j"), F.col("salts")).alias("salt"))
     partners = ranked.withColumnsRenamed({"vc_id": "partner_id", "label": "p_label", "rank": "p_rank"}) \
@@ -187,4 +191,4 @@ def contrastive_pairs(clean: DataFrame, k: int = 2, rows_per_bucket: int = 4096,
     return cand.join(partners, ["p_label", "p_rank", "salt"]).select(
         "anchor_id", "partner_id", F.col("label").alias("anchor_label"),
         F.col("p_label").alias("partner_label"), "j",
-        (F.col("label") == F.col("p_label")).cast("double").alias("similar"))
+        (F.col("label") == F.col("p_label")).cast("double").alias("similar"), "rank")

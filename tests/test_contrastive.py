@@ -56,6 +56,27 @@ def test_a_step_over_cells_equals_numpy(spark, split, monkeypatch):
     assert np.allclose(g.reshape(w.shape), grad, rtol=1e-3, atol=1e-4)
 
 
+def test_blocks_hold_each_text_once_and_all_pairs(spark):
+    """Ranked pairs: few vectors beside the texts themselves, and the sums over all pairs, with labels of any size, repeated ids, null ids and texts."""
+    rows = [(f"v{i}", f"text {i % 37} of {i * i}", int(i % 9 == 0)) for i in range(900)]
+    rows += [("v3", "another text", 0), (None, "no id", 1), ("short", "x", 0)]
+    clean = spark.createDataFrame(rows, "vc_id string, text string, label int").persist()
+    pairs = TR.ranked_pairs(clean, clean.count()).persist()
+    data = K.stored_pairs(clean, pairs, 256, 3, cells=5).persist()
+    assert sum(len(r.sizes) // 4 for r in data.collect()) < 2.2 * len(rows)
+    w = np.random.default_rng(0).normal(size=(256, 4))
+    n, loss, g = K._summed(data.mapInArrow(K._partials(spark.sparkContext.broadcast(w), 256), K.PARTIAL), 5)
+    texts = {}
+    for i, t, _ in rows:
+        texts.setdefault(i, []).append(K.hashed(t, 256, 3))
+    want = [(a, b, r.similar) for r in pairs.collect() if None not in (r.anchor_id, r.partner_id) for a in texts[r.anchor_id] for b in texts[r.partner_id]]
+    side = lambda c: K.dense(*zip(*[(p[c][0].tobytes(), p[c][1].tobytes()) for p in want]), 256)
+    total, grad = K.loss_and_gradient(w, side(0), side(1), np.array([p[2] for p in want]))
+    assert n == len(want) > 3500 and abs(loss - total) < 1e-3 * total
+    assert np.allclose(g.reshape(w.shape), grad, rtol=1e-3, atol=1e-3)
+    assert set(TR.contrastive_pairs(clean).columns) == set(pairs.columns) - {"rank"}
+
+
 def test_loss_falls_and_the_head_learns(split, model):
     fives = np.array(model.losses).reshape(-1, 5).mean(1)
     assert (np.diff(fives) < 0).all() and fives[-1] < 0.3 * fives[0]

@@ -429,19 +429,28 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(scan, RESULT)
 
 
+def texts_by_document(keyed: DataFrame, length: int) -> str:
+    """Name of a table of the texts that have a window, bucketed by document without a shuffle of texts: what is found out about them comes to them.
+
+    Few tasks write it, since each writes a file to every bucket.
+    """
+    spark = keyed.sparkSession
+    name, buckets = f"substring_texts_{uuid.uuid4().hex[:16]}", shuffle_partitions(spark)
+    texts = keyed.select(*KEYS, F.col("text").cast("binary").alias("text")).filter(F.octet_length("text") >= length)
+    (texts.coalesce(max(2 * spark.sparkContext.defaultParallelism, buckets // 4)).write.bucketBy(buckets, *KEYS).sortBy(*KEYS)
+     .option("compression", "zstd").format("parquet").saveAsTable(name))
+    return name
+
+
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                      block_bytes: int = BLOCK_BYTES, with_kept: bool = False) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 of every row; ``with_kept`` adds the remaining bytes as ``kept``."""
     spark = docs.sparkSession
     keyed = _keyed(docs, id_col, text_col)
-    found = repeated(occurrences(keyed, length, gram)).groupBy(*KEYS).agg(
-        F.collect_list("windows").alias("found"))
-    # The texts that have to be looked at, by document, so that they are not shuffled again.
-    name = f"substring_texts_{uuid.uuid4().hex[:16]}"
-    texts = keyed.select(*KEYS, F.col("text").cast("binary").alias("text")).join(found, KEYS)
-    texts.write.bucketBy(shuffle_partitions(spark), *KEYS).sortBy(*KEYS).option("compression", "zstd").format("parquet").saveAsTable(name)
+    name = texts_by_document(keyed, length)
     try:
-        late = repeats(contexts(spark.table(name).select(*KEYS, "text", "found"), length, gram), length, gram, block_bytes)
+        found = repeated(occurrences(keyed, length, gram)).groupBy(*KEYS).agg(F.collect_list("windows").alias("found"))
+        late = repeats(contexts(spark.table(name).join(found, KEYS).select(*KEYS, "text", "found"), length, gram), length, gram, block_bytes)
         late = late.groupBy(*KEYS).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
         one = spark.table(name).select(*KEYS, "text")
         cut = _cut(one.join(late, KEYS), length).withColumn("sha", F.sha2("kept", 256))

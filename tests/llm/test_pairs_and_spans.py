@@ -192,6 +192,20 @@ def test_suffix_dedup_tells_texts_with_equal_short_hashes_apart(spark):
     assert rows == brute_substrings(list(zip(ids, texts, strict=True)), 40)
 
 
+def test_suffix_dedup_shuffles_no_texts(spark):
+    """Texts are dealt by document as they are written: neither the write nor a join by document exchanges them."""
+    from recsort.llm import suffix_dedup as S
+    keyed = S._keyed(docs_of(spark, ["a" * 50, "b" * 50, "short", None, "a" * 50], [1, 2, 3, 4, None]), "doc_id", "text")
+    name = S.texts_by_document(keyed, 40)
+    try:
+        found = keyed.groupBy(*S.KEYS).count().hint("merge")
+        joined = spark.table(name).join(found, S.KEYS)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and joined.count() == 3
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_long_prefixes_against_sorting():
     from recsort.llm.suffix_dedup import long_prefixes
     r = random.Random(4)
